@@ -26,8 +26,8 @@ from ..functions.grid import Grid
 from ..functions.windows import WindowSpec, with_window
 
 HOT_CELL_ROWS = 50_000
-# A hot cell holds at least 1/MAX_HOT_CELLS of the keyed rows of its side, which
-# bounds the broadcast table of hot cells.
+# A hot cell holds at least 1/MAX_HOT_CELLS of the rows of its side. A row has a few
+# keys at most, so this bounds the broadcast table of hot cells.
 MAX_HOT_CELLS = 50_000
 MIN_CELL = 1e-6
 OWN_LEVEL = -1
@@ -43,11 +43,10 @@ def _level(s: Shape, by: float, base: float) -> Column:
     return F.expr(f"IF({extent} <= {G.num(base)}, 0, int(ceil(log2({extent} / {G.num(base)}))))")
 
 
-def _levels_present(df: DataFrame, s: Shape, by: float, base: float):
-    """The distinct levels of one side: at most a few dozen integers."""
-    return df.select(F.array_distinct(F.concat(
-        F.array(F.lit(OWN_LEVEL)), F.collect_set(_level(s, by, base))))).scalar(), \
-        df.select(F.min(_level(s, by, base))).scalar()
+def _levels_present(df: DataFrame, s: Shape, by: float, base: float) -> Column:
+    """The distinct levels of one side, after OWN_LEVEL: at most a few dozen integers."""
+    return df.select(F.concat(F.array(F.lit(OWN_LEVEL)), F.sort_array(
+        F.collect_set(_level(s, by, base))))).scalar()
 
 
 def _cells(df: DataFrame, s: Shape, by: float, base: float, single: bool) -> DataFrame:
@@ -77,8 +76,8 @@ def _keyed(a: DataFrame, b: DataFrame, sa: Shape, sb: Shape, r: float,
         if sb.kind == G.POINT:
             a = a.withColumns({"_role": F.when(la > 0, 1).otherwise(0), "_lvl": la})
         else:
-            levels, lowest = _levels_present(b, sb, r, base)
-            a = (a.withColumns({"_own": la, "_low": lowest})
+            levels = _levels_present(b, sb, r, base)
+            a = (a.withColumns({"_own": la, "_low": F.get(levels, F.lit(1))})
                   .withColumn("_l", F.explode(levels))
                   .filter(F.when(F.col("_l") == OWN_LEVEL, F.col("_low") < F.col("_own"))
                           .otherwise(F.col("_l") >= F.col("_own")))
@@ -89,7 +88,7 @@ def _keyed(a: DataFrame, b: DataFrame, sa: Shape, sb: Shape, r: float,
         if sa.kind == G.POINT:
             b = b.withColumns({"_role": F.lit(0), "_lvl": lb})
         else:
-            levels, _ = _levels_present(plain_a, sa, 0.0, base)
+            levels = _levels_present(plain_a, sa, 0.0, base)
             b = (b.withColumn("_own", lb).withColumn("_l", F.explode(levels))
                   .filter((F.col("_l") == OWN_LEVEL) | (F.col("_l") > F.col("_own")))
                   .withColumns({"_role": F.when(F.col("_l") == OWN_LEVEL, 0).otherwise(1),
@@ -100,13 +99,11 @@ def _keyed(a: DataFrame, b: DataFrame, sa: Shape, sb: Shape, r: float,
             _cells(b, sb, r, base, False))
 
 
-def _salted(a: DataFrame, b: DataFrame, keys: Sequence[str],
-            hot_rows: int) -> tuple[DataFrame, DataFrame]:
+def _salted(a: DataFrame, b: DataFrame, keys: Sequence[str], hot_rows: int,
+            total_a: Column, total_b: Column) -> tuple[DataFrame, DataFrame]:
     tally = (a.select(*keys, F.lit(1).alias("_na"), F.lit(0).alias("_nb"))
              .unionByName(b.select(*keys, F.lit(0).alias("_na"), F.lit(1).alias("_nb")))
              .groupBy(*keys).agg(F.sum("_na").alias("_na"), F.sum("_nb").alias("_nb")))
-    total_a = a.select(F.count(F.lit(1))).scalar()
-    total_b = b.select(F.count(F.lit(1))).scalar()
     limit = F.lit(hot_rows)
     hot = tally.filter(
         (F.col("_na") > 0) & (F.col("_nb") > 0)
@@ -155,32 +152,41 @@ def distance_join(a: DataFrame, b: DataFrame, r: float, *, kinds: tuple[str, str
     ka, kb = _keyed(a, b, sa, sb, reach + base * 1e-9, base, multi=not streaming)
     keys = list(KEYS) + (["window"] if windowed else [])
     if hot_rows and not streaming:
-        ka, kb = _salted(ka, kb, keys, hot_rows)
+        count = F.count(F.lit(1))
+        ka, kb = _salted(ka, kb, keys, hot_rows, a.select(count).scalar(), b.select(count).scalar())
         keys += ["_salt_a", "_salt_b"]
     left, right = ka.alias("l"), kb.alias("r")
     cond = [F.col(f"l.{k}") == F.col(f"r.{k}") for k in keys]
     if kinds[0] != G.POINT:
         cond += [F.col("l._kx") == F.greatest(F.col("l._x0"), F.col("r._x0")),
                  F.col("l._ky") == F.greatest(F.col("l._y0"), F.col("r._y0"))]
+    dist = G.bbox_distance_sql(sa, sb) if approx else G.distance_sql(sa, sb)
+    limit = G.num(r)
     if block:
         k = grid.candidate_layers(r)
-        cond += [F.expr(f"abs({cell(sa_)} - {cell(sb_)}) <= {k}") for cell, sa_, sb_ in
+        cond += [F.expr(f"abs({cell(p)} - {cell(q)}) <= {k}") for cell, p, q in
                  ((grid.cx_sql, sa.x, sb.x), (grid.cy_sql, sa.y, sb.y))]
-        dist = G.distance(sa, sb)
-    elif approx:
-        dist = G.bbox_distance(sa, sb)
-        cond.append(dist <= r)
+        limit = None
     else:
-        dist = G.distance(sa, sb)
-        if not (kinds == (G.POINT, G.POINT)):
-            cond.append(G.bbox_distance(sa, sb) <= r + base * 1e-9)
-        cond.append(dist <= r)
+        near = G.bbox_distance_sql(sa, sb)
+        cond.append(F.expr(f"{near} <= {G.num(r if near == dist else r + base * 1e-9)}"))
+    return _with_distance(left.join(right, cond, "inner"), a, b, dist, limit,
+                          "l.window" if windowed else None, keep_geometry)
+
+
+def _with_distance(pairs: DataFrame, a: DataFrame, b: DataFrame, dist: str,
+                   limit: Optional[str], window: Optional[str],
+                   keep_geometry: bool = False) -> DataFrame:
+    """Add ``dist`` and drop pairs beyond the limit.
+
+    The generator evaluates the costly distance once per pair; a filter next to a
+    column would evaluate it twice.
+    """
     hidden = set() if keep_geometry else {"edges", "rings", "paths"}
-    names = [c for c in a.columns + b.columns
-             if c != "window" and c[2:] not in hidden]
-    out = left.join(right, cond, "inner")
-    lead = [F.col("l.window").alias("window")] if windowed else []
-    return out.select(*lead, *names, dist.alias("dist"))
+    names = [c for c in a.columns + b.columns if c != "window" and c[2:] not in hidden]
+    lead = [f"{window} AS window"] if window else []
+    kept = f"filter(array({dist}), d -> d <= {limit})" if limit else f"array({dist})"
+    return pairs.selectExpr(*lead, *names, f"explode({kept}) AS dist")
 
 
 def strip_join(a: DataFrame, b: DataFrame, r: float, *, kinds: tuple[str, str] = (G.POINT, G.POINT),
@@ -206,12 +212,9 @@ def strip_join(a: DataFrame, b: DataFrame, r: float, *, kinds: tuple[str, str] =
             F.col("l._s") == F.greatest(F.col("l._s0"), F.col("r._s0"))]
     if windowed:
         cond.append(F.col("l.window") == F.col("r.window"))
-    dist = G.distance(sa, sb)
-    cond.append(dist <= r)
-    names = [c for c in a.columns + b.columns
-             if c != "window" and c[2:] not in {"edges", "rings", "paths"}]
-    lead = [F.col("l.window").alias("window")] if windowed else []
-    return left.join(right, cond, "inner").select(*lead, *names, dist.alias("dist"))
+    cond.append(F.expr(f"{G.bbox_distance_sql(sa, sb)} <= {G.num(r * (1 + 1e-9))}"))
+    return _with_distance(left.join(right, cond, "inner"), a, b, G.distance_sql(sa, sb),
+                          G.num(r), "l.window" if windowed else None)
 
 
 def join_candidates(a: DataFrame, b: DataFrame, r: float, grid: Grid, *,

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -25,8 +27,23 @@ TUMBLING = ("6 hours", None)
 SLIDING = ("6 hours", "2 hours")
 
 
-def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return configure(spark).read.parquet(f"{sf_dir}/events.parquet")
+def raw_events(spark: SparkSession, sf_dir: str, spread: bool = False) -> DataFrame:
+    """The events table. ``spread`` shares out a single file, which is a single scan
+    task otherwise, for queries whose cost is arithmetic; a table of many files is
+    left as it is."""
+    path = f"{sf_dir}/events.parquet"
+    events = configure(spark).read.parquet(path)
+    if spread and os.path.isfile(path):
+        return events.repartition(spark.sparkContext.defaultParallelism, "event_id")
+    return events
+
+
+def clicks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pts(spark, sf_dir, spread=True).filter(F.col("event_type") == "click")
+
+
+def errors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pts(spark, sf_dir, spread=True).filter(F.col("event_type") == "error")
 
 
 def points_from(events: DataFrame) -> DataFrame:
@@ -39,8 +56,8 @@ def points_from(events: DataFrame) -> DataFrame:
              'y', double(get_json_object(props, '$.k')) + double(event_id % 100) / 100D)))""")
 
 
-def pts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return points_from(raw_events(spark, sf_dir))
+def pts(spark: SparkSession, sf_dir: str, spread: bool = False) -> DataFrame:
+    return points_from(raw_events(spark, sf_dir, spread))
 
 
 def _v(x, y):
@@ -77,11 +94,11 @@ def lines_from(points: DataFrame) -> DataFrame:
 
 
 def polys(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return polys_from(pts(spark, sf_dir))
+    return polys_from(pts(spark, sf_dir, spread=True))
 
 
 def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return lines_from(pts(spark, sf_dir))
+    return lines_from(pts(spark, sf_dir, spread=True))
 
 
 def checkins_from(events: DataFrame) -> DataFrame:
