@@ -94,6 +94,7 @@ class Shape:
     xmax: str
     ymax: str
     edges: Union[str, list, None] = None
+    anchors: Union[str, list, None] = None  # first vertex of every ring or path
     box: Optional[tuple[float, float, float, float]] = None  # of a query object
 
     @property
@@ -110,7 +111,7 @@ def shape(kind: str, prefix: str = "") -> Shape:
     if kind == POINT:
         x, y = f"{prefix}x", f"{prefix}y"
         return Shape(POINT, x, y, x, y)
-    return Shape(kind, *[prefix + c for c in ("xmin", "ymin", "xmax", "ymax", "edges")])
+    return Shape(kind, *[prefix + c for c in ("xmin", "ymin", "xmax", "ymax", "edges", "anchors")])
 
 
 def literal(q: QueryGeometry, unrolled: bool = True) -> Shape:
@@ -121,7 +122,8 @@ def literal(q: QueryGeometry, unrolled: bool = True) -> Shape:
             f"named_struct('x1', {num(a)}, 'y1', {num(b)}, 'x2', {num(c)}, 'y2', {num(d)})"
             for a, b, c, d in edges)
         edges = f"array({rows})"
-    return Shape(q.kind, *[num(v) for v in q.bbox], edges=edges, box=q.bbox)
+    return Shape(q.kind, *[num(v) for v in q.bbox], edges=edges,
+                 anchors=[path[0] for path in q.paths], box=q.bbox)
 
 
 def edges_of(paths: Column) -> Column:
@@ -144,9 +146,20 @@ def bbox_columns(paths: Column) -> dict[str, Column]:
             "xmax": F.array_max(xs), "ymax": F.array_max(ys)}
 
 
+def once(df, **columns: Column):
+    """Add columns that are computed once per row.
+
+    The optimizer copies a plain derived column into every predicate that mentions it;
+    it does not look through a generator.
+    """
+    row = F.struct(*[c.alias(name) for name, c in columns.items()])
+    return df.select("*", F.inline(F.array(row)))
+
+
 def with_edges(df, paths: str):
-    """Add ``edges`` and the flat bounding box for the geometry column ``paths``."""
-    return df.withColumns({"edges": edges_of(F.col(paths)), **bbox_columns(F.col(paths))})
+    """Add ``edges``, ``anchors`` and the flat bounding box of the geometry column ``paths``."""
+    first = F.transform(F.col(paths), lambda p: F.get(p, F.lit(0)))
+    return once(df, edges=edges_of(F.col(paths)), anchors=first, **bbox_columns(F.col(paths)))
 
 
 def close_ring(ring: Column) -> Column:
@@ -241,27 +254,35 @@ def point_distance(x1: str, y1: str, x2: str, y2: str) -> Column:
     return F.expr(point_distance_sql(x1, y1, x2, y2))
 
 
-def _segment_distance2(px: str, py: str, e: Edge) -> str:
-    x1, y1, _, _ = _texts(e)
+def segment_distance2_sql(px: str, py: str, e: Edge) -> str:
+    """Squared distance to an edge: to an end, or to the line if the foot lies between."""
+    x1, y1, x2, y2 = _texts(e)
     dx, dy, len2 = _delta(e)
     along = f"(({px} - {x1}) * {dx} + ({py} - {y1}) * {dy})"
-    t = f"greatest(0D, least(1D, coalesce(try_divide({along}, {len2}), 0D)))"
-    return _square_sum(f"({px} - ({x1} + {t} * {dx}))", f"({py} - ({y1} + {t} * {dy}))")
+    across = f"(({px} - {x1}) * {dy} - ({py} - {y1}) * {dx})"
+    return (f"CASE WHEN {along} <= 0D THEN {_square_sum(f'({px} - {x1})', f'({py} - {y1})')} "
+            f"WHEN {along} >= {len2} THEN {_square_sum(f'({px} - {x2})', f'({py} - {y2})')} "
+            f"ELSE {across} * {across} / {len2} END")
 
 
 def boundary_distance_sql(px: str, py: str, edges, var: str = "e") -> str:
     """Distance from a point to the nearest edge; the interior does not count."""
-    return f"sqrt({_min_over(edges, var, lambda e: _segment_distance2(px, py, e))})"
+    return f"sqrt({_min_over(edges, var, lambda e: segment_distance2_sql(px, py, e))})"
+
+
+def crosses_ray_sql(px: str, py: str, e: Edge) -> str:
+    """The ray from the point towards larger x crosses the edge."""
+    x1, y1, x2, y2 = _texts(e)
+    dx, dy, _ = _delta(e)
+    return (f"({y1} > {py}) != ({y2} > {py}) AND "
+            f"{px} < {dx} * try_divide({py} - {y1}, {dy}) + {x1}")
 
 
 def inside_sql(px: str, py: str, edges, var: str = "e") -> str:
     """Even-odd test; a point on the boundary may fall on either side."""
-    def crosses_ray(e: Edge) -> str:
-        x1, y1, x2, y2 = _texts(e)
-        dx, dy, _ = _delta(e)
-        return (f"({y1} > {py}) != ({y2} > {py}) AND "
-                f"{px} < {dx} * try_divide({py} - {y1}, {dy}) + {x1}")
-    return f"({_count_over(edges, var, crosses_ray)} % 2 = 1)"
+    if isinstance(edges, list):
+        edges = [e for e in edges if e[1] != e[3]]
+    return f"({_count_over(edges, var, lambda e: crosses_ray_sql(px, py, e))} % 2 = 1)"
 
 
 def on_boundary_sql(px: str, py: str, edges) -> str:
@@ -280,7 +301,11 @@ def contains_point_sql(poly: Shape, px: str, py: str) -> str:
             f"AND {inside_sql(px, py, poly.edges)} AND NOT {on_boundary_sql(px, py, poly.edges)})")
 
 
-def _edges_distance2(e: Edge, f: Edge) -> str:
+def edges_distance2_sql(e: Edge, f: Edge, kinds: tuple[str, str]) -> str:
+    """Squared distance of two edges; 0 if they cross.
+
+    Over all edges of a closed ring the start points alone cover every vertex.
+    """
     ax, ay, bx, by = _texts(e)
     cx, cy, dx, dy = _texts(f)
 
@@ -289,9 +314,30 @@ def _edges_distance2(e: Edge, f: Edge) -> str:
 
     crossing = (f"{side(ax, ay, bx, by, cx, cy)} * {side(ax, ay, bx, by, dx, dy)} < 0D AND "
                 f"{side(cx, cy, dx, dy, ax, ay)} * {side(cx, cy, dx, dy, bx, by)} < 0D")
-    ends = ", ".join([_segment_distance2(ax, ay, f), _segment_distance2(bx, by, f),
-                      _segment_distance2(cx, cy, e), _segment_distance2(dx, dy, e)])
-    return f"CASE WHEN {crossing} THEN 0D ELSE least({ends}) END"
+    ends = [segment_distance2_sql(ax, ay, f), segment_distance2_sql(cx, cy, e)]
+    if kinds[0] != POLYGON:
+        ends.append(segment_distance2_sql(bx, by, f))
+    if kinds[1] != POLYGON:
+        ends.append(segment_distance2_sql(dx, dy, e))
+    return f"CASE WHEN {crossing} THEN 0D ELSE least({', '.join(ends)}) END"
+
+
+def _anchored_sql(outer: Shape, inner: Shape) -> str:
+    """Some part of ``inner`` starts inside ``outer``.
+
+    Where boundaries do not meet, a part lies on one side as a whole, so its first
+    vertex decides.
+    """
+    if isinstance(inner.anchors, list):
+        return "(" + " OR ".join(inside_sql(num(x), num(y), outer.edges)
+                                 for x, y in inner.anchors) + ")"
+    return f"exists({inner.anchors}, p -> {inside_sql('p.x', 'p.y', outer.edges)})"
+
+
+def covered_sql(a: Shape, b: Shape) -> str:
+    """One geometry lies inside the other, given that their boundaries do not meet."""
+    tests = [_anchored_sql(o, i) for o, i in ((a, b), (b, a)) if o.kind == POLYGON]
+    return "(" + " OR ".join(tests) + ")" if tests else "FALSE"
 
 
 def distance_sql(a: Shape, b: Shape) -> str:
@@ -305,10 +351,8 @@ def distance_sql(a: Shape, b: Shape) -> str:
             return edge
         return f"CASE WHEN {inside_sql(a.x, a.y, b.edges)} THEN 0D ELSE {edge} END"
     gap = "sqrt(" + _min_over(a.edges, "e", lambda e: _min_over(
-        b.edges, "f", lambda f: _edges_distance2(e, f))) + ")"
-    covered = [_any_over(inner.edges, "f", lambda v, o=outer: inside_sql(*_texts(v)[:2], o.edges))
-               for outer, inner in ((a, b), (b, a)) if outer.kind == POLYGON]
-    return f"CASE WHEN {' OR '.join(covered)} THEN 0D ELSE {gap} END" if covered else gap
+        b.edges, "f", lambda f: edges_distance2_sql(e, f, (a.kind, b.kind)))) + ")"
+    return f"CASE WHEN {covered_sql(a, b)} THEN 0D ELSE {gap} END"
 
 
 def distance(a: Shape, b: Shape) -> Column:

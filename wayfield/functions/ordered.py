@@ -27,13 +27,12 @@ SLICES_PER_CHUNK = 4
 SLICE = "_slice"
 
 
-def _flat(df: DataFrame, keys: Sequence[str]) -> list[Column]:
-    return [F.col(k) for k in keys]
-
-
 def with_slices(df: DataFrame, keys: Sequence[str], ts: str = "ts",
                 hot_rows: int = HOT_ROWS) -> DataFrame:
     """Add ``_slice``: 0 for ordinary keys, a time-slice number (from 1) for hot keys."""
+    if df.select().offset(hot_rows).isEmpty():  # reads at most hot_rows rows
+        # a constant: the optimizer then removes everything that concerns hot keys
+        return df.withColumn(SLICE, F.lit(0).cast("long"))
     total = df.select(F.count(F.lit(1))).scalar()
     hot = (df.groupBy(*keys)
            .agg(F.count(F.lit(1)).alias("_n"),

@@ -30,8 +30,10 @@ HOT_CELL_ROWS = 50_000
 # keys at most, so this bounds the broadcast table of hot cells.
 MAX_HOT_CELLS = 50_000
 MIN_CELL = 1e-6
-OWN_LEVEL = -1
 KEYS = ("_role", "_lvl", "_kx", "_ky")
+GEOMETRY_ARRAYS = {"edges", "anchors", "rings", "paths"}
+_BOXED = ("xmin", "ymin", "xmax", "ymax", "edges", "anchors")
+_SHAPE_COLUMNS = {G.POINT: ("x", "y"), G.LINE: _BOXED, G.POLYGON: _BOXED}
 
 
 def _prefixed(df: DataFrame, side: str) -> DataFrame:
@@ -43,10 +45,12 @@ def _level(s: Shape, by: float, base: float) -> Column:
     return F.expr(f"IF({extent} <= {G.num(base)}, 0, int(ceil(log2({extent} / {G.num(base)}))))")
 
 
-def _levels_present(df: DataFrame, s: Shape, by: float, base: float) -> Column:
-    """The distinct levels of one side, after OWN_LEVEL: at most a few dozen integers."""
-    return df.select(F.concat(F.array(F.lit(OWN_LEVEL)), F.sort_array(
-        F.collect_set(_level(s, by, base))))).scalar()
+def _profile(df: DataFrame, s: Shape, by: float, base: float) -> tuple[int, list[int]]:
+    """Row count and distinct levels (a few dozen integers at most) of one side."""
+    if s.kind == G.POINT:
+        return df.count(), [0]
+    row = df.select(_level(s, by, base).alias("l")).agg(F.count(F.lit(1)), F.collect_set("l")).first()
+    return row[0], sorted(row[1])
 
 
 def _cells(df: DataFrame, s: Shape, by: float, base: float, single: bool) -> DataFrame:
@@ -61,54 +65,46 @@ def _cells(df: DataFrame, s: Shape, by: float, base: float, single: bool) -> Dat
 
 
 def _keyed(a: DataFrame, b: DataFrame, sa: Shape, sb: Shape, r: float,
-           base: float, multi: bool) -> tuple[DataFrame, DataFrame]:
+           base: float, levels_a: list[int], levels_b: list[int]) -> tuple[DataFrame, DataFrame]:
     """Both sides with join keys; b is expanded by r.
 
     role 0 joins at the level of b (a is not coarser), role 1 at the level of a (a is
     coarser); every pair has exactly one role and level.
     """
-    if not multi or sa.kind == sb.kind == G.POINT:
-        fixed = {"_role": F.lit(0), "_lvl": F.lit(0)}
-        a, b = a.withColumns(fixed), b.withColumns(fixed)
+    if len(set(levels_a + levels_b)) <= 1:
+        fixed = ["*", "0 AS _role", f"{(levels_a + levels_b + [0])[0]} AS _lvl"]
+        a, b = a.selectExpr(*fixed), b.selectExpr(*fixed)
     else:
-        la, lb = _level(sa, 0.0, base), _level(sb, r, base)
-        plain_a = a
-        if sb.kind == G.POINT:
-            a = a.withColumns({"_role": F.when(la > 0, 1).otherwise(0), "_lvl": la})
-        else:
-            levels = _levels_present(b, sb, r, base)
-            a = (a.withColumns({"_own": la, "_low": F.get(levels, F.lit(1))})
-                  .withColumn("_l", F.explode(levels))
-                  .filter(F.when(F.col("_l") == OWN_LEVEL, F.col("_low") < F.col("_own"))
-                          .otherwise(F.col("_l") >= F.col("_own")))
-                  .withColumns({"_role": F.when(F.col("_l") == OWN_LEVEL, 1).otherwise(0),
-                                "_lvl": F.when(F.col("_l") == OWN_LEVEL, F.col("_own"))
-                                         .otherwise(F.col("_l"))})
-                  .drop("_own", "_low", "_l"))
-        if sa.kind == G.POINT:
-            b = b.withColumns({"_role": F.lit(0), "_lvl": lb})
-        else:
-            levels = _levels_present(plain_a, sa, 0.0, base)
-            b = (b.withColumn("_own", lb).withColumn("_l", F.explode(levels))
-                  .filter((F.col("_l") == OWN_LEVEL) | (F.col("_l") > F.col("_own")))
-                  .withColumns({"_role": F.when(F.col("_l") == OWN_LEVEL, 0).otherwise(1),
-                                "_lvl": F.when(F.col("_l") == OWN_LEVEL, F.col("_own"))
-                                         .otherwise(F.col("_l"))})
-                  .drop("_own", "_l"))
+        def keys(role: int, levels: list[int], keep: str) -> str:
+            every = f"array({', '.join(map(str, levels))})" if levels else "array()"
+            return (f"transform(filter(cast({every} AS array<int>), l -> {keep}), "
+                    f"l -> named_struct('_role', {role}, '_lvl', l))")
+
+        def own(role: int, when: str) -> str:
+            return (f"IF({when}, array(named_struct('_role', {role}, '_lvl', _own)), "
+                    "cast(array() AS array<struct<_role:int,_lvl:int>>))")
+
+        low = min(levels_b, default=0)
+        a = (a.withColumn("_own", _level(sa, 0.0, base))
+             .selectExpr("*", f"inline(concat({keys(0, levels_b, 'l >= _own')}, "
+                              f"{own(1, f'{low} < _own')}))").drop("_own"))
+        b = (b.withColumn("_own", _level(sb, r, base))
+             .selectExpr("*", f"inline(concat({own(0, 'true')}, "
+                              f"{keys(1, levels_a, 'l > _own')}))").drop("_own"))
     return (_cells(a, sa, 0.0, base, sa.kind == G.POINT),
             _cells(b, sb, r, base, False))
 
 
 def _salted(a: DataFrame, b: DataFrame, keys: Sequence[str], hot_rows: int,
-            total_a: Column, total_b: Column) -> tuple[DataFrame, DataFrame]:
+            total_a: int, total_b: int) -> tuple[DataFrame, DataFrame]:
     tally = (a.select(*keys, F.lit(1).alias("_na"), F.lit(0).alias("_nb"))
              .unionByName(b.select(*keys, F.lit(0).alias("_na"), F.lit(1).alias("_nb")))
              .groupBy(*keys).agg(F.sum("_na").alias("_na"), F.sum("_nb").alias("_nb")))
     limit = F.lit(hot_rows)
     hot = tally.filter(
         (F.col("_na") > 0) & (F.col("_nb") > 0)
-        & ((F.col("_na") > F.greatest(limit, total_a / MAX_HOT_CELLS))
-           | (F.col("_nb") > F.greatest(limit, total_b / MAX_HOT_CELLS))))
+        & ((F.col("_na") > F.lit(max(hot_rows, total_a / MAX_HOT_CELLS)))
+           | (F.col("_nb") > F.lit(max(hot_rows, total_b / MAX_HOT_CELLS)))))
     hot = hot.select(*[F.col(k).alias(f"_h{k}") for k in keys],
                      F.ceil(F.col("_na") / limit).cast("int").alias("_sa"),
                      F.ceil(F.col("_nb") / limit).cast("int").alias("_sb"))
@@ -126,69 +122,148 @@ def _salted(a: DataFrame, b: DataFrame, keys: Sequence[str], hot_rows: int,
     return add(a, "_sa", "_sb", "_salt_a", "_salt_b"), add(b, "_sb", "_sa", "_salt_b", "_salt_a")
 
 
+def _prepare(a: DataFrame, b: DataFrame, sa: Shape, sb: Shape, reach: float, base: float,
+             keys: list[str], hot_rows: Optional[int]) -> tuple[DataFrame, DataFrame, list[str]]:
+    """Key both sides and split hot cells; streams use one level and no salts."""
+    pad = reach + base * 1e-9
+    if a.isStreaming or b.isStreaming:
+        return *_keyed(a, b, sa, sb, pad, base, [0], [0]), keys
+    (rows_a, levels_a), (rows_b, levels_b) = _profile(a, sa, 0.0, base), _profile(b, sb, pad, base)
+    ka, kb = _keyed(a, b, sa, sb, pad, base, levels_a, levels_b)
+    if hot_rows and max(rows_a, rows_b) > hot_rows:
+        ka, kb = _salted(ka, kb, keys, hot_rows, rows_a, rows_b)
+        keys = keys + ["_salt_a", "_salt_b"]
+    return ka, kb, keys
+
+
+def _base(reach: float, max_extent: float = 0.0) -> float:
+    return max(2.0 * reach * (1 + 1e-8) + max_extent, MIN_CELL)
+
+
 def distance_join(a: DataFrame, b: DataFrame, r: float, *, kinds: tuple[str, str] = (G.POINT, G.POINT),
                   window: Optional[WindowSpec] = None, approx: bool = False,
                   grid: Optional[Grid] = None, hot_rows: Optional[int] = HOT_CELL_ROWS,
-                  max_extent: float = 0.0, keep_geometry: bool = False) -> DataFrame:
+                  max_extent: float = 0.0) -> DataFrame:
     """Pairs (a, b) in the same window whose distance is at most ``r``, each once.
 
-    Columns come back prefixed ``a_`` and ``b_``, with ``dist`` and, if windowed,
-    ``window``. ``approx`` compares bounding boxes; point pairs then are all pairs
-    whose cells of ``grid`` lie in one candidate block. On streams the join is a
-    window-keyed stream-stream join; there ``max_extent`` (the usual geometry size)
-    sets the cell side, because levels and salts need a pass over the data.
+    Columns come back prefixed ``a_`` and ``b_`` without the geometry arrays, with
+    ``dist`` and, if windowed, ``window``. ``approx`` compares bounding boxes; point
+    pairs then are all pairs whose cells of ``grid`` lie in one candidate block. On
+    streams the join is a window-keyed stream-stream join; there ``max_extent`` (the
+    usual geometry size) sets the cell side, because levels and salts need a pass over
+    the data. That pass (a count, and the sizes of geometries) runs when this is called.
     """
     if window:
         a, b = with_window(a, window), with_window(b, window)
     windowed = "window" in a.columns and "window" in b.columns
-    streaming = a.isStreaming or b.isStreaming
     block = approx and kinds == (G.POINT, G.POINT)
-    reach = r
-    if block:
-        reach = (grid.candidate_layers(r) + 1) * grid.cell
-    base = max(2.0 * reach * (1 + 1e-8) + max_extent, MIN_CELL)
+    reach = (grid.candidate_layers(r) + 1) * grid.cell if block else r
+    base = _base(reach, max_extent)
     a, b = _prefixed(a, "a"), _prefixed(b, "b")
     sa, sb = G.shape(kinds[0], "a_"), G.shape(kinds[1], "b_")
-    ka, kb = _keyed(a, b, sa, sb, reach + base * 1e-9, base, multi=not streaming)
-    keys = list(KEYS) + (["window"] if windowed else [])
-    if hot_rows and not streaming:
-        count = F.count(F.lit(1))
-        ka, kb = _salted(ka, kb, keys, hot_rows, a.select(count).scalar(), b.select(count).scalar())
-        keys += ["_salt_a", "_salt_b"]
+    ka, kb, keys = _prepare(a, b, sa, sb, reach, base, [*KEYS, *(["window"] if windowed else [])],
+                            hot_rows)
     left, right = ka.alias("l"), kb.alias("r")
     cond = [F.col(f"l.{k}") == F.col(f"r.{k}") for k in keys]
     if kinds[0] != G.POINT:
         cond += [F.col("l._kx") == F.greatest(F.col("l._x0"), F.col("r._x0")),
                  F.col("l._ky") == F.greatest(F.col("l._y0"), F.col("r._y0"))]
-    dist = G.bbox_distance_sql(sa, sb) if approx else G.distance_sql(sa, sb)
-    limit = G.num(r)
+    exact, boxes = G.distance_sql(sa, sb), G.bbox_distance_sql(sa, sb)
+    lead = "l.window" if windowed else None
     if block:
         k = grid.candidate_layers(r)
         cond += [F.expr(f"abs({cell(p)} - {cell(q)}) <= {k}") for cell, p, q in
                  ((grid.cx_sql, sa.x, sb.x), (grid.cy_sql, sa.y, sb.y))]
-        limit = None
-    else:
-        near = G.bbox_distance_sql(sa, sb)
-        cond.append(F.expr(f"{near} <= {G.num(r if near == dist else r + base * 1e-9)}"))
-    return _with_distance(left.join(right, cond, "inner"), a, b, dist, limit,
-                          "l.window" if windowed else None, keep_geometry)
+        return _with_distance(left.join(right, cond), a, b, exact, None, lead)
+    slack = 0.0 if approx else base * 1e-9
+    pairs = left.join(right, [*cond, F.expr(f"{boxes} <= {G.num(r + slack)}")])
+    if approx:
+        return _with_distance(pairs, a, b, boxes, G.num(r), lead)
+    if a.isStreaming or b.isStreaming or kinds == (G.POINT, G.POINT):
+        return _with_distance(pairs, a, b, exact, G.num(r), lead)
+    return _refined(pairs, a, b, sa, sb, r, keys)
+
+
+def semi_join(stream: DataFrame, queries: DataFrame, r: float, *, kinds: tuple[str, str],
+              row_id: Sequence[str], approx: bool = False,
+              hot_rows: Optional[int] = HOT_CELL_ROWS) -> DataFrame:
+    """The ``row_id`` of stream rows within ``r`` of some query object.
+
+    A semi join stops at the first match of a row, so no pairs are made.
+    """
+    base = _base(r)
+    keep = list(_SHAPE_COLUMNS[kinds[1]])
+    a = _prefixed(stream.select(*dict.fromkeys([*row_id, *_SHAPE_COLUMNS[kinds[0]]])), "a")
+    b = _prefixed(queries.select(*keep), "b")
+    sa, sb = G.shape(kinds[0], "a_"), G.shape(kinds[1], "b_")
+    ka, kb, keys = _prepare(a, b, sa, sb, r, base, list(KEYS), hot_rows)
+    boxes = G.bbox_distance_sql(sa, sb)
+    cond = [F.col(f"l.{k}") == F.col(f"r.{k}") for k in keys]
+    cond.append(F.expr(f"{boxes} <= {G.num(r if approx else r + base * 1e-9)}"))
+    if not approx:
+        cond.append(F.expr(f"{G.distance_sql(sa, sb)} <= {G.num(r)}"))
+    hits = ka.alias("l").join(kb.alias("r"), cond, "left_semi")
+    return hits.select(*[F.col(f"a_{c}").alias(c) for c in row_id]).distinct()
 
 
 def _with_distance(pairs: DataFrame, a: DataFrame, b: DataFrame, dist: str,
-                   limit: Optional[str], window: Optional[str],
-                   keep_geometry: bool = False) -> DataFrame:
+                   limit: Optional[str], window: Optional[str]) -> DataFrame:
     """Add ``dist`` and drop pairs beyond the limit.
 
     The generator evaluates the costly distance once per pair; a filter next to a
     column would evaluate it twice.
     """
-    hidden = set() if keep_geometry else {"edges", "rings", "paths"}
-    names = [c for c in a.columns + b.columns if c != "window" and c[2:] not in hidden]
+    names = _plain_columns(a, b)
     lead = [f"{window} AS window"] if window else []
     kept = f"filter(array({dist}), d -> d <= {limit})" if limit else f"array({dist})"
     return pairs.selectExpr(*lead, *names, f"explode({kept}) AS dist")
 
 
+def _plain_columns(a: DataFrame, b: DataFrame) -> list[str]:
+    return [c for c in a.columns + b.columns if c != "window" and c[2:] not in GEOMETRY_ARRAYS]
+
+
+def _refined(pairs: DataFrame, a: DataFrame, b: DataFrame, sa: Shape, sb: Shape, r: float,
+             keys: Sequence[str]) -> DataFrame:
+    """Exact distance of candidate pairs, one row per edge (or edge pair).
+
+    Loops over array elements are interpreted, rows run in generated code, which is
+    many times faster. Grouping by the join keys as well keeps the partitioning of a
+    shuffled join, so this adds no exchange to it. Pairs that look alike in every
+    column are told apart by the row count.
+    """
+    names = _plain_columns(a, b)
+    group = [*[k for k in keys], *names]
+    rows = pairs.selectExpr(*[f"l.{k} AS {k}" for k in keys], *names, *[
+        c for s in (sa, sb) if s.kind != G.POINT for c in (s.edges, s.anchors)])
+    e, f = (tuple(f"{v}.{c}" for c in ("x1", "y1", "x2", "y2")) for v in "ef")
+    if G.POINT in (sa.kind, sb.kind):
+        p, g = (sa, sb) if sa.kind == G.POINT else (sb, sa)
+        rows = rows.withColumn("_size", F.expr(f"size({g.edges})"))
+        rows = rows.select(*group, "_size", F.explode(g.edges).alias("e"))
+        d2 = G.segment_distance2_sql(p.x, p.y, e)
+        odd = f"sum(IF({G.crosses_ray_sql(p.x, p.y, e)}, 1, 0))" if g.kind == G.POLYGON else "0"
+        measures = [F.expr(f"min({d2})").alias("_d2"), F.expr(odd).alias("_odd"),
+                    F.expr("count(1) DIV first(_size)").alias("_copies")]
+        # alike pairs add up their crossings, too
+        covered = "(_odd DIV _copies) % 2 = 1"
+    else:
+        rows = rows.withColumns({
+            "_size": F.expr(f"size({sa.edges}) * size({sb.edges})"),
+            "_covered": F.expr(f"IF({G.bbox_distance_sql(sa, sb)} = 0D, {G.covered_sql(sa, sb)}, false)")})
+        rows = rows.select(*group, "_size", "_covered", sb.edges, F.explode(sa.edges).alias("e"))
+        rows = rows.select(*group, "_size", "_covered", "e", F.explode(sb.edges).alias("f"))
+        d2 = G.edges_distance2_sql(e, f, (sa.kind, sb.kind))
+        measures = [F.expr(f"min({d2})").alias("_d2"), F.max("_covered").alias("_odd"),
+                    F.expr("count(1) DIV first(_size)").alias("_copies")]
+        covered = "_odd"
+    out = rows.groupBy(*group).agg(*measures).withColumn(
+        "dist", F.expr(f"IF({covered}, 0D, sqrt(_d2))")).filter(F.col("dist") <= r)
+    lead = ["window"] if "window" in keys else []
+    return out.select(*lead, *names, "dist", F.explode(
+        F.expr("array_repeat(1, int(_copies))")).alias("_copy")).drop("_copy")
+
+
 def strip_join(a: DataFrame, b: DataFrame, r: float, *, kinds: tuple[str, str] = (G.POINT, G.POINT),
                window: Optional[WindowSpec] = None) -> DataFrame:
     """Grid-free twin of ``distance_join``: strips along x as the only key.

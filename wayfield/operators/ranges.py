@@ -23,6 +23,7 @@ from . import joins
 MAX_LITERAL_VERTICES = 2_000
 # Up to this many edges a predicate is unrolled; beyond, edges are a literal array.
 MAX_UNROLLED_EDGES = 64
+MAX_UNROLLED_INNER_EDGES = 16  # inside a loop over the edges of a stream geometry
 
 Queries = Union[QueryGeometry, Sequence[QueryGeometry]]
 
@@ -32,9 +33,9 @@ def _as_list(queries: Queries) -> list[QueryGeometry]:
 
 
 def query_shape(q: QueryGeometry, stream_kind: str = G.POINT) -> Shape:
-    """Unrolled for point streams, where it pays; otherwise a literal edge array."""
-    small = q.kind == G.POINT or len(q.edges) <= MAX_UNROLLED_EDGES
-    return G.literal(q, unrolled=small and stream_kind == G.POINT)
+    """Unrolled while small; a literal edge array beyond that."""
+    limit = MAX_UNROLLED_EDGES if stream_kind == G.POINT else MAX_UNROLLED_INNER_EDGES
+    return G.literal(q, unrolled=q.kind == G.POINT or len(q.edges) <= limit)
 
 
 def _any(preds: Sequence[str]) -> str:
@@ -118,11 +119,8 @@ def _range_join(stream, queries, r, kind, query_kind, approx, outside_mode, row_
         raise ValueError("outside 'any' needs a query set below MAX_LITERAL_VERTICES")
     if not row_id:
         raise ValueError("row_id is needed to match a large query table")
-    geometry = ["x", "y"] if kind == G.POINT else ["xmin", "ymin", "xmax", "ymax", "edges"]
-    left = stream.select(*dict.fromkeys([*row_id, *geometry]))
-    hits = joins.distance_join(left, queries.withColumn("_q", F.lit(1)), r, kinds=(kind, query_kind),
-                               approx=approx)
-    ids = hits.select(*[F.col(f"a_{c}").alias(c) for c in row_id]).distinct()
+    ids = joins.semi_join(stream, queries, r, kinds=(kind, query_kind), row_id=row_id,
+                          approx=approx)
     return stream.join(ids, list(row_id), "left_anti" if outside_mode else "left_semi")
 
 

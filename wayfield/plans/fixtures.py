@@ -47,13 +47,10 @@ def errors(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def points_from(events: DataFrame) -> DataFrame:
-    # ``inline`` computes x and y once per row; as plain columns the optimizer would
-    # copy the JSON parse into every predicate that mentions them.
-    return events.selectExpr(
-        "event_id", "event_type", "string(user_id) AS obj_id", "timestamp(ts) AS ts",
-        """inline(array(named_struct(
-             'x', least(value / 5, 99.99D),
-             'y', double(get_json_object(props, '$.k')) + double(event_id % 100) / 100D)))""")
+    rows = G.once(events, x=F.expr("least(value / 5, 99.99D)"), y=F.expr(
+        "double(get_json_object(props, '$.k')) + double(event_id % 100) / 100D"))
+    return rows.selectExpr("event_id", "event_type", "string(user_id) AS obj_id",
+                           "timestamp(ts) AS ts", "x", "y")
 
 
 def pts(spark: SparkSession, sf_dir: str, spread: bool = False) -> DataFrame:
@@ -79,18 +76,16 @@ def polys_from(points: DataFrame) -> DataFrame:
     rings = (F.when(eid % 3 == 0, F.array(_square(x, y, h)))
              .when(eid % 3 == 1, F.array(diamond))
              .otherwise(F.array(_square(x, y, h * 2), _square(x, y, h))))
-    out = points.filter(F.col("event_type") == "purchase").select(
-        eid.cast("string").alias("obj_id"), "ts", rings.alias("rings"))
-    return G.with_edges(out, "rings")
+    rows = G.once(points.filter(F.col("event_type") == "purchase"), rings=rings)
+    return G.with_edges(rows.select(eid.cast("string").alias("obj_id"), "ts", "rings"), "rings")
 
 
 def lines_from(points: DataFrame) -> DataFrame:
     x, y, eid = F.col("x"), F.col("y"), F.col("event_id")
     right = x + 1.0 + (eid % 3).cast("double")
     path = F.array(_v(x, y), _v(right, y + 1.0), _v(right, y + 2.0 + (eid % 2).cast("double")))
-    out = points.filter(F.col("event_type") == "signup").select(
-        eid.cast("string").alias("obj_id"), "ts", F.array(path).alias("paths"))
-    return G.with_edges(out, "paths")
+    rows = G.once(points.filter(F.col("event_type") == "signup"), paths=F.array(path))
+    return G.with_edges(rows.select(eid.cast("string").alias("obj_id"), "ts", "paths"), "paths")
 
 
 def polys(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -86,10 +86,13 @@ def dist(x1: str, y1: str, x2: str, y2: str) -> str:
 
 def seg2(px: str, py: str, e: str) -> str:
     dx, dy = f"({e}.x2 - {e}.x1)", f"({e}.y2 - {e}.y1)"
-    t = (f"greatest(CAST(0 AS DOUBLE), least(CAST(1 AS DOUBLE), (({px} - {e}.x1) * {dx} + ({py} - {e}.y1) * {dy})"
-         f" / ({dx} * {dx} + {dy} * {dy})))")
-    ex, ey = f"({px} - ({e}.x1 + {t} * {dx}))", f"({py} - ({e}.y1 + {t} * {dy}))"
-    return f"({ex} * {ex} + {ey} * {ey})"
+    len2 = f"({dx} * {dx} + {dy} * {dy})"
+    along = f"(({px} - {e}.x1) * {dx} + ({py} - {e}.y1) * {dy})"
+    across = f"(({px} - {e}.x1) * {dy} - ({py} - {e}.y1) * {dx})"
+    d1, d2 = ([f"({px} - {e}.x{i})", f"({py} - {e}.y{i})"] for i in (1, 2))
+    return (f"CASE WHEN {along} <= 0 THEN {d1[0]} * {d1[0]} + {d1[1]} * {d1[1]} "
+            f"WHEN {along} >= {len2} THEN {d2[0]} * {d2[0]} + {d2[1]} * {d2[1]} "
+            f"ELSE {across} * {across} / {len2} END")
 
 
 def crosses(px: str, py: str, e: str) -> str:
