@@ -295,10 +295,11 @@ def on_boundary_sql(px: str, py: str, edges) -> str:
     return _any_over(edges, "e", on)
 
 
-def contains_point_sql(poly: Shape, px: str, py: str) -> str:
+def contains_point_sql(poly: Shape, px: str, py: str, prefilter: bool = True) -> str:
     """True for points in the interior; the boundary is excluded."""
-    return (f"({px} > {poly.xmin} AND {px} < {poly.xmax} AND {py} > {poly.ymin} AND {py} < {poly.ymax} "
-            f"AND {inside_sql(px, py, poly.edges)} AND NOT {on_boundary_sql(px, py, poly.edges)})")
+    box = (f"{px} > {poly.xmin} AND {px} < {poly.xmax} AND {py} > {poly.ymin} AND "
+           f"{py} < {poly.ymax} AND " if prefilter else "")
+    return f"({box}{inside_sql(px, py, poly.edges)} AND NOT {on_boundary_sql(px, py, poly.edges)})"
 
 
 def edges_distance2_sql(e: Edge, f: Edge, kinds: tuple[str, str]) -> str:

@@ -15,13 +15,17 @@ from .ranges import query_shape
 
 
 def nearby(stream: DataFrame, query: QueryGeometry, r: Optional[float], kind: str,
-           approx: bool = False) -> DataFrame:
-    """Rows within ``r`` (all rows for None) with their distance ``dist``."""
+           approx: bool = False, prefilter: bool = True) -> DataFrame:
+    """Rows within ``r`` (all rows for None) with their distance ``dist``.
+
+    Without ``prefilter`` the box test is left out, which serves as a check of it.
+    """
     s, q = G.shape(kind), query_shape(query, kind)
     points = s.kind == q.kind == G.POINT
     dist = G.bbox_distance_sql(s, q) if approx and not points else G.distance_sql(s, q)
     if r is not None:
-        stream = stream.filter(f"{G.bbox_near_sql(s, q, r)} AND {dist} <= {G.num(r)}")
+        near = f"{G.bbox_near_sql(s, q, r)} AND " if prefilter else ""
+        stream = stream.filter(f"{near}{dist} <= {G.num(r)}")
     return stream.withColumn("dist", F.expr(dist))
 
 

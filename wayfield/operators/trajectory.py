@@ -55,7 +55,7 @@ def lines(stream: DataFrame, window: Optional[WindowSpec] = None, *, min_points:
 
 def line_summary(paths: DataFrame) -> DataFrame:
     """Size and end points of each sub-trajectory, over all of its parts."""
-    keys = [c for c in ("window", "obj_id") if c in paths.columns]
+    keys = [c for c in paths.columns if c not in ("part", "n_points", "path")]
     return paths.groupBy(*keys).agg(
         F.sum("n_points").alias("n_points"),
         F.min(F.struct("part", F.get("path", F.lit(0)).alias("v"))).alias("_f"),
@@ -66,9 +66,12 @@ def line_summary(paths: DataFrame) -> DataFrame:
 
 
 # -- containment -------------------------------------------------------------
-def contained(stream: DataFrame, polygons: Queries) -> DataFrame:
-    """Points in the interior of at least one polygon."""
-    return stream.filter(_any([G.contains_point_sql(query_shape(q), "x", "y")
+def contained(stream: DataFrame, polygons: Queries, prefilter: bool = True) -> DataFrame:
+    """Points in the interior of at least one polygon.
+
+    Without ``prefilter`` the box test is left out, which serves as a check of it.
+    """
+    return stream.filter(_any([G.contains_point_sql(query_shape(q), "x", "y", prefilter)
                                for q in _as_list(polygons)]))
 
 
@@ -163,9 +166,9 @@ def trajectory_join_lines(a: DataFrame, b: DataFrame, d: float, window: WindowSp
 
 # -- kNN ---------------------------------------------------------------------
 def trajectory_knn(stream: DataFrame, query: QueryGeometry, r: Optional[float], k: int, *,
-                   window: Optional[WindowSpec] = None) -> DataFrame:
+                   window: Optional[WindowSpec] = None, prefilter: bool = True) -> DataFrame:
     """The k nearest objects with the point at which each came nearest."""
-    near = knn.nearby(stream, query, r, G.POINT)
+    near = knn.nearby(stream, query, r, G.POINT, prefilter=prefilter)
     keys = ["obj_id"]
     if window:
         near, keys = with_window(near, window), ["window", "obj_id"]

@@ -1,4 +1,4 @@
 """All registered queries."""
 
-from . import join_queries, knn_queries, range_queries  # noqa: F401
+from . import join_queries, knn_queries, range_queries, trajectory_queries  # noqa: F401
 from .registry import ORACLES, QUERIES  # noqa: F401
