@@ -1,4 +1,10 @@
 """All registered queries."""
 
-from . import join_queries, knn_queries, range_queries, trajectory_queries  # noqa: F401
+from . import (  # noqa: F401
+    cell_queries,
+    join_queries,
+    knn_queries,
+    range_queries,
+    trajectory_queries,
+)
 from .registry import ORACLES, QUERIES  # noqa: F401
