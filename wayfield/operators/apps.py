@@ -32,6 +32,11 @@ def fill_checkins(events: DataFrame, *, tie: Sequence[str] = ("event_id",),
     """
     rows = ordered.drop_slices(ordered.previous(
         events, ["user_id"], ["device_id", "ts"], tie=tie, hot_rows=hot_rows))
+    return insert_opposites(rows)
+
+
+def insert_opposites(rows: DataFrame) -> DataFrame:
+    """The rows, with a synthetic one before each that repeats the device in ``prev``."""
     middle = F.timestamp_millis(F.floor(
         (F.unix_millis("prev.ts") + F.unix_millis("ts")) / 2).cast("long"))
     own = F.struct(F.col("device_id").alias("device_id"), F.col("ts").alias("ts"),

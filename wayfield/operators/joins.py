@@ -122,6 +122,12 @@ def _salted(a: DataFrame, b: DataFrame, keys: Sequence[str], hot_rows: int,
     return add(a, "_sa", "_sb", "_salt_a", "_salt_b"), add(b, "_sb", "_sa", "_salt_b", "_salt_a")
 
 
+def _windowed(df: DataFrame, window: WindowSpec) -> DataFrame:
+    """On a stream the window becomes the only event-time column."""
+    out = with_window(df, window)
+    return out.withColumn("ts", F.timestamp_micros(F.unix_micros("ts"))) if df.isStreaming else out
+
+
 def _prepare(a: DataFrame, b: DataFrame, sa: Shape, sb: Shape, reach: float, base: float,
              keys: list[str], hot_rows: Optional[int]) -> tuple[DataFrame, DataFrame, list[str]]:
     """Key both sides and split hot cells; streams use one level and no salts."""
@@ -154,7 +160,7 @@ def distance_join(a: DataFrame, b: DataFrame, r: float, *, kinds: tuple[str, str
     the data. That pass (a count, and the sizes of geometries) runs when this is called.
     """
     if window:
-        a, b = with_window(a, window), with_window(b, window)
+        a, b = _windowed(a, window), _windowed(b, window)
     windowed = "window" in a.columns and "window" in b.columns
     block = approx and kinds == (G.POINT, G.POINT)
     reach = (grid.candidate_layers(r) + 1) * grid.cell if block else r

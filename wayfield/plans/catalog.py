@@ -5,6 +5,8 @@ from . import (  # noqa: F401
     join_queries,
     knn_queries,
     range_queries,
+    stream_queries,
+    text_queries,
     trajectory_queries,
 )
 from .registry import ORACLES, QUERIES  # noqa: F401

@@ -23,6 +23,10 @@ RUNTIME_CONF = {
 def configure(spark: SparkSession) -> SparkSession:
     for key, value in RUNTIME_CONF.items():
         spark.conf.set(key, value)
+    # a local session with the general default would keep 200 tiny state stores
+    if spark.sparkContext.master.startswith("local") and \
+            spark.conf.get("spark.sql.shuffle.partitions") == "200":
+        spark.conf.set("spark.sql.shuffle.partitions", str(spark.sparkContext.defaultParallelism))
     return spark
 
 
