@@ -167,7 +167,7 @@ def aggregate_counts(points: DataFrame, grid: Grid, function: str, size: int, sl
         first_end.cast("long"), (F.col("_n") + size - 1 + slide).cast("long"),
         F.lit(slide).cast("long")))).filter(F.col("last_n") < F.col("_n") + size)
     # a window exists once its closing point has arrived
-    closed = numbered.groupBy(*cell).agg(F.max("_n").alias("_total"))
+    closed = celled.groupBy(*cell).agg(F.count(F.lit(1)).alias("_total"))
     per_object = spans(spread, ["last_n"]).join(closed, cell).filter(F.col("last_n") <= F.col("_total"))
     return roll_up(per_object.drop("_total"), function, ["last_n"])
 

@@ -151,17 +151,16 @@ def trajectory_join_lines(a: DataFrame, b: DataFrame, d: float, window: WindowSp
     if exclude_same_id:
         pairs = pairs.filter(F.col("a_obj_id") != F.col("b_obj_id"))
     pairs = pairs.select("window", "a_obj_id", "b_obj_id").distinct()
-    paths = {}
-    for side, rows in (("a", a), ("b", b)):
-        rows = with_window(rows, window)
-        paths[side] = lines(rows, min_points=min_points, hot_rows=hot_rows)
-        long_enough = paths[side].select("window", F.col("obj_id").alias(f"{side}_obj_id")).distinct()
+    sides = {"a": with_window(a, window), "b": with_window(b, window)}
+    for side, rows in sides.items():
+        long_enough = (rows.groupBy("window", F.col("obj_id").alias(f"{side}_obj_id"))
+                       .agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") >= min_points))
         pairs = pairs.join(long_enough, ["window", f"{side}_obj_id"], "left_semi")
-    parts = [pairs.join(paths[s].withColumnRenamed("obj_id", f"{s}_obj_id"),
-                        ["window", f"{s}_obj_id"]).withColumn("side", F.lit(s))
-             .select("window", "a_obj_id", "b_obj_id", "side", "part", "n_points", "path")
-             for s in ("a", "b")]
-    return parts[0].unionByName(parts[1])
+    members = pairs.select("*", F.inline(F.array(*[
+        F.struct(F.lit(s).alias("side"), F.col(f"{s}_obj_id").alias("obj_id")) for s in sides])))
+    paths = [lines(rows, hot_rows=hot_rows).withColumn("side", F.lit(s)) for s, rows in sides.items()]
+    return members.join(paths[0].unionByName(paths[1]), ["window", "side", "obj_id"]).select(
+        "window", "a_obj_id", "b_obj_id", "side", "part", "n_points", "path")
 
 
 # -- kNN ---------------------------------------------------------------------

@@ -255,10 +255,10 @@ def _tile_counts(spark, sf_dir):
     bounds = points.agg(F.min("x").alias("xmin"), F.min("y").alias("ymin"),
                         F.max("x").alias("xmax"), F.max("y").alias("ymax"))
     made = apps.tiles(bounds, N_TILES)
-    xmin, ymin, side = (bounds.select(c).scalar() for c in (
-        "xmin", "ymin", apps.tile_side(*[F.col(c) for c in ("xmin", "ymin", "xmax", "ymax")])))
-    counts = points.groupBy(F.floor((F.col("x") - xmin) / side).alias("ti"),
-                            F.floor((F.col("y") - ymin) / side).alias("tj")).agg(F.count(F.lit(1)).alias("n"))
+    side = apps.tile_side(*[F.col(c) for c in ("xmin", "ymin", "xmax", "ymax")]).alias("side")
+    tiled = points.withColumn("_b", bounds.select(F.struct("xmin", "ymin", side)).scalar())
+    counts = tiled.groupBy(F.expr("floor((x - _b.xmin) / _b.side)").alias("ti"),
+                           F.expr("floor((y - _b.ymin) / _b.side)").alias("tj")).agg(F.count(F.lit(1)).alias("n"))
     return made.join(counts, ["ti", "tj"], "left").select(
         "ti", "tj", r6("xmin").alias("xmin"), r6("ymin").alias("ymin"), F.coalesce("n", F.lit(0)).alias("n"))
 
@@ -288,7 +288,8 @@ register("app10_track_segments",
 def _shifted(spark, sf_dir):
     """Points relative to the centroid of all polygons."""
     c = apps.centroid(fx.polys(spark, sf_dir))
-    out = apps.shift(fx.pts(spark, sf_dir), c.select("cx").scalar(), c.select("cy").scalar())
+    points = fx.pts(spark, sf_dir).withColumn("_c", c.select(F.struct("cx", "cy")).scalar())
+    out = apps.shift(points, F.col("_c.cx"), F.col("_c.cy"))
     return out.select("event_id", F.round("x", 5).alias("x"), F.round("y", 5).alias("y"))
 
 
