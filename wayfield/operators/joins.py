@@ -29,6 +29,9 @@ HOT_CELL_ROWS = 50_000
 # A hot cell holds at least 1/MAX_HOT_CELLS of the rows of its side. A row has a few
 # keys at most, so this bounds the broadcast table of hot cells.
 MAX_HOT_CELLS = 50_000
+# Spark's size estimate does not see that keys multiply rows, so a side with more rows
+# than this is never broadcast.
+MAX_BROADCAST_ROWS = 50_000
 MIN_CELL = 1e-6
 KEYS = ("_role", "_lvl", "_kx", "_ky")
 GEOMETRY_ARRAYS = {"edges", "anchors", "rings", "paths"}
@@ -129,8 +132,10 @@ def _windowed(df: DataFrame, window: WindowSpec) -> DataFrame:
 
 
 def _prepare(a: DataFrame, b: DataFrame, sa: Shape, sb: Shape, reach: float, base: float,
-             keys: list[str], hot_rows: Optional[int]) -> tuple[DataFrame, DataFrame, list[str]]:
-    """Key both sides and split hot cells; streams use one level and no salts."""
+             keys: list[str], hot_rows: Optional[int],
+             right_only: bool = False) -> tuple[DataFrame, DataFrame, list[str]]:
+    """Key both sides, split hot cells and rule out large broadcasts (``right_only``: of
+    a join that can only broadcast its right side). Streams use one level and no salts."""
     pad = reach + base * 1e-9
     if a.isStreaming or b.isStreaming:
         return *_keyed(a, b, sa, sb, pad, base, [0], [0]), keys
@@ -139,6 +144,8 @@ def _prepare(a: DataFrame, b: DataFrame, sa: Shape, sb: Shape, reach: float, bas
     if hot_rows and max(rows_a, rows_b) > hot_rows:
         ka, kb = _salted(ka, kb, keys, hot_rows, rows_a, rows_b)
         keys = keys + ["_salt_a", "_salt_b"]
+    if (rows_b if right_only else min(rows_a, rows_b)) > MAX_BROADCAST_ROWS:
+        ka, kb = ka.hint("merge"), kb.hint("merge")
     return ka, kb, keys
 
 
@@ -202,7 +209,7 @@ def semi_join(stream: DataFrame, queries: DataFrame, r: float, *, kinds: tuple[s
     a = _prefixed(stream.select(*dict.fromkeys([*row_id, *_SHAPE_COLUMNS[kinds[0]]])), "a")
     b = _prefixed(queries.select(*keep), "b")
     sa, sb = G.shape(kinds[0], "a_"), G.shape(kinds[1], "b_")
-    ka, kb, keys = _prepare(a, b, sa, sb, r, base, list(KEYS), hot_rows)
+    ka, kb, keys = _prepare(a, b, sa, sb, r, base, list(KEYS), hot_rows, right_only=True)
     boxes = G.bbox_distance_sql(sa, sb)
     cond = [F.col(f"l.{k}") == F.col(f"r.{k}") for k in keys]
     cond.append(F.expr(f"{boxes} <= {G.num(r if approx else r + base * 1e-9)}"))

@@ -39,11 +39,11 @@ def raw_events(spark: SparkSession, sf_dir: str, spread: bool = False) -> DataFr
 
 
 def clicks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pts(spark, sf_dir, spread=True).filter(F.col("event_type") == "click")
+    return pts(spark, sf_dir).filter(F.col("event_type") == "click")
 
 
 def errors(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pts(spark, sf_dir, spread=True).filter(F.col("event_type") == "error")
+    return pts(spark, sf_dir).filter(F.col("event_type") == "error")
 
 
 def points_from(events: DataFrame) -> DataFrame:
@@ -53,7 +53,7 @@ def points_from(events: DataFrame) -> DataFrame:
                            "timestamp(ts) AS ts", "x", "y")
 
 
-def pts(spark: SparkSession, sf_dir: str, spread: bool = False) -> DataFrame:
+def pts(spark: SparkSession, sf_dir: str, spread: bool = True) -> DataFrame:
     return points_from(raw_events(spark, sf_dir, spread))
 
 
@@ -89,11 +89,11 @@ def lines_from(points: DataFrame) -> DataFrame:
 
 
 def polys(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return polys_from(pts(spark, sf_dir, spread=True))
+    return polys_from(pts(spark, sf_dir))
 
 
 def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return lines_from(pts(spark, sf_dir, spread=True))
+    return lines_from(pts(spark, sf_dir))
 
 
 def checkins_from(events: DataFrame) -> DataFrame:

@@ -141,7 +141,7 @@ register("jon5_point_polygon_latency", _latency,
 
 def _self_join(spark, sf_dir):
     """All points with all points of the same window, the heaviest form."""
-    a, b = (fx.pts(spark, sf_dir, spread=True).select("event_id", "ts", "x", "y") for _ in "ab")
+    a, b = (fx.pts(spark, sf_dir).select("event_id", "ts", "x", "y") for _ in "ab")
     return _result(joins.distance_join(a, b, 1.0, window=WINDOW), (POINT, POINT))
 
 

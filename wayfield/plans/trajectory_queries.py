@@ -182,7 +182,7 @@ register("trj15_trajectory_join_naive",
 
 
 def _own(s, d):
-    points = fx.pts(s, d, spread=True)
+    points = fx.pts(s, d)
     return points, points
 
 
