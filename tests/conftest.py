@@ -13,6 +13,7 @@ def spark():
     session = (SparkSession.builder.master("local[8]").appName("tests")
                .config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false")
                .config("spark.sql.shuffle.partitions", "4").config("spark.driver.memory", "6g")
+               .config("spark.sql.maxMetadataStringLength", "5000")
                .getOrCreate())
     session.sparkContext.setLogLevel("ERROR")
     yield configure(session)

@@ -48,7 +48,7 @@ def table(spark, shapes):
     if kind == "point":
         df = spark.createDataFrame([(i, *s[1][0][0]) for i, s in enumerate(shapes)], "id int, x double, y double")
         return df.withColumn("ts", F.timestamp_seconds("id"))
-    rows = [(i, [[{"x": x, "y": y} for x, y in path] for path in s[1]]) for i, s in enumerate(shapes)]
+    rows = [(i, [[{"x": float(x), "y": float(y)} for x, y in path] for path in s[1]]) for i, s in enumerate(shapes)]
     column = "rings" if kind == "polygon" else "paths"
     df = spark.createDataFrame(rows, f"id int, {column} {G.RINGS_TYPE}")
     return G.with_edges(df.withColumn("ts", F.timestamp_seconds("id")), column)
