@@ -166,4 +166,4 @@ def test_shapefile_folder(spark, tmp_path):
 def test_kafka_options():
     assert readers.kafka_options("h:1", "t", "earliest") == {
         "kafka.bootstrap.servers": "h:1", "subscribe": "t", "startingOffsets": "earliest"}
-    assert emit.kafka_options("h:1", "query1-results") == {"kafka.bootstrap.servers": "h:1", "topic": "query1-results"}
+    assert emit.kafka_options("h:1", "alarms") == {"kafka.bootstrap.servers": "h:1", "topic": "query1-results"}

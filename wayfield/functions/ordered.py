@@ -28,16 +28,20 @@ SLICE = "_slice"
 
 
 def with_slices(df: DataFrame, keys: Sequence[str], ts: str = "ts",
-                hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Add ``_slice``: 0 for ordinary keys, a time-slice number (from 1) for hot keys."""
-    if df.select().offset(hot_rows).isEmpty():  # reads at most hot_rows rows
+                hot_rows: Optional[int] = HOT_ROWS) -> DataFrame:
+    """Add ``_slice``: 0 for ordinary keys, a time-slice number (from 1) for hot keys.
+
+    Counts the rows when called, which needs no column of a stored table: without more
+    than ``hot_rows`` rows (or with ``hot_rows=None``) there are no hot keys to look for.
+    """
+    total = df.count() if hot_rows else 0
+    if not hot_rows or total <= hot_rows:
         # a constant: the optimizer then removes everything that concerns hot keys
         return df.withColumn(SLICE, F.lit(0).cast("long"))
-    total = df.select(F.count(F.lit(1))).scalar()
     hot = (df.groupBy(*keys)
            .agg(F.count(F.lit(1)).alias("_n"),
                 F.min(F.unix_micros(ts)).alias("_t0"), F.max(F.unix_micros(ts)).alias("_t1"))
-           .filter(F.col("_n") > F.greatest(F.lit(hot_rows), total / MAX_HOT))
+           .filter(F.col("_n") > F.lit(max(hot_rows, total / MAX_HOT)))
            .select(*[F.col(k).alias(f"_hot_{k}") for k in keys], "_t0",
                    F.ceil((F.col("_t1") - F.col("_t0") + 1) /
                           (F.ceil(F.col("_n") / hot_rows) * SLICES_PER_CHUNK)).alias("_width")))
@@ -62,7 +66,7 @@ def _carry_join(df: DataFrame, keys: Sequence[str], per_slice: DataFrame) -> Dat
 
 
 def previous(df: DataFrame, keys: Sequence[str], cols: Sequence[str], ts: str = "ts",
-             tie: Sequence[str] = (), hot_rows: int = HOT_ROWS,
+             tie: Sequence[str] = (), hot_rows: Optional[int] = HOT_ROWS,
              sliced: Optional[DataFrame] = None) -> DataFrame:
     """Add ``prev``: a struct of ``cols`` from the preceding row of the same key.
 
@@ -82,7 +86,7 @@ def previous(df: DataFrame, keys: Sequence[str], cols: Sequence[str], ts: str =
 
 
 def running(df: DataFrame, keys: Sequence[str], aggs: dict[str, tuple[str, Column]],
-            ts: str = "ts", tie: Sequence[str] = (), hot_rows: int = HOT_ROWS) -> DataFrame:
+            ts: str = "ts", tie: Sequence[str] = (), hot_rows: Optional[int] = HOT_ROWS) -> DataFrame:
     """Add running aggregates ``name -> ('sum'|'min'|'max', column)`` up to each row."""
     base = df if SLICE in df.columns else with_slices(df, keys, ts, hot_rows)
     fns = {"sum": F.sum, "min": F.min, "max": F.max}

@@ -24,7 +24,7 @@ def opposite(device: Column) -> Column:
 
 
 def fill_checkins(events: DataFrame, *, tie: Sequence[str] = ("event_id",),
-                  hot_rows: int = ordered.HOT_ROWS) -> DataFrame:
+                  hot_rows: Optional[int] = ordered.HOT_ROWS) -> DataFrame:
     """Insert the missing opposite event between two equal consecutive ones of a user.
 
     The inserted event lies halfway in time, takes the place of the later event and is
@@ -60,7 +60,7 @@ def capacity_of(room: Column, capacities: dict[str, int]) -> Column:
 
 
 def room_occupancy(events: DataFrame, capacities: dict[str, int], *,
-                   hot_rows: int = ordered.HOT_ROWS) -> DataFrame:
+                   hot_rows: Optional[int] = ordered.HOT_ROWS) -> DataFrame:
     """People in the room after each event: +1 for ``in``, -1 otherwise."""
     rows = events.withColumns({
         "room": room_of(F.col("device_id")),
@@ -73,7 +73,7 @@ def room_occupancy(events: DataFrame, capacities: dict[str, int], *,
 
 # -- cell stay time ----------------------------------------------------------
 def stay_time(points: DataFrame, grid: Grid, window: WindowSpec, *, tie: Sequence[str] = (),
-              hot_rows: int = ordered.HOT_ROWS) -> DataFrame:
+              hot_rows: Optional[int] = ordered.HOT_ROWS) -> DataFrame:
     """Milliseconds spent per window and cell; a step is shared evenly by its cells."""
     rows = ordered.previous(with_window(points, window), ["window", "obj_id"],
                             ["ts", "x", "y"], tie=tie, hot_rows=hot_rows)
@@ -191,7 +191,7 @@ def shift(points: DataFrame, x0, y0) -> DataFrame:
 
 
 def track_segments(points: DataFrame, max_step: float, *, tie: Sequence[str] = (),
-                   hot_rows: int = ordered.HOT_ROWS) -> DataFrame:
+                   hot_rows: Optional[int] = ordered.HOT_ROWS) -> DataFrame:
     """Number the tracks of each object: a step longer than ``max_step`` starts a new one."""
     rows = ordered.previous(points, ["obj_id"], ["x", "y"], tie=tie, hot_rows=hot_rows)
     far = G.point_distance("x", "y", "prev.x", "prev.y") > max_step

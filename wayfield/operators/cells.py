@@ -131,7 +131,7 @@ def aggregate_now(points: DataFrame, grid: Grid, function: str,
 
 
 def running_spans(points: DataFrame, grid: Grid, *, tie: Sequence[str] = (),
-                  hot_rows: int = ordered.HOT_ROWS) -> DataFrame:
+                  hot_rows: Optional[int] = ordered.HOT_ROWS) -> DataFrame:
     """State of the cell as each point arrives: own span, object count, SUM, AVG, MAX."""
     celled = has_cell(grid.with_cell(points))
     own = ["cx", "cy", "obj_id"]
@@ -155,7 +155,7 @@ def aggregate_windows(points: DataFrame, grid: Grid, function: str,
 
 
 def aggregate_counts(points: DataFrame, grid: Grid, function: str, size: int, slide: int, *,
-                     tie: Sequence[str] = (), hot_rows: int = ordered.HOT_ROWS) -> DataFrame:
+                     tie: Sequence[str] = (), hot_rows: Optional[int] = ordered.HOT_ROWS) -> DataFrame:
     """Per cell, every ``slide`` points over the last ``size`` points; ``last_n`` names
     the point number that closes the window."""
     celled = has_cell(grid.with_cell(points))

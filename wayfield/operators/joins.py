@@ -169,13 +169,16 @@ def distance_join(a: DataFrame, b: DataFrame, r: float, *, kinds: tuple[str, str
     if window:
         a, b = _windowed(a, window), _windowed(b, window)
     windowed = "window" in a.columns and "window" in b.columns
+    streaming = a.isStreaming or b.isStreaming
     block = approx and kinds == (G.POINT, G.POINT)
     reach = (grid.candidate_layers(r) + 1) * grid.cell if block else r
     base = _base(reach, max_extent)
     a, b = _prefixed(a, "a"), _prefixed(b, "b")
     sa, sb = G.shape(kinds[0], "a_"), G.shape(kinds[1], "b_")
-    ka, kb, keys = _prepare(a, b, sa, sb, reach, base, [*KEYS, *(["window"] if windowed else [])],
-                            hot_rows)
+    window_key = [] if not windowed else ["window"] if streaming else ["_win"]
+    if window_key == ["_win"]:  # sorts faster than the struct; a stream needs the struct
+        a, b = (df.withColumn("_win", F.col("window.start")) for df in (a, b))
+    ka, kb, keys = _prepare(a, b, sa, sb, reach, base, [*KEYS, *window_key], hot_rows)
     left, right = ka.alias("l"), kb.alias("r")
     cond = [F.col(f"l.{k}") == F.col(f"r.{k}") for k in keys]
     if kinds[0] != G.POINT:
@@ -192,7 +195,7 @@ def distance_join(a: DataFrame, b: DataFrame, r: float, *, kinds: tuple[str, str
     pairs = left.join(right, [*cond, F.expr(f"{boxes} <= {G.num(r + slack)}")])
     if approx:
         return _with_distance(pairs, a, b, boxes, G.num(r), lead)
-    if a.isStreaming or b.isStreaming or kinds == (G.POINT, G.POINT):
+    if streaming or kinds == (G.POINT, G.POINT):
         return _with_distance(pairs, a, b, exact, G.num(r), lead)
     return _refined(pairs, a, b, sa, sb, r, keys)
 
@@ -233,7 +236,8 @@ def _with_distance(pairs: DataFrame, a: DataFrame, b: DataFrame, dist: str,
 
 
 def _plain_columns(a: DataFrame, b: DataFrame) -> list[str]:
-    return [c for c in a.columns + b.columns if c != "window" and c[2:] not in GEOMETRY_ARRAYS]
+    return [c for c in a.columns + b.columns
+            if c not in ("window", "_win") and c[2:] not in GEOMETRY_ARRAYS]
 
 
 def _refined(pairs: DataFrame, a: DataFrame, b: DataFrame, sa: Shape, sb: Shape, r: float,
@@ -246,8 +250,9 @@ def _refined(pairs: DataFrame, a: DataFrame, b: DataFrame, sa: Shape, sb: Shape,
     column are told apart by the row count.
     """
     names = _plain_columns(a, b)
-    group = [*[k for k in keys], *names]
-    rows = pairs.selectExpr(*[f"l.{k} AS {k}" for k in keys], *names, *[
+    lead = ["window"] if "_win" in keys else []
+    group = [*keys, *lead, *names]
+    rows = pairs.selectExpr(*[f"l.{k} AS {k}" for k in keys + lead], *names, *[
         c for s in (sa, sb) if s.kind != G.POINT for c in (s.edges, s.anchors)])
     e, f = (tuple(f"{v}.{c}" for c in ("x1", "y1", "x2", "y2")) for v in "ef")
     if G.POINT in (sa.kind, sb.kind):
@@ -272,7 +277,6 @@ def _refined(pairs: DataFrame, a: DataFrame, b: DataFrame, sa: Shape, sb: Shape,
         covered = "_odd"
     out = rows.groupBy(*group).agg(*measures).withColumn(
         "dist", F.expr(f"IF({covered}, 0D, sqrt(_d2))")).filter(F.col("dist") <= r)
-    lead = ["window"] if "window" in keys else []
     return out.select(*lead, *names, "dist", F.explode(
         F.expr("array_repeat(1, int(_copies))")).alias("_copy")).drop("_copy")
 

@@ -106,10 +106,6 @@ def collect_queries(queries: DataFrame, kind: str) -> Optional[list[QueryGeometr
         rows = queries.select("x", "y").limit(MAX_LITERAL_VERTICES + 1).collect()
         return None if len(rows) > MAX_LITERAL_VERTICES else [G.point(*row) for row in rows]
     column = "rings" if kind == G.POLYGON else "paths"
-    # every polygon has four vertices, every line two; counting stops there
-    most = MAX_LITERAL_VERTICES // (4 if kind == G.POLYGON else 2)
-    if not queries.select().offset(most).isEmpty():
-        return None
     if (queries.agg(F.sum(F.size(F.flatten(column)))).first()[0] or 0) > MAX_LITERAL_VERTICES:
         return None
     return [QueryGeometry(kind, tuple(tuple((v["x"], v["y"]) for v in path) for path in row[0]))

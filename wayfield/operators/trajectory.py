@@ -36,7 +36,7 @@ def filter_ids(stream: DataFrame, ids: Sequence[str] | DataFrame) -> DataFrame:
 
 
 def lines(stream: DataFrame, window: Optional[WindowSpec] = None, *, min_points: int = 1,
-          tie: Sequence[str] = ("x", "y"), hot_rows: int = MAX_PATH_POINTS) -> DataFrame:
+          tie: Sequence[str] = ("x", "y"), hot_rows: Optional[int] = MAX_PATH_POINTS) -> DataFrame:
     """Sub-trajectory paths per window and object, vertices in time order."""
     rows = with_window(stream, window) if window else stream
     keys = (["window"] if "window" in rows.columns else []) + ["obj_id"]
@@ -95,7 +95,7 @@ def _steps(rows: DataFrame, keys: Sequence[str], tie: Sequence[str], hot_rows: i
 
 
 def running_stats(stream: DataFrame, *, tie: Sequence[str] = (),
-                  hot_rows: int = ordered.HOT_ROWS) -> DataFrame:
+                  hot_rows: Optional[int] = ordered.HOT_ROWS) -> DataFrame:
     """Running length, duration (ms) and mean speed at every point but an object's first."""
     steps = _steps(stream, ["obj_id"], tie, hot_rows)
     out = ordered.running(steps, ["obj_id"], {
@@ -107,7 +107,7 @@ def running_stats(stream: DataFrame, *, tie: Sequence[str] = (),
 
 
 def window_stats(stream: DataFrame, window: WindowSpec, *, tie: Sequence[str] = (),
-                 hot_rows: int = ordered.HOT_ROWS) -> DataFrame:
+                 hot_rows: Optional[int] = ordered.HOT_ROWS) -> DataFrame:
     """Length, duration and mean speed per window and object; speed NULL for one point."""
     steps = _steps(with_window(stream, window), ["window", "obj_id"], tie, hot_rows)
     return steps.groupBy("window", "obj_id").agg(
@@ -117,7 +117,7 @@ def window_stats(stream: DataFrame, window: WindowSpec, *, tie: Sequence[str] =
 
 
 def speed(stream: DataFrame, *, tie: Sequence[str] = (),
-          hot_rows: int = ordered.HOT_ROWS) -> DataFrame:
+          hot_rows: Optional[int] = ordered.HOT_ROWS) -> DataFrame:
     """Distance per second between consecutive points of an object, where time passed."""
     out = ordered.previous(stream, ["obj_id"], ["ts", "x", "y"], tie=tie, hot_rows=hot_rows)
     seconds = (F.unix_millis("ts") - F.unix_millis("prev.ts")) / 1000.0
@@ -141,7 +141,7 @@ def trajectory_pairs(a: DataFrame, b: DataFrame, d: float, *, window: Optional[W
 
 def trajectory_join_lines(a: DataFrame, b: DataFrame, d: float, window: WindowSpec, *,
                           exclude_same_id: bool = False, min_points: int = 2,
-                          hot_rows: int = MAX_PATH_POINTS) -> DataFrame:
+                          hot_rows: Optional[int] = MAX_PATH_POINTS) -> DataFrame:
     """Sub-trajectories of both members of every joined id pair, ``side`` a and b.
 
     A pair is kept when both members have at least ``min_points`` points.
@@ -177,7 +177,7 @@ def trajectory_knn(stream: DataFrame, query: QueryGeometry, r: Optional[float],
 
 def trajectory_knn_lines(stream: DataFrame, query: QueryGeometry, r: Optional[float], k: int,
                          window: WindowSpec, *, min_points: int = 2,
-                         hot_rows: int = MAX_PATH_POINTS) -> DataFrame:
+                         hot_rows: Optional[int] = MAX_PATH_POINTS) -> DataFrame:
     """Sub-trajectories of the k nearest objects per window, with rank and distance."""
     top = knn.knn(stream, query, r, k, window=window)
     rows = with_window(stream, window)
