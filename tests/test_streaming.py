@@ -114,6 +114,30 @@ def test_knn_of_closed_windows(points, replay):
     assert rows(got) == rows(closed(near, knn.knn(points, q, 60.0, 3, window=HOUR)))
 
 
+@pytest.mark.parametrize("spec", [HOUR, WindowSpec("1 hour", "20 minutes")], ids=["tumbling", "sliding"])
+@pytest.mark.parametrize("operator", [
+    lambda df, w: T.line_summary(T.touching_lines(df, G.rectangle(0, 0, 60, 60), w)),
+    lambda df, w: T.line_summary(T.trajectory_knn_lines(df, G.point(50, 50), 60.0, 3, w)),
+    lambda df, w: T.trajectory_pairs(df, df, 8.0, window=w, exclude_same_id=True),
+    lambda df, w: apps.stay_time(df, GRID, w),
+], ids=["touching", "knn_lines", "pairs", "stay_time"])
+def test_windowed_operators_when_windows_close(points, replay, spec, operator):
+    plain = points.drop("device_id")
+    got = run.run_closed_windows(replay.stream().drop("device_id"), lambda df: operator(df, spec), spec, "t")
+    assert rows(got, 4) == rows(closed(plain, operator(plain, spec)), 4)
+
+
+def test_closed_windows_ignore_late_rows(spark, points):
+    replay = Replay(spark, points.schema)
+    replay.add(points.filter("event_id < 200"))
+    replay.add(points.filter("event_id < 5").withColumn("event_id", F.col("event_id") + 10_000))
+    replay.add(points.filter("event_id >= 200"))
+    got = run.run_closed_windows(replay.stream(), lambda df: T.window_stats(df, HOUR), HOUR, "t", lateness_seconds=30)
+    newest = points.agg(F.max("ts")).first()[0]
+    want = T.window_stats(points, HOUR).filter(F.col("window.end") <= F.lit(newest) - F.expr("INTERVAL 30 SECONDS"))
+    assert rows(got) == rows(want)
+
+
 def test_join_over_micro_batches(points, replay):
     def sides(df):
         return df.filter("event_id % 2 = 0").drop("device_id"), df.filter("event_id % 2 = 1").drop("device_id")

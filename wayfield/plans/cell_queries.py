@@ -116,6 +116,24 @@ register("exp2_boundary_distance",
              "x", "y", G.literal(fx.QUERY_POLYGONS[0]).edges))).alias("dist")),
          f"{sql.base()}, {sql.query_edges(fx.QUERY_POLYGONS[:1])} SELECT event_id, "
          f"round(sqrt(min({sql.seg2('p.x', 'p.y', 'e')})), 6) AS dist FROM pts p, q_edges e GROUP BY event_id")
+
+
+def _distance_to(table, kind, q, fn):
+    key = "event_id" if kind == POINT else "obj_id"
+    return lambda s, d: table(s, d).select(F.col(key).alias("k"), r6(fn(G.shape(kind), G.literal(q))).alias("dist"))
+
+
+_DIST = "SELECT k, round(dist, 6) AS dist FROM dists"
+register("exp1_point_distance", _distance_to(fx.pts, POINT, Q, G.distance),
+         f"{pair_distances(POINT, POINT, [Q])} {_DIST}")
+for _name, _kind, _table, _q in (
+        ("point_polygon", POINT, fx.pts, fx.QUERY_POLYGONS[1]), ("point_line", POINT, fx.pts, fx.QUERY_LINE),
+        ("polygon_polygon", POLYGON, fx.polys, fx.QUERY_POLYGONS[1]), ("polygon_line", POLYGON, fx.polys, fx.QUERY_LINE),
+        ("line_line", LINE, fx.lines, fx.QUERY_LINE)):
+    register(f"exp3_{_name}_distance", _distance_to(_table, _kind, _q, G.distance),
+             f"{pair_distances(_kind, _q.kind, [_q])} {_DIST}")
+    register(f"exp{4 if _kind == POINT else 5}_{_name}_bbox_distance", _distance_to(_table, _kind, _q, G.bbox_distance),
+             f"{pair_distances(_kind, _q.kind, [_q], approx=True)} {_DIST}")
 register("exp6_haversine",
          lambda s, d: fx.pts(s, d).select("event_id", F.round(G.haversine(
              "x", "y * 0.8D", G.num(QX), G.num(QY)), 3).alias("metres")),

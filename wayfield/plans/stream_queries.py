@@ -181,3 +181,49 @@ register("str12_observed_latency", _observed,
          range_queries.pair_distances(POINT, POINT, fx.QUERY_POINTS)
          + f" SELECT event_id, epoch_us(TIMESTAMP '{range_queries.AS_OF}') // 1000 - ts_ms AS latency_ms FROM pts "
          f"WHERE event_id IN (SELECT k FROM dists WHERE dist <= {sql.d(range_queries.R)})")
+
+
+# -- windowed trajectory operators, run as their windows close ------------------------------
+def _closing(operator, result):
+    def fn(spark, sf_dir):
+        stream = fx.points_from(fx.events_stream(spark, sf_dir))
+        return result(run.run_closed_windows(stream, operator, TUMBLING, "closing"))
+    return fn
+
+
+def _touching(rows):
+    return T.touching_lines(rows, fx.QUERY_POLYGONS, TUMBLING)
+
+
+def _knn_lines(rows):
+    return T.trajectory_knn_lines(rows, tq.Q, tq.R, tq.K, TUMBLING)
+
+
+def _by_type(rows):
+    return [rows.filter(F.col("event_type") == t) for t in ("click", "error")]
+
+
+register("str_trj4_touching_lines", _closing(_touching, lambda out: tq._summary(out, "obj_id")),
+         closed(ORACLES["trj4_touching_lines"]))
+register("str_trj17_trajectory_knn_lines",
+         _closing(_knn_lines, lambda out: tq._summary(out, "obj_id", "bigint(rank) AS rank", "round(dist, 6) AS dist")),
+         closed(ORACLES["trj17_trajectory_knn_lines"]))
+register("str_trj7_window_stats",
+         _closing(lambda rows: T.window_stats(rows, TUMBLING),
+                  lambda out: out.selectExpr("unix_seconds(window.start) AS win_start", "obj_id", *tq._stat)),
+         closed(ORACLES["trj7_window_stats"]))
+register("str_trj12_trajectory_join",
+         _closing(lambda rows: T.trajectory_pairs(*_by_type(rows), tq.D, window=TUMBLING), tq._pairs),
+         closed(ORACLES["trj12_trajectory_join"]))
+register("str_trj13_trajectory_join_lines",
+         _closing(lambda rows: T.trajectory_join_lines(*_by_type(rows), tq.D, TUMBLING),
+                  lambda out: tq._summary(out, "a_obj_id", "b_obj_id", "side")),
+         closed(ORACLES["trj13_trajectory_join_lines"]))
+register("str_app3_stay_time",
+         _closing(lambda rows: apps.stay_time(rows, fx.GRID20, TUMBLING),
+                  lambda out: out.select(win_start().alias("win_start"), "cx", "cy", F.round("stay_ms", 5).alias("stay_ms"))),
+         closed(ORACLES["app3_stay_time"]))
+register("str_app5_normalized_stay_time",
+         _closing(lambda rows: apps.normalized_stay_time(rows, fx.polys_from(rows), fx.GRID20, TUMBLING, cell_queries.SECONDS),
+                  lambda out: out.select(win_start().alias("win_start"), "cx", "cy", F.round("normalized", 3).alias("normalized"))),
+         closed(ORACLES["app5_normalized_stay_time"]))

@@ -53,6 +53,57 @@ def latest(rows: DataFrame, keys: list[str]) -> DataFrame:
     return rows.groupBy(*keys).agg(newest).select(*keys, "_v.*")
 
 
+# -- any windowed operator on a stream ---------------------------------------------------
+def run_closed_windows(stream: DataFrame, operator: Callable[[DataFrame], DataFrame],
+                       window: WindowSpec, name: str, *, lateness_seconds: float = 0,
+                       available_now: bool = True) -> DataFrame:
+    """Run a windowed batch operator on a stream, each window once, when it closes.
+
+    For operators that need several shuffles per window (sub-trajectories, joins of
+    them, stay time). Rows are appended to a table by day; a micro-batch that moves the
+    newest event time past the end of windows runs ``operator`` (rows to rows with
+    ``window``) on the stretch of time those windows cover. Rows of windows that closed
+    in an earlier micro-batch are late and ignored. Everything is written per batch, so a
+    retried batch gives the same files.
+    """
+    spark = stream.sparkSession
+    path = work_dir(spark, name)
+    size_us = f"unix_micros(timestamp_seconds(0) + INTERVAL {window.size})"
+    size = spark.range(1).selectExpr(size_us).first()[0]
+
+    def newest(limit: int) -> Optional[int]:
+        seen = spark.read.parquet(f"{path}/newest").filter(F.col("batch") <= limit)
+        top = seen.agg(F.max("us")).first()[0]
+        return None if top is None else top - int(lateness_seconds * 1_000_000)
+
+    def close(batch: DataFrame, number: int) -> None:
+        raw = f"{path}/raw/batch={number}"
+        batch.withColumn("day", F.to_date("ts")).write.mode("overwrite").partitionBy("day").parquet(raw)
+        batch.select(F.max(F.unix_micros("ts")).alias("us")).write.mode("overwrite").parquet(
+            f"{path}/newest/batch={number}")
+        now, before = newest(number), newest(number - 1)
+        if now is None or now == before:
+            return
+        rows = spark.read.schema(f"{_ddl(batch)}, batch int, day date").parquet(f"{path}/raw")
+        rows = rows.filter(F.col("batch") <= number)
+        if before is not None:
+            first = F.timestamp_micros(F.lit(before - size))
+            rows = rows.filter((F.col("day") >= F.to_date(first)) & (F.col("ts") >= first))
+        out = operator(rows.drop("batch", "day"))
+        end = F.unix_micros("window.end")
+        out = out.filter(end <= now) if before is None else out.filter((end > before) & (end <= now))
+        out.write.mode("overwrite").parquet(f"{path}/rows/batch={number}")
+
+    writer = stream.writeStream.option("checkpointLocation", f"{path}/_checkpoint").foreachBatch(close)
+    query = (writer.trigger(availableNow=True) if available_now else writer).start()
+    query.awaitTermination()
+    return spark.read.parquet(f"{path}/rows").drop("batch")
+
+
+def _ddl(df: DataFrame) -> str:
+    return ", ".join(f"`{name}` {kind}" for name, kind in df.dtypes)
+
+
 # -- streaming forms ---------------------------------------------------------------
 def nearest(stream: DataFrame, query: QueryGeometry, r: Optional[float], k: int,
             window: WindowSpec, *, kind: str = POINT, name: str = "knn", **options) -> DataFrame:
