@@ -52,6 +52,14 @@ def with_slices(df: DataFrame, keys: Sequence[str], ts: str = "ts",
             .drop("_t0", "_width", *[f"_hot_{k}" for k in keys]))
 
 
+def first_per_time(sliced: DataFrame, keys: Sequence[str], ts: str = "ts",
+                   tie: Sequence[str] = ()) -> DataFrame:
+    """Keep the first row of every timestamp; equal timestamps share a slice."""
+    w = W.partitionBy(*keys, SLICE).orderBy(*_order(ts, tie))
+    seen = F.coalesce(F.lag(ts).over(w) == F.col(ts), F.lit(False))
+    return sliced.withColumn("_seen", seen).filter(~F.col("_seen")).drop("_seen")
+
+
 def _order(ts: str, tie: Sequence[str]) -> list[str]:
     return [ts, *tie]
 
@@ -66,14 +74,13 @@ def _carry_join(df: DataFrame, keys: Sequence[str], per_slice: DataFrame) -> Dat
 
 
 def previous(df: DataFrame, keys: Sequence[str], cols: Sequence[str], ts: str = "ts",
-             tie: Sequence[str] = (), hot_rows: Optional[int] = HOT_ROWS,
-             sliced: Optional[DataFrame] = None) -> DataFrame:
+             tie: Sequence[str] = (), hot_rows: Optional[int] = HOT_ROWS) -> DataFrame:
     """Add ``prev``: a struct of ``cols`` from the preceding row of the same key.
 
-    NULL for the first row of a key. ``_slice`` stays on the result for reuse by a
-    following ``running`` call and is removed by ``drop_slices``.
+    NULL for the first row of a key. ``_slice`` is taken over if present; it stays on the
+    result for a following ``running`` call and is removed by ``drop_slices``.
     """
-    base = sliced if sliced is not None else with_slices(df, keys, ts, hot_rows)
+    base = df if SLICE in df.columns else with_slices(df, keys, ts, hot_rows)
     order = _order(ts, tie)
     w = W.partitionBy(*keys, SLICE).orderBy(*order)
     rows = base.withColumn("_prev", F.lag(F.struct(*cols)).over(w))

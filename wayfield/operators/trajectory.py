@@ -86,9 +86,9 @@ def touching_lines(stream: DataFrame, polygons: Queries, window: WindowSpec,
 # -- statistics --------------------------------------------------------------
 def _steps(rows: DataFrame, keys: Sequence[str], tie: Sequence[str], hot_rows: int) -> DataFrame:
     """Length and duration of the step into each row; equal timestamps count once."""
-    first = rows.groupBy(*keys, "ts").agg(F.min(F.struct(*tie, "x", "y")).alias("_p"))
-    first = first.select(*keys, "ts", F.col("_p.x").alias("x"), F.col("_p.y").alias("y"))
-    out = ordered.previous(first, keys, ["ts", "x", "y"], hot_rows=hot_rows)
+    first = ordered.first_per_time(ordered.with_slices(rows, keys, hot_rows=hot_rows), keys,
+                                   tie=[*tie, "x", "y"])
+    out = ordered.previous(first.select(*keys, ordered.SLICE, "ts", "x", "y"), keys, ["ts", "x", "y"])
     return out.withColumns({
         "step": G.point_distance("x", "y", "prev.x", "prev.y"),
         "step_ms": F.unix_millis("ts") - F.unix_millis("prev.ts")})
