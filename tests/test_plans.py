@@ -57,6 +57,10 @@ def test_knn_limits_rows_before_the_shuffle(table):
     assert "partial_min" in text
 
 
+def test_knn_without_windows_is_a_top_k(table):
+    assert "TakeOrderedAndProject(limit=3" in plan(knn.knn(table, G.point(1, 1), 5.0, 3))
+
+
 def test_large_sides_are_not_broadcast(table, monkeypatch):
     monkeypatch.setattr(joins, "MAX_BROADCAST_ROWS", 10)
     text = plan(joins.distance_join(table.select("id", "x", "y", "ts"), table.select("id", "x", "y", "ts"), 1.0))

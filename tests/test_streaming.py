@@ -183,7 +183,7 @@ def test_metrics_are_observed(points, replay):
     query.awaitTermination()
     seen = [p["observedMetrics"]["m"] for p in query.recentProgress if p.get("observedMetrics")]
     assert sum(m["rows"] for m in seen) == 400
-    assert run.without_late_count(query) == 0
+    assert run.late_rows_dropped(query) == 0
 
 
 def test_restart_continues(spark, points):

@@ -42,9 +42,11 @@ def object_distances(stream: DataFrame, query: QueryGeometry, r: Optional[float]
 
 def rank_nearest(distances: DataFrame, k: int) -> DataFrame:
     """Keep the first k objects per window; each task forwards at most k rows of one."""
-    windowed = "window" in distances.columns
-    rank = F.row_number().over(
-        (W.partitionBy("window") if windowed else W.partitionBy(F.lit(0))).orderBy("dist", "obj_id"))
+    order = ["dist", "obj_id"]
+    if "window" not in distances.columns:
+        distances = distances.orderBy(*order).limit(k)
+        return distances.withColumn("rank", F.row_number().over(W.partitionBy(F.lit(0)).orderBy(*order)))
+    rank = F.row_number().over(W.partitionBy("window").orderBy(*order))
     return distances.withColumn("rank", rank).filter(F.col("rank") <= k)
 
 

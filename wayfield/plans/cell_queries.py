@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions import geometry as G
 from ..functions.geometry import LINE, POINT, POLYGON
-from ..functions.grid import cell_id, neighbor_cells, within_layers
+from ..functions.grid import neighbor_cells, within_layers
 from ..functions.windows import WindowSpec
 from ..operators import apps, cells
 from . import fixtures as fx

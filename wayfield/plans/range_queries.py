@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions import geometry as G
 from ..functions.geometry import LINE, POINT, POLYGON
 from ..functions.windows import WindowSpec
 from ..operators import ranges

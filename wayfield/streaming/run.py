@@ -129,7 +129,7 @@ def occupancy(stream: DataFrame, capacities: dict[str, int]) -> DataFrame:
     return out.withColumn("capacity", apps.capacity_of(F.col("room"), capacities))
 
 
-def without_late_count(query) -> int:
+def late_rows_dropped(query) -> int:
     """Rows the last progress of a query dropped behind the watermark."""
     progress = query.lastProgress
     return sum(op["numRowsDroppedByWatermark"] for op in progress["stateOperators"]) if progress else 0
