@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import toxicity
+from . import jaccard, langid, toxicity
 from .common import remainder, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -19,12 +19,55 @@ def query(fn):
     return fn
 
 
+def oracle(name: str, sql: str) -> None:
+    ORACLES[name] = sql
+
+
 def held_out(modulus: int, rest: int):
     return F.coalesce(remainder("doc_id", modulus) == rest, F.lit(False)).alias("held_out")
 
 
+@query
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    net = langid.fit(docs.filter(remainder("doc_id", 4) != 2))
+    return (langid.predict(docs.select("doc_id", "text"), net)
+            .select("doc_id", held_out(4, 2), "lang_pred", "score"))
+
+
 @query
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
     return toxicity.score(docs, model).select("doc_id", held_out(5, 0), "score", "predicted")
+
+
+@query
+def op4_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return jaccard.similarity_classes(docs).select(
+        F.col("doc").alias("doc_id"), F.col("n").alias("n_shingles"),
+        F.col("component").alias("component_id"))
+
+
+oracle("op4_ngram_jaccard_join", r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+    ELSE list_transform(range(1, len(w) - 3), i -> array_to_string(w[i:i + 4], ' ')) END) AS g FROM w),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+both AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c
+  FROM s a JOIN s b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY ALL),
+link AS (
+  SELECT a, b FROM both JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b
+  WHERE 100 * c >= 80 * (x.n + y.n - c)),
+reach AS (
+  SELECT doc_id AS d, doc_id AS r FROM w
+  UNION
+  SELECT reach.d, link.b FROM reach JOIN link ON link.a = reach.r)
+SELECT w.doc_id, coalesce(n.n, 0) AS n_shingles, m.c AS component_id
+FROM w LEFT JOIN n ON n.doc_id = w.doc_id
+JOIN (SELECT d, min(r) AS c FROM reach GROUP BY d) m ON m.d = w.doc_id""")
