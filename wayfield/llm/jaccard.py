@@ -132,16 +132,16 @@ def _sets(data, starts, lengths, first):
             s = np.sort(rolled[a:b - SHINGLE + 1])
             yield first + k, s[np.concatenate([[True], s[1:] != s[:-1]])]
         elif b > a:
-            one = (words[a:b] * q[:b - a]).sum(dtype=np.uint64) + np.uint64(b - a)
-            yield first + k, _mix(np.array([one], np.uint64))
+            one = (words[a:b] * q[:b - a]).sum(dtype=np.uint64, keepdims=True)
+            yield first + k, _mix(one + np.uint64(b - a))
         else:
             yield first + k, np.empty(0, np.uint64)
 
 
 def set_id(hashes: np.ndarray) -> int:
     """Signed 64-bit name of a set; equal sets have equal names."""
-    s = _mix(hashes * _STEP + _BASE).sum(dtype=np.uint64) + np.uint64(len(hashes)) * _STEP
-    return int(_mix(np.array([s], np.uint64)).view(np.int64)[0])
+    total = _mix(hashes * _STEP + _BASE).sum(dtype=np.uint64, keepdims=True)
+    return int(_mix(total + np.array([len(hashes)], np.uint64) * _STEP).view(np.int64)[0])
 
 
 def described(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:

@@ -56,13 +56,13 @@ WITH RECURSIVE w AS (
     'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
 s AS (
   SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
-    ELSE list_transform(range(1, len(w) - 3), i -> array_to_string(w[i:i + 4], ' ')) END) AS g FROM w),
+    ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) END) AS g FROM w),
 n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
-both AS (
+shared AS (
   SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c
   FROM s a JOIN s b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY ALL),
 link AS (
-  SELECT a, b FROM both JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b
+  SELECT a, b FROM shared JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b
   WHERE 100 * c >= 80 * (x.n + y.n - c)),
 reach AS (
   SELECT doc_id AS d, doc_id AS r FROM w
