@@ -6,11 +6,15 @@ again as the next stage's documents.
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wayfield.llm import toxicity
-from wayfield.llm.common import table, written
+from wayfield.llm import jaccard, langid, mixing, packing, toxicity
+from wayfield.llm.common import remainder, table, written
+
+VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
+LEAST_LANGUAGE_SCORE = 0.4
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -19,8 +23,40 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, model).filter(F.col("predicted") == 0).select(*docs.columns)
 
 
+def keep_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with letters for which some language has a score of 0.4 or more."""
+    net = langid.fit(docs.filter(remainder("doc_id", 4) != 2))
+    good = (F.col("lang_pred") != langid.UNKNOWN) & (F.col("score") >= LEAST_LANGUAGE_SCORE)
+    return langid.predict(docs, net).filter(good).select(*docs.columns)
+
+
+def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The document with the smallest id of every similarity class; of rows that repeat its id,
+    one. Documents without words or without an id are in no group and stay."""
+    classes = jaccard.similarity_classes(docs)
+    kept = written(classes.filter("component IS NULL OR doc = component").select("doc").distinct(), "kept-ids")
+    alone = docs.filter(F.col("doc_id").isNull())
+    rows = docs.join(kept.filter("doc IS NOT NULL"), docs.doc_id == F.col("doc"), "left_semi")
+    unique = docs.filter("doc_id IS NOT NULL").groupBy("doc_id").count().filter("count > 1").isEmpty()
+    return (rows if unique else rows.dropDuplicates(["doc_id"])).unionByName(alone)
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every document as often as the mix of the sources takes it."""
+    return mixing.apply_mix(docs, mixing.mix(docs))
+
+
+def pack_windows(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of windows of 2,048 tokens, see ``op2_packing``."""
+    return packing.pack(docs, VOCABULARY).withColumnRenamed("doc", "doc_id").drop("source")
+
+
 STAGES = [
     ("toxicity", drop_toxic),
+    ("language ID", keep_languages),
+    ("n-gram Jaccard join", keep_one_of_each),
+    ("mixing sources to target weights", mix_sources),
+    ("packing", pack_windows),
 ]
 
 # trained models decide which rows stay, which SQL cannot express
@@ -29,6 +65,6 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    for name, stage in STAGES[:-1]:
-        docs = written(stage(spark, docs, sf_dir), f"pipeline-{name}")
+    for i, (_, stage) in enumerate(STAGES[:-1]):
+        docs = written(stage(spark, docs, sf_dir), f"pipeline-{i}")
     return STAGES[-1][1](spark, docs, sf_dir)

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import jaccard, langid, toxicity
+from . import jaccard, langid, mixing, packing, toxicity
 from .common import remainder, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -35,6 +36,13 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select("doc_id", held_out(4, 2), "lang_pred", "score"))
 
 
+@query
+def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    vocabulary = public_tokenizers.path("word_bpe_49k.json")
+    return packing.pack(docs, vocabulary).withColumnRenamed("doc", "doc_id").drop("source")
+
+
 @query
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -71,3 +79,11 @@ reach AS (
 SELECT w.doc_id, coalesce(n.n, 0) AS n_shingles, m.c AS component_id
 FROM w LEFT JOIN n ON n.doc_id = w.doc_id
 JOIN (SELECT d, min(r) AS c FROM reach GROUP BY d) m ON m.d = w.doc_id""")
+
+
+@query
+def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    return (mixing.mix(docs).withColumn("row", F.explode(F.expr("sequence(1, copies_of)")))
+            .select(F.col("doc").alias("doc_id"), "size", "source_size", "target",
+                    (F.col("size") * F.col("copies")).alias("taken")))
