@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import jaccard, langid, mixing, packing, toxicity
+from . import fingerprints, jaccard, langid, mixing, packing, toxicity
 from .common import remainder, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -87,3 +87,15 @@ def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (mixing.mix(docs).withColumn("row", F.explode(F.expr("sequence(1, copies_of)")))
             .select(F.col("doc").alias("doc_id"), "size", "source_size", "target",
                     (F.col("size") * F.col("copies")).alias("taken")))
+
+
+@query
+def op9_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    own, edited, following = F.col("sketch"), F.col("edited_sketch"), F.col("next_sketch")
+    return fingerprints.fingerprinted(docs).select(
+        F.col("id").alias("doc_id"), F.col("n_chars").cast("long").alias("n_chars"), "edited_sha256",
+        fingerprints.as_text(own).alias("fingerprint"),
+        fingerprints.as_text(edited).alias("edited_fingerprint"),
+        fingerprints.resemblance(own, edited).alias("near_edited"),
+        fingerprints.resemblance(own, following).alias("near_next"))
