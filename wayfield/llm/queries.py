@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import fingerprints, jaccard, langid, mixing, packing, toxicity
+from . import fingerprints, jaccard, langid, mixing, packing, sharding, toxicity
 from .common import remainder, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -99,3 +99,11 @@ def op9_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
         fingerprints.as_text(edited).alias("edited_fingerprint"),
         fingerprints.resemblance(own, edited).alias("near_edited"),
         fingerprints.resemblance(own, following).alias("near_next"))
+
+
+@query
+def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return sharding.shard(docs, 40).select(
+        F.col("doc").alias("doc_id"), "size", F.col("crc").alias("text_crc32"), F.lit("bytes").alias("law"),
+        "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
