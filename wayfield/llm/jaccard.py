@@ -10,9 +10,12 @@ below works on classes.
   of size a holds all their links: no pairs, no verification.
 * Heavy sets are met by scanning inverted lists. Shingles are ordered by document frequency
   (frequent ones last) and a set enters the lists of its first ``n - ceil(0.8 n) + 1`` shingles;
-  linked sets share one of those lists. Round one compares the members of a list with one leader
-  of it and joins up what links. Round two compares, exactly, the pairs of a list that round one
-  left in different components. Light sets large enough to have heavy partners are listed too.
+  linked sets share one of those lists, and in the first one they share neither has spent more
+  shingles than the pair may miss (``room``). Round one compares the members of a list with its
+  leader, the set that spent least, and joins up what links. Round two compares the pairs of a
+  list that round one left in different components. Light sets large enough to have heavy
+  partners are listed too. Pairs are first held against parity signatures, whose distance never
+  exceeds that of the sets, then verified on the texts.
 * The boundary minimises estimated cost: subsets emitted below it, postings times the mean list
   length above it, both from counts of the whole input.
 
@@ -39,7 +42,7 @@ SHINGLE = 5
 FREQUENT = 48            # documents from which on a shingle counts as frequent
 MAX_FREQUENT = 1_000_000
 CHUNK = 20_000           # postings of one list that one task scans
-BLOCK = 2_000_000        # hashes gathered before a block is emitted
+BLOCK = 1_000_000        # hashes gathered before a block is emitted
 MAX_BOUNDARY = 14
 
 _rng = np.random.default_rng(20240229)
@@ -144,21 +147,45 @@ def set_id(hashes: np.ndarray) -> int:
     return int(_mix(total + np.array([len(hashes)], np.uint64) * _STEP).view(np.int64)[0])
 
 
+def parity(hashes: np.ndarray) -> bytes:
+    """Parity of the hashes per bucket, in at least two bits per hash (a power of two, 64 or more).
+
+    Two sets differ in at least as many hashes as their signatures differ in bits; a longer
+    signature folds to a shorter one.
+    """
+    bits = 1 << max(6, int(2 * len(hashes) - 1).bit_length())
+    odd = np.bincount((hashes & np.uint64(bits - 1)).astype(np.int64), minlength=bits).astype(np.uint8) & 1
+    return np.packbits(odd, bitorder="little").tobytes()
+
+
+def parity_distance(a: bytes, b: bytes) -> int:
+    x, y = int.from_bytes(a, "little"), int.from_bytes(b, "little")
+    n, m = 8 * len(a), 8 * len(b)
+    while n > m:
+        n //= 2
+        x = (x >> n) ^ (x & ((1 << n) - 1))
+    while m > n:
+        m //= 2
+        y = (y >> m) ^ (y & ((1 << m) - 1))
+    return (x ^ y).bit_count()
+
+
 def described(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(doc, set_id, n) of every row; set_id is NULL for the empty set."""
+    """(doc, set_id, n, sig) of every row; set_id and sig are NULL for the empty set."""
     source = docs.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).alias("text"))
 
     def run(batches):
         for batch in batches:
-            names, sizes = [], []
+            names, sizes, sigs = [], [], []
             for _, s in shingle_sets(batch.column(1)):
                 names.append(set_id(s) if len(s) else None)
                 sizes.append(len(s))
+                sigs.append(parity(s) if len(s) else None)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(names, pa.int64()), pa.array(sizes, pa.int64())],
-                names=["doc", "set_id", "n"])
+                [batch.column(0), pa.array(names, pa.int64()), pa.array(sizes, pa.int64()), pa.array(sigs, pa.binary())],
+                names=["doc", "set_id", "n", "sig"])
 
-    return source.mapInArrow(run, "doc long, set_id long, n long")
+    return source.mapInArrow(run, "doc long, set_id long, n long, sig binary")
 
 
 def _blocks(keys: np.ndarray, payload: np.ndarray, bits: int):
@@ -277,10 +304,10 @@ def light_links(docs: DataFrame, text_col: str, x: int) -> DataFrame:
 
 def scanned_lists(docs: DataFrame, text_col: str, x: int, bits: int, names: np.ndarray,
                   freq: np.ndarray) -> DataFrame:
-    """Inverted lists with two or more sets: (list, members, sizes); a list of a frequent shingle
-    comes in chunks."""
+    """Inverted lists with two or more sets: (list, members, sizes, spent), the member that spent
+    the fewest shingles before this one first; a list of a frequent shingle comes in chunks."""
     shared = docs.sparkSession.sparkContext.broadcast((names, freq))
-    item = np.dtype([("low", "<u4"), ("n", "<u4"), ("set", "<i8")])
+    item = np.dtype([("low", "<u4"), ("n", "<u4"), ("spent", "<u4"), ("set", "<i8")])
 
     def emit(batches):
         hot_names, hot_freq = shared.value
@@ -307,6 +334,7 @@ def scanned_lists(docs: DataFrame, text_col: str, x: int, bits: int, names: np.n
         body = np.empty(len(keys), item)
         body["low"] = _low(keys, bits)
         body["n"] = np.repeat(np.array([h[2] for h in held]), reps)
+        body["spent"] = np.concatenate([np.arange(r) for r in reps])
         body["set"] = np.repeat(np.array([h[3] for h in held], np.int64), reps)
         bucket = (keys >> np.uint64(64 - bits)).astype(np.int64)
         # lists above CHUNK are dealt out to several buckets by the set
@@ -329,6 +357,7 @@ def scanned_lists(docs: DataFrame, text_col: str, x: int, bits: int, names: np.n
         body = body[np.lexsort((body["set"], body["low"]))]
         same = np.concatenate([[False], (body["low"][1:] == body["low"][:-1]) & (body["set"][1:] == body["set"][:-1])])
         body = body[~same]
+        body = body[np.lexsort((body["set"], body["n"], body["spent"], body["low"]))]
         cut = np.flatnonzero(np.concatenate([[True], body["low"][1:] != body["low"][:-1]]))
         end = np.append(cut[1:], len(body))
         bucket = key[0].as_py() & 0xFFFFFFFF
@@ -343,11 +372,12 @@ def scanned_lists(docs: DataFrame, text_col: str, x: int, bits: int, names: np.n
         return pa.table({
             "list": pa.array(ids[keep]),
             "members": pa.ListArray.from_arrays(offsets, pa.array(np.ascontiguousarray(body["set"]))),
-            "sizes": pa.ListArray.from_arrays(offsets, pa.array(body["n"].astype(np.int32)))})
+            "sizes": pa.ListArray.from_arrays(offsets, pa.array(body["n"].astype(np.int32))),
+            "spent": pa.ListArray.from_arrays(offsets, pa.array(body["spent"].astype(np.int32)))})
 
     rows = docs.select(text_col).mapInArrow(emit, "bucket long, block binary")
     return written(rows.groupBy("bucket").applyInArrow(
-        scan, "list long, members array<long>, sizes array<int>"), "jaccard-lists")
+        scan, "list long, members array<long>, sizes array<int>, spent array<int>"), "jaccard-lists")
 
 
 def first_shingles(s: np.ndarray, p: int, hot_names: np.ndarray, hot_freq: np.ndarray, bits: int):
@@ -364,35 +394,57 @@ def first_shingles(s: np.ndarray, p: int, hot_names: np.ndarray, hot_freq: np.nd
     return s[order], df[order]
 
 
+def room(n: str, spent: str, m: str, spent_m: str) -> str:
+    """SQL: sets of n and m shingles may link although so many were spent before this list."""
+    need = f"((4 * ({n} + {m}) + 8) div 9)"
+    return f"({spent} <= {n} - {need} AND {spent_m} <= {m} - {need})"
+
+
 def star_pairs(lists: DataFrame) -> DataFrame:
-    """Candidate pairs of round one: each member with its chunk's first member, each chunk's
-    first member with its list's."""
-    inner = (lists.select(F.col("members")[0].alias("a"), F.col("sizes")[0].alias("n0"),
-                          F.explode(F.arrays_zip("members", "sizes")).alias("m"))
-             .selectExpr("a", "n0", "m.members AS b", "m.sizes AS n")
-             .filter("a <> b AND n * 5 >= 4 * n0 AND n0 * 5 >= 4 * n").select("a", "b"))
-    heads = lists.select("list", F.col("members")[0].alias("b"), F.col("sizes")[0].alias("n"))
-    first = (heads.groupBy("list").agg(F.min(F.struct("b", "n")).alias("f"), F.count("*").alias("c"))
-             .filter("c > 1"))
-    across = (heads.join(first, "list").filter("b <> f.b AND n * 5 >= 4 * f.n AND f.n * 5 >= 4 * n")
-              .selectExpr("f.b AS a", "b"))
+    """Candidate pairs of round one: each member with its chunk's leader, each chunk's leader with
+    its list's."""
+    inner = (lists.select(F.col("members")[0].alias("a"), F.col("sizes")[0].alias("n0"), F.col("spent")[0].alias("s0"),
+                          F.explode(F.arrays_zip("members", "sizes", "spent")).alias("m"))
+             .selectExpr("a", "n0", "s0", "m.members AS b", "m.sizes AS n", "m.spent AS s")
+             .filter(f"a <> b AND {room('n0', 's0', 'n', 's')}").select("a", "b"))
+    heads = lists.select("list", F.struct(F.col("spent")[0].alias("s"), F.col("sizes")[0].alias("n"),
+                                          F.col("members")[0].alias("v")).alias("h"))
+    first = heads.groupBy("list").agg(F.min("h").alias("f"), F.count("*").alias("c")).filter("c > 1")
+    across = (heads.join(first, "list").filter(f"h.v <> f.v AND {room('h.n', 'h.s', 'f.n', 'f.s')}")
+              .selectExpr("f.v AS a", "h.v AS b"))
     return (inner.unionByName(across).selectExpr("least(a, b) AS a", "greatest(a, b) AS b").distinct())
 
 
 def cross_pairs(lists: DataFrame, component: DataFrame) -> DataFrame:
-    """Pairs of a list whose sets are in different components and whose sizes allow a link."""
-    member = (lists.select("list", F.explode(F.arrays_zip("members", "sizes")).alias("m"))
-              .selectExpr("list", "m.members AS s", "m.sizes AS n"))
-    member = (member.join(component, member.s == component.v, "left")
-              .selectExpr("list", "s", "n", "coalesce(c, s) AS c"))
+    """Pairs of a list whose sets are in different components and may link."""
+    member = (lists.select("list", F.explode(F.arrays_zip("members", "sizes", "spent")).alias("m"))
+              .selectExpr("list", "m.members AS v", "m.sizes AS n", "m.spent AS s"))
+    member = (member.join(component.withColumnRenamed("v", "w"), F.col("v") == F.col("w"), "left")
+              .selectExpr("list", "v", "n", "s", "coalesce(c, v) AS c"))
     open_lists = (member.groupBy("list").agg(F.min("c").alias("lo"), F.max("c").alias("hi"))
                   .filter("lo <> hi").select("list"))
     member = written(member.join(open_lists, "list", "left_semi"), "jaccard-open")
-    other = member.selectExpr("list AS list2", "s AS s2", "n AS n2", "c AS c2")
+    other = member.selectExpr("list AS list2", "v AS v2", "n AS n2", "s AS s2", "c AS c2")
     return (member.join(other, (F.col("list") == F.col("list2")) & (F.col("c") != F.col("c2"))
-                        & (F.col("s") < F.col("s2")) & (F.col("n") * 5 >= F.col("n2") * 4)
-                        & (F.col("n2") * 5 >= F.col("n") * 4))
-            .selectExpr("s AS a", "s2 AS b").distinct())
+                        & (F.col("v") < F.col("v2")) & F.expr(room("n", "s", "n2", "s2")))
+            .selectExpr("v AS a", "v2 AS b").distinct())
+
+
+def likely(pairs: DataFrame, classes: DataFrame) -> DataFrame:
+    """The pairs (a, b) whose parity signatures do not rule a link out."""
+    both = (pairs.join(classes.selectExpr("set_id AS a", "n AS n_a", "sig AS sig_a"), "a")
+            .join(classes.selectExpr("set_id AS b", "n AS n_b", "sig AS sig_b"), "b"))
+
+    def run(batches):
+        for batch in batches:
+            total = batch.column(2).to_numpy() + batch.column(3).to_numpy()
+            far = np.array([parity_distance(x.as_py(), y.as_py()) for x, y in zip(batch.column(4), batch.column(5))],
+                           np.int64)
+            # linked sets of sizes n and m differ in at most (n + m) / 9 shingles
+            keep = pa.array(np.flatnonzero(9 * far <= total))
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(keep), batch.column(1).take(keep)], names=["a", "b"])
+
+    return both.select("a", "b", "n_a", "n_b", "sig_a", "sig_b").mapInArrow(run, "a long, b long")
 
 
 def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
@@ -401,24 +453,27 @@ def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     both = left.join(texts.selectExpr("set_id AS b", "text AS text_b"), "b")
 
     def run(batches):
-        for batch in batches:
-            a, b = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            seen, keep = {}, []
-            for names, column in ((a, batch.column(2)), (b, batch.column(3))):
-                first = {}
-                for i, name in enumerate(names):
-                    if name not in seen:
-                        first.setdefault(name, i)
-                picked = column.take(pa.array(list(first.values()), pa.int64()))
-                seen.update((name, s) for name, (_, s) in zip(first, shingle_sets(picked)))
-            for i in range(len(a)):
-                x, y = seen[a[i]], seen[b[i]]
-                both_n = len(x) + len(y) - len(np.unique(np.concatenate([x, y])))
-                keep.append(100 * both_n >= 80 * (len(x) + len(y) - both_n))
-            keep = np.flatnonzero(keep)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([a[i] for i in keep], pa.int64()), pa.array([b[i] for i in keep], pa.int64())],
-                names=["a", "b"])
+        for whole in batches:
+            for at in range(0, whole.num_rows, 500):
+                yield links(whole.slice(at, 500))
+
+    def links(batch):
+        a, b = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+        sets = {}
+        for names, column in ((a, batch.column(2)), (b, batch.column(3))):
+            first = {}
+            for i, name in enumerate(names):
+                if name not in sets:
+                    first.setdefault(name, i)
+            picked = column.take(pa.array(list(first.values()), pa.int64()))
+            sets.update((name, s) for name, (_, s) in zip(first, shingle_sets(picked)))
+        keep = []
+        for i in range(len(a)):
+            x, y = sets[a[i]], sets[b[i]]
+            union = len(np.unique(np.concatenate([x, y])))
+            keep.append(100 * (len(x) + len(y) - union) >= 80 * union)
+        at = pa.array(np.flatnonzero(keep))
+        return pa.RecordBatch.from_arrays([batch.column(0).take(at), batch.column(1).take(at)], names=["a", "b"])
 
     return both.select("a", "b", "text_a", "text_b").mapInArrow(run, "a long, b long")
 
@@ -458,21 +513,22 @@ def similarity_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     bits = max(4, ceil(log2(4 * partitions)))
     rows = written(described(docs, id_col, text_col), "jaccard-docs")
     classes = written(rows.filter("n > 0").groupBy("set_id")
-                      .agg(F.min("doc").alias("doc"), F.first("n").alias("n")), "jaccard-classes")
+                      .agg(F.min("doc").alias("doc"), F.first("n").alias("n"), F.min("sig").alias("sig")),
+                      "jaccard-classes")
+    rows = rows.drop("sig")
     sizes = {r["n"]: r["count"] for r in
              classes.filter(F.col("n") <= MAX_BOUNDARY).groupBy("n").count().collect()}
     names, freq, mean = frequent_shingles(docs, text_col, bits)
     x = boundary(sizes, mean)
     lists = scanned_lists(docs, text_col, x, bits, names, freq)
     pairs = written(star_pairs(lists), "jaccard-stars")
-    texts = class_texts(docs, lists, text_col)
-    links = verified(pairs, texts)
+    links = compared(docs, pairs, classes, text_col)
     if x >= 4:
         links = links.unionByName(light_links(docs, text_col, x))
     links = written(links, "jaccard-links")
     component = components(links)
-    rest = written(cross_pairs(lists, component).join(pairs, ["a", "b"], "left_anti"), "jaccard-cross")
-    more = written(verified(rest, texts), "jaccard-links")
+    rest = cross_pairs(lists, component).join(pairs, ["a", "b"], "left_anti")
+    more = written(compared(docs, rest, classes, text_col), "jaccard-links")
     if not more.isEmpty():
         component = components(links.unionByName(more))
     named = (classes.join(component, classes.set_id == component.v, "left")
@@ -483,13 +539,19 @@ def similarity_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str =
             .select("doc", "n", F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("doc")).alias("component")))
 
 
-def class_texts(docs: DataFrame, lists: DataFrame, text_col: str) -> DataFrame:
-    """(set_id, text) with one text for every class that is in a list.
+def compared(docs: DataFrame, pairs: DataFrame, classes: DataFrame, text_col: str) -> DataFrame:
+    """The pairs that link, by signature and then by text."""
+    pairs = written(likely(pairs, classes), "jaccard-likely")
+    return verified(pairs, class_texts(docs, pairs, text_col))
+
+
+def class_texts(docs: DataFrame, pairs: DataFrame, text_col: str) -> DataFrame:
+    """(set_id, text) with one text for every class in a pair.
 
-    Which classes are listed is first looked up in a bitmap of 2^23 bits, whatever their number;
+    Which classes these are is first looked up in a bitmap of 2^23 bits, whatever their number;
     the join after it is exact.
     """
-    listed = lists.select(F.explode("members").alias("set_id")).distinct()
+    listed = pairs.select(F.explode(F.array("a", "b")).alias("set_id")).distinct()
     bit = F.pmod("set_id", F.lit(1 << 23))
     words = (listed.select(bit.alias("p")).groupBy(F.expr("p div 32768").alias("w"))
              .agg(F.bitmap_construct_agg(F.col("p") % 32768).alias("b")).collect())
