@@ -1,0 +1,77 @@
+import math
+import random
+from collections import Counter
+
+import pytest
+
+from wayfield.llm import lm_scoring as L
+
+
+def brute(rows, target):
+    """Interpolated n-gram losses, one dictionary per order."""
+    chars = Counter()
+    for _, t in rows:
+        chars.update((t or "").lower())
+    spaces = set(" \t\n\x0b\f\r")
+    top = sorted(((-n, ord(c)) for c, n in chars.items() if c not in spaces and 0 < ord(c) < 65535))[:L.VOCABULARY - 3]
+    known = {chr(c) for _, c in top}
+
+    def tokens(t):
+        return ["^"] * 3 + ["_" if c in spaces else c if c in known else "?" for c in (t or "").lower()]
+    counts = [Counter(), Counter()]
+    for d, t in rows:
+        s = tokens(t)
+        for i in range(3, len(s)):
+            g = tuple(s[i - 3:i + 1])
+            counts[1][g] += 1
+            counts[0][g] += d in target
+    scale = sum(counts[0].values()) / max(1, sum(counts[1].values()))
+    out = {}
+    for which in (0, 1):
+        by = [Counter() for _ in range(5)]
+        sums = [Counter() for _ in range(5)]
+        for g, n in counts[which].items():
+            n = n * (scale if which else 1)
+            for o in range(1, 5):
+                by[o][g[4 - o:]] += n
+                sums[o][g[4 - o:-1]] += n
+        for d, t in rows:
+            s, total = tokens(t), 0.0
+            for i in range(3, len(s)):
+                p = 1 / L.VOCABULARY
+                for o in range(1, 5):
+                    g = tuple(s[i - o + 1:i + 1])
+                    p = (by[o][g] + L.PRIOR * p) / (sums[o][g[:-1]] + L.PRIOR)
+                total -= math.log(p)
+            out.setdefault(d, []).append(total / (len(s) - 3) if len(s) > 3 else None)
+    return out
+
+
+def test_brute(spark, monkeypatch):
+    monkeypatch.setattr(L, "CHUNK", 300)
+    rng = random.Random(3)
+    good, other = ["the", "and", "ÉCLAT", "of", "ñu"], ["xq", "zzz", "🙂", "東京", "The", "a.b"]
+    rows = [(i, rng.choice([" ", "\n"]).join(rng.choice(good if i % 2 else other + good) for _ in range(rng.randrange(1, 60))))
+            for i in range(120)] + [(500, None), (501, ""), (502, "x"), (503, "long text " * 5000)]
+    target = {i for i in range(0, 120) if i % 2}
+    df = spark.createDataFrame([(*r, "clash") for r in rows], "doc_id long, text string, score string").repartition(3)
+    ids = spark.createDataFrame([(i,) for i in target] * 2 + [(None,)], "doc_id long")
+    got = {r.doc_id: r for r in L.score(df, L.fit(df, ids)).collect()}
+    want = brute(rows, target)
+    assert len(got) == len(rows)
+    for d, (t, b) in want.items():
+        r = got[d]
+        if t is None:
+            assert (r.n_tokens, r.loss_target, r.loss_background, r.score) == (0, None, None, 0.0)
+        else:
+            assert r.loss_target == pytest.approx(t, rel=2e-4) and r.loss_background == pytest.approx(b, rel=2e-4)
+            assert r.score == pytest.approx(r.loss_background - r.loss_target)
+    means = [sum(got[i].score for i in range(k, 120, 2)) / 60 for k in (0, 1)]
+    assert means[1] > means[0]
+
+
+def test_without_target_and_empty(spark):
+    df = spark.createDataFrame([(1, "abc"), (1, "abc"), (None, "x")], "doc_id long, text string")
+    none = spark.createDataFrame([], "doc_id long")
+    assert {r.score for r in L.score(df, L.fit(df, none)).collect()} == {0.0}
+    assert L.score(df.limit(0), L.fit(df.limit(0), none)).count() == 0

@@ -1,0 +1,205 @@
+"""Document scores by cross-entropy difference of two n-gram models.
+
+A model of the target texts and a model of all texts (the background) share one vocabulary, the
+order and the smoothing, and are matched in size: background counts are scaled to the target's.
+Tokens are characters of the lower-cased text. A document's score is the mean over its tokens of
+background loss minus target loss: the higher, the more it reads like the target. Models over
+characters have a fixed number of parameters, so what is broadcast does not grow with the corpus;
+their counts come from every document.
+"""
+
+from __future__ import annotations
+
+from dataclasses import dataclass
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from .common import append_columns, written
+
+ORDER = 4
+VOCABULARY = 48          # boundary, other, white space and the most frequent characters
+BOUNDARY, OTHER, SPACE = 0, 1, 2
+PRIOR = 24.0             # tokens' worth of belief in the lower order
+CHUNK = 1 << 20
+HELD = 1 << 23
+
+
+@dataclass
+class Vocabulary:
+    """Token of each character below ``len(table)``; others are OTHER."""
+
+    table: np.ndarray
+
+    def encode(self, texts: list[str], pad: int = ORDER - 1):
+        """Tokens of the texts, each behind ``pad`` boundaries, and where each text begins."""
+        joined = "".join("\x00" * pad + t.lower() for t in texts)
+        points = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), np.uint32)
+        size = len(self.table)
+        tokens = self.table[np.minimum(points, size - 1)]
+        lengths = np.array([len(t.lower()) for t in texts], np.int64)
+        begin = np.cumsum(lengths + pad) - lengths
+        for b in range(1, pad + 1):
+            tokens[begin - b] = BOUNDARY
+        return tokens, begin, lengths
+
+
+def grams(tokens: np.ndarray, begin: np.ndarray, lengths: np.ndarray):
+    """Number of the n-gram that ends at each token of each text, text after text."""
+    number = tokens[ORDER - 1:].astype(np.int32)
+    for k in range(1, ORDER):
+        number += tokens[ORDER - 1 - k:len(tokens) - k].astype(np.int32) * VOCABULARY ** k
+    keep = np.ones(len(number), bool)
+    # number[i] ends at token i + ORDER - 1; those that end in the padding of a later text go
+    for k in range(1, ORDER):
+        keep[begin[1:] - k - (ORDER - 1)] = False
+    return number[keep]
+
+
+def chunks(column: pa.Array, chars: int = CHUNK):
+    """(rows, texts) of a string column in portions of about ``chars`` characters."""
+    rows, texts, size = [], [], 0
+    for i, t in enumerate(column.to_pylist()):
+        if not t:
+            continue
+        rows.append(i)
+        texts.append(t)
+        size += len(t)
+        if size >= chars:
+            yield rows, texts
+            rows, texts, size = [], [], 0
+    if rows:
+        yield rows, texts
+
+
+def fit_vocabulary(docs: DataFrame, text_col: str = "text") -> Vocabulary:
+    """The most frequent characters of all documents; equal counts go to the smaller code point."""
+    limit = 1 << 16
+
+    def run(batches):
+        total = np.zeros(limit, np.int64)
+        for batch in batches:
+            for _, texts in chunks(batch.column(0)):
+                points = np.frombuffer("".join(texts).lower().encode("utf-32-le", "surrogatepass"), np.uint32)
+                total += np.bincount(np.minimum(points, limit - 1), minlength=limit)
+        at = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], names=["c", "n"])
+
+    # at most one row per 16-bit code point
+    counted = (docs.select(text_col).mapInArrow(run, "c long, n long").groupBy("c").agg(F.sum("n").alias("n"))
+               .collect())
+    table = np.full(limit, OTHER, np.uint8)
+    table[[32, 9, 10, 11, 12, 13]] = SPACE
+    ranked = sorted((-r["n"], r["c"]) for r in counted if table[r["c"]] == OTHER and 0 < r["c"] < limit - 1)
+    for token, (_, c) in enumerate(ranked[:VOCABULARY - 3], start=3):
+        table[c] = token
+    return Vocabulary(table)
+
+
+def count_grams(docs: DataFrame, vocabulary: Vocabulary, text_col: str, target_col: str) -> DataFrame:
+    """(gram, target, background): counts over the rows marked in ``target_col`` and over all."""
+    shared = docs.sparkSession.sparkContext.broadcast(vocabulary)
+    size = VOCABULARY ** ORDER
+
+    def run(batches):
+        voc = shared.value
+        totals = [np.zeros(size, np.int64), np.zeros(size, np.int64)]
+        held, n_held = ([], []), 0
+        for batch in batches:
+            marks = batch.column(1).to_pylist()
+            for mark in (0, 1):
+                rows = pa.array([i for i, m in enumerate(marks) if bool(m) == bool(mark)], pa.int64())
+                for _, texts in chunks(batch.column(0).take(rows)):
+                    g = grams(*voc.encode(texts))
+                    held[mark].append(g)
+                    n_held += len(g)
+                    if n_held >= HELD:
+                        _add(totals, held)
+                        n_held = 0
+        _add(totals, held)
+        at = np.flatnonzero(totals[0] + totals[1])
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(at), pa.array(totals[1][at]), pa.array(totals[0][at] + totals[1][at])],
+            names=["gram", "target", "background"])
+
+    def _add(totals, held):
+        for mark in (0, 1):
+            if held[mark]:
+                totals[mark] += np.bincount(np.concatenate(held[mark]), minlength=size)
+                held[mark].clear()
+
+    rows = docs.select(text_col, target_col).mapInArrow(run, "gram long, target long, background long")
+    return rows.groupBy("gram").agg(F.sum("target").alias("target"), F.sum("background").alias("background"))
+
+
+def losses(counts: np.ndarray) -> np.ndarray:
+    """Loss (nats) of every n-gram's last token, interpolated over all orders."""
+    counts = counts.reshape((VOCABULARY,) * ORDER).astype(np.float32)
+    p = np.float32(1.0 / VOCABULARY)
+    for order in range(1, ORDER + 1):
+        c = counts.sum(axis=tuple(range(ORDER - order))) if order < ORDER else counts
+        p = (c + np.float32(PRIOR) * p) / (c.sum(axis=-1, keepdims=True) + np.float32(PRIOR))
+    return -np.log(p).ravel()
+
+
+@dataclass
+class Models:
+    vocabulary: Vocabulary
+    target: np.ndarray
+    background: np.ndarray
+
+
+def fit(docs: DataFrame, target_ids: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Models:
+    """Models of the documents whose id is in the one-column ``target_ids`` and of all documents.
+
+    NULL ids are no target; repeated rows count each time. Without target rows both models are
+    the background model's prior and scores are 0.
+    """
+    vocabulary = fit_vocabulary(docs, text_col)
+    marks = target_ids.toDF("__id").filter("__id IS NOT NULL").distinct().withColumn("__target", F.lit(True))
+    rows = (docs.select(F.col(id_col).alias("__key"), F.col(text_col).alias("__text"))
+            .join(marks, F.col("__key") == F.col("__id"), "left"))
+    counted = written(count_grams(rows, vocabulary, "__text", "__target"), "lm-counts")
+    # at most VOCABULARY ** ORDER rows
+    got = counted.toPandas()
+    t, b = (np.zeros(VOCABULARY ** ORDER, np.float32) for _ in range(2))
+    t[got.gram], b[got.gram] = got.target, got.background
+    if t.sum() > 0:
+        b *= t.sum() / b.sum()
+    else:
+        b[:] = 0
+    return Models(vocabulary, losses(t), losses(b))
+
+
+SCORED = T.StructType([T.StructField("n_tokens", T.LongType()), T.StructField("loss_target", T.DoubleType()),
+                       T.StructField("loss_background", T.DoubleType()), T.StructField("score", T.DoubleType())])
+
+
+def score(docs: DataFrame, models: Models, text_col: str = "text") -> DataFrame:
+    """``docs`` with ``n_tokens``, mean losses and ``score`` = loss_background - loss_target.
+
+    A NULL or empty text has 0 tokens and NULL losses, and scores 0. Columns of these names are
+    replaced, all others are kept.
+    """
+    shared = docs.sparkSession.sparkContext.broadcast(models)
+
+    def run(column):
+        m = shared.value
+        n = np.zeros(len(column), np.int64)
+        sums = np.zeros((2, len(column)))
+        for rows, texts in chunks(column):
+            tokens, begin, lengths = m.vocabulary.encode(texts)
+            g = grams(tokens, begin, lengths)
+            n[rows] = lengths
+            first = np.cumsum(lengths) - lengths
+            sums[0, rows] = np.add.reduceat(m.target[g].astype(float), first)
+            sums[1, rows] = np.add.reduceat(m.background[g].astype(float), first)
+        mean = sums / np.maximum(n, 1)
+        empty = n == 0
+        return (n, pa.array(mean[0], mask=empty), pa.array(mean[1], mask=empty),
+                np.where(empty, 0.0, mean[1] - mean[0]))
+
+    return append_columns(docs, run, [text_col], SCORED)
