@@ -91,12 +91,11 @@ def shingle_sets(column: pa.Array, chunk: int = 1 << 20):
         i = j
 
 
-def _sets(data, starts, lengths, first):
+def word_hashes(data, starts, lengths):
+    """Text number and 64-bit hash of every word, text after text; A-Z count as lower case."""
     total = int(lengths.sum())
     if total == 0:
-        for k in range(len(lengths)):
-            yield first + k, np.empty(0, np.uint64)
-        return
+        return np.empty(0, np.int64), np.empty(0, np.uint64)
     # texts of a batch lie one behind the other unless some are NULL with bytes behind them
     lo, hi = int(starts[0]), int(starts[-1] + lengths[-1])
     if hi - lo != total:
@@ -112,16 +111,19 @@ def _sets(data, starts, lengths, first):
     at = np.flatnonzero(inside)
     first_byte = np.flatnonzero(begin)
     if not len(first_byte):
-        for k in range(len(lengths)):
-            yield first + k, np.empty(0, np.uint64)
-        return
+        return np.empty(0, np.int64), np.empty(0, np.uint64)
     word_of = np.searchsorted(at, first_byte)
     sizes = np.diff(np.append(word_of, len(at)))
     pos = np.arange(len(at)) - np.repeat(word_of, sizes)
     longest = int(sizes.max())
     powers = _POWERS if longest <= len(_POWERS) else _powers(_BASE, longest)
     words = _mix(np.add.reduceat(_BYTE[_FOLD[buf[at]]] * powers[pos], word_of))
-    bounds = np.searchsorted(first_byte, np.concatenate([[0], ends]))
+    return np.searchsorted(ends, first_byte, side="right"), words
+
+
+def _sets(data, starts, lengths, first):
+    doc, words = word_hashes(data, starts, lengths)
+    bounds = np.searchsorted(doc, np.arange(len(lengths) + 1))
     n = len(words)
     q = _powers(_STEP, SHINGLE)
     if n >= SHINGLE:

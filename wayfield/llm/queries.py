@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import fingerprints, html_text, jaccard, langid, lm_scoring, mixing, packing, sharding, toxicity
+from . import fingerprints, html_text, jaccard, langid, lm_scoring, mixing, packing, search, sharding, toxicity
 from .common import remainder, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -122,3 +122,29 @@ def op6_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     good = table(spark, sf_dir, "labels").filter("quality = 1").select("doc_id")
     models = lm_scoring.fit(docs, good)
     return lm_scoring.score(docs, models).select("doc_id", "n_tokens", "loss_target", "loss_background", "score")
+
+
+@query
+def op10_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document whose id is divisible by 20 against all documents."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return search.search(docs, docs.filter("doc_id % 20 = 0"), 10).select(
+        F.col("query").alias("query_id"), "rank", F.col("doc").alias("doc_id"), "score")
+
+
+oracle("op10_topk_search", r"""
+WITH w AS (
+  SELECT doc_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+')) AS t FROM documents),
+tf AS (SELECT doc_id, t, count(*) AS tf FROM w GROUP BY ALL),
+len AS (SELECT doc_id, sum(tf) AS n FROM tf GROUP BY ALL),
+g AS (SELECT count(*) AS n, (SELECT count(*) FROM w) / count(*) AS mean FROM documents),
+df AS (SELECT t, count(*) AS df FROM tf GROUP BY ALL),
+s AS (
+  SELECT q.doc_id AS query_id, d.doc_id, round(sum(
+    q.tf * ln(1 + (g.n - df.df + 0.5) / (df.df + 0.5))
+    * d.tf * 2.2 / (d.tf + 1.2 * (0.25 + 0.75 * len.n / g.mean))), 6) AS score
+  FROM tf q JOIN tf d ON q.t = d.t JOIN df ON df.t = q.t JOIN len ON len.doc_id = d.doc_id, g
+  WHERE q.doc_id % 20 = 0 GROUP BY ALL),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id) AS rank FROM s)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM r WHERE rank <= 10""")
