@@ -10,6 +10,7 @@ import json
 import os
 import statistics
 import sys
+import tempfile
 import time
 
 from pyspark.sql import SparkSession
@@ -44,6 +45,7 @@ def main() -> None:
     spark = (SparkSession.builder.master(f"local[{cpus}]").appName("bench")
              .config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false")
              .config("spark.sql.shuffle.partitions", cpus)
+             .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="wayfield-bench-"))
              .config("spark.driver.memory", os.environ.get("BENCH_MEMORY", "6g")).getOrCreate())
     spark.sparkContext.setLogLevel("ERROR")
     seconds = {}

@@ -8,12 +8,13 @@ sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     from wayfield.session import configure
     session = (SparkSession.builder.master("local[8]").appName("tests")
                .config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false")
                .config("spark.sql.shuffle.partitions", "4").config("spark.driver.memory", "6g")
                .config("spark.sql.maxMetadataStringLength", "5000")
+               .config("spark.checkpoint.dir", str(tmp_path_factory.mktemp("shared")))
                .getOrCreate())
     session.sparkContext.setLogLevel("ERROR")
     yield configure(session)

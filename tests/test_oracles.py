@@ -8,15 +8,21 @@ from wayfield.plans import catalog
 SF = "/root/testdata/sf0.001"
 
 
+LARGER = "/root/testdata/sf0.01"
+
+
 @pytest.fixture(scope="module")
 def con():
-    return duck(SF)
+    return {sf: duck(sf) for sf in (SF, LARGER)}
 
 
 @pytest.mark.parametrize("name", sorted(catalog.QUERIES))
 def test_query(spark, con, name):
-    ok, note, *_ = compare(spark, con, SF, name, catalog.QUERIES[name], catalog.ORACLES.get(name))
-    assert ok or note == "rows 0", note
+    for sf in (SF, LARGER):
+        ok, note, *_ = compare(spark, con[sf], sf, name, catalog.QUERIES[name], catalog.ORACLES.get(name))
+        if note != "rows 0":  # an empty result says nothing: take the larger tables
+            break
+    assert ok, note
 
 
 def test_every_query_has_a_check():

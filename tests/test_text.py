@@ -166,4 +166,52 @@ def test_shapefile_folder(spark, tmp_path):
 def test_kafka_options():
     assert readers.kafka_options("h:1", "t", "earliest") == {
         "kafka.bootstrap.servers": "h:1", "subscribe": "t", "startingOffsets": "earliest"}
-    assert emit.kafka_options("h:1", "alarms") == {"kafka.bootstrap.servers": "h:1", "topic": "query1-results"}
+    assert emit.kafka_options("h:1", "alarms") == {"kafka.bootstrap.servers": "h:1", "topic": "alarms"}
+
+
+def _hex_wkb(code, *body, flags=0):
+    import struct
+    return (struct.pack("<BI", 1, code | flags) + b"".join(body)).hex()
+
+
+def test_wkb_dimensions_and_kinds(spark):
+    import struct
+
+    def xy(*v):
+        return struct.pack(f"<{len(v)}d", *v)
+
+    def n(k):
+        return struct.pack("<I", k)
+    point = bytes.fromhex(_hex_wkb(1, xy(5, 6)))
+    line = bytes.fromhex(_hex_wkb(2, n(2), xy(1, 2, 3, 4)))
+    rows = [("z", _hex_wkb(2, n(2), xy(1, 2, 9, 3, 4, 9), flags=binary.Z_FLAG)),
+            ("iso", _hex_wkb(3002, n(1), xy(1, 2, 8, 9))),
+            ("points", _hex_wkb(4, n(2), point, point)), ("lines", _hex_wkb(5, n(2), line, line)),
+            ("all", _hex_wkb(7, n(2), point, line)), ("empty", _hex_wkb(1, xy(float("nan"), float("nan")))),
+            ("cut", _hex_wkb(2, n(9), xy(1, 2))), ("kind", _hex_wkb(99)), ("text", "zz")]
+    df = spark.createDataFrame([(a, 1, g) for a, g in rows], "name string, id int, geom string")
+    got = {r.name: r for r in binary.parse_parcels(df).collect()}
+    assert parts(got["z"]) == [[[(1, 2), (3, 4)]]] and parts(got["iso"]) == [[[(1, 2)]]]
+    assert got["points"].geom_type == "MULTIPOINT" and parts(got["points"]) == [[[(5, 6)], [(5, 6)]]]
+    assert parts(got["lines"]) == [[[(1, 2), (3, 4)], [(1, 2), (3, 4)]]]
+    assert parts(got["all"]) == [[[(5, 6)]], [[(1, 2), (3, 4)]]] and got["empty"].parts == []
+    assert all(got[k].geom_type is None and got[k].parts is None for k in ("cut", "kind", "text"))
+
+
+def test_wkt_tags_and_empty(spark):
+    lines = ["7, POINT Z (1 2 3), 2008-02-02 20:12:32", "8, LINESTRING ZM (0 0 1 1, 2 2 1 1)", "9, POINT EMPTY",
+             "nothing here", "POINT M(4 5 6)"]
+    got = text.parse_wkt(spark.createDataFrame([(x,) for x in lines], "value string")).collect()
+    assert [r.obj_id for r in got] == ["7", "8", "9", None, None]
+    assert [r.geom_type for r in got] == ["POINT", "LINESTRING", "POINT", None, "POINT"]
+    assert parts(got[0]) == [[[(1, 2)]]] and parts(got[1]) == [[[(0, 0), (2, 2)]]] and parts(got[4]) == [[[(4, 5)]]]
+    assert got[2].parts is None
+
+
+def test_unreadable_shapefile_is_a_row(spark, tmp_path):
+    square = [{"x": 0.0, "y": 0.0}, {"x": 2.0, "y": 0.0}, {"x": 2.0, "y": 2.0}, {"x": 0.0, "y": 0.0}]
+    good = shapefile([[square]])
+    (tmp_path / "a.shp").write_bytes(good)
+    (tmp_path / "b.shp").write_bytes(b"no shapes")
+    rows = binary.read_shapefiles(spark, str(tmp_path)).orderBy("path").collect()
+    assert [(r.record, r.geom_type) for r in rows] == [(1, "POLYGON"), (None, None)]

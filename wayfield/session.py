@@ -7,7 +7,7 @@ import uuid
 
 from pyspark.sql import SparkSession
 
-# Set per session, so a cluster's own cores/memory settings are left alone.
+# Set once per session, and only where the session was not started with its own value.
 RUNTIME_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
@@ -20,9 +20,17 @@ RUNTIME_CONF = {
 }
 
 
+_DONE = "wayfield.configured"
+
+
 def configure(spark: SparkSession) -> SparkSession:
+    if spark.conf.get(_DONE, None):
+        return spark
+    spark.conf.set(_DONE, "true")
+    given = spark.sparkContext.getConf()
     for key, value in RUNTIME_CONF.items():
-        spark.conf.set(key, value)
+        if not given.contains(key):
+            spark.conf.set(key, value)
     # a local session with the general default would keep 200 tiny state stores
     if spark.sparkContext.master.startswith("local") and \
             spark.conf.get("spark.sql.shuffle.partitions") == "200":

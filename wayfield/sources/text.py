@@ -114,15 +114,15 @@ def parse_geojson_collection(df: DataFrame, column: str = "value", *, oid: str =
 # -- WKT -----------------------------------------------------------------------------
 _NUMBER = r"[-+]?[0-9.]+(?:[eE][-+]?[0-9]+)?"
 _KEYWORD = ("(?i)(GEOMETRYCOLLECTION|MULTIPOLYGON|MULTILINESTRING|MULTIPOINT|POLYGON|"
-            r"LINESTRING|POINT)\\s*(\\(.*\\))")
+            r"LINESTRING|POINT)\\s*(?:ZM|Z|M)?\\s*(\\(.*\\)|EMPTY)")
 _MEMBER = (r"(?i)(?:MULTIPOLYGON|MULTILINESTRING|MULTIPOINT|POLYGON|LINESTRING|POINT)"
-           r"\\s*\\([-+0-9.eE,()\\s]*\\)")
+           r"\\s*(?:ZM|Z|M)?\\s*\\([-+0-9.eE,()\\s]*\\)")
 
 
 def _wkt_json(body: str, kind: str) -> str:
     """WKT coordinates as JSON text; a bare MULTIPOINT loses nothing by the same rule."""
     number = _NUMBER.replace("\\", "\\\\")
-    pairs = (f"regexp_replace({body}, '({number})\\\\s+({number})(?:\\\\s+{number})?', '[$1,$2]')")
+    pairs = (f"regexp_replace({body}, '({number})\\\\s+({number})(?:\\\\s+{number}){{0,2}}', '[$1,$2]')")
     flat = f"regexp_replace({pairs}, '[\\\\s()]', '')"
     nested = f"translate(regexp_replace({pairs}, '\\\\s', ''), '()', '[]')"
     single = f"regexp_extract({flat}, '(\\\\[.*\\\\])', 1)"
@@ -133,14 +133,14 @@ def _wkt_json(body: str, kind: str) -> str:
 def _wkt_fields(df: DataFrame, column: str, delimiter: str, date_format: Optional[str]) -> DataFrame:
     """Split a record into id, geometry and time.
 
-    The id is what stands before the geometry; the time is the last field behind it (or
+    The id is what stands before the geometry (none without a geometry); the time is the last field behind it (or
     anywhere) that reads as one.
     """
     sep = {"\t": "\\\\t"}.get(delimiter, delimiter.replace("|", "\\\\|"))
     rows = df.withColumn("_s", F.regexp_replace(F.col(column), '"', ""))
     rows = rows.withColumns({
         "geom_type": F.expr(f"upper(nullif(regexp_extract(_s, '{_KEYWORD}', 1), ''))"),
-        "_body": F.expr(f"regexp_extract(_s, '{_KEYWORD}', 2)"),
+        "_body": F.expr(f"nullif(upper(regexp_extract(_s, '{_KEYWORD}', 2)), 'EMPTY')"),
         "_before": F.expr(f"regexp_replace(_s, '{_KEYWORD}.*$', '')"),
         "_fields": F.expr(f"reverse(split(_s, '\\\\s*{sep}\\\\s*'))")})
     # only text in the date format counts: plain numbers may be coordinates
@@ -148,7 +148,8 @@ def _wkt_fields(df: DataFrame, column: str, delimiter: str, date_format: Optiona
                     "t -> t IS NOT NULL), 0)")
              if date_format else F.lit(None).cast("timestamp"))
     return rows.withColumns({
-        "obj_id": F.expr(f"nullif(trim(get(split(_before, '{sep}'), 0)), '')"), "ts": stamp})
+        "obj_id": F.expr(f"IF(geom_type IS NULL, NULL, nullif(trim(get(split(_before, '{sep}'), 0)), ''))"),
+        "ts": stamp})
 
 
 def parse_wkt(df: DataFrame, column: str = "value", *, delimiter: str = ",",
