@@ -93,11 +93,10 @@ def test_range_equals_brute_force(spark, rows_of, kind, query_kind, r):
 
 @pytest.mark.parametrize("kind,query_kind", [("point", "polygon"), ("point", "point"), ("line", "polygon")])
 @pytest.mark.parametrize("outside", [None, "all"])
-def test_large_query_table_is_joined(spark, rows_of, monkeypatch, kind, query_kind, outside):
-    monkeypatch.setattr(ranges, "MAX_LITERAL_VERTICES", 2)
+def test_large_query_table_is_joined(spark, rows_of, kind, query_kind, outside):
     stream, queries = MAKE[kind](60, 13), MAKE[query_kind](20, 14)
     df = ranges.range_query(shapes.table(spark, stream), shapes.table(spark, queries), 1.0, kind=kind,
-                            query_kind=query_kind, row_id=["id"], outside_mode=outside)
+                            query_kind=query_kind, row_id=["id"], outside_mode=outside, max_literal=2)
     hits = {i for i, _ in expected(stream, queries, 1.0)}
     want = hits if outside is None else set(range(len(stream))) - hits
     assert rows_of(df, "id") == sorted((i,) for i in want)

@@ -1,7 +1,9 @@
 """Per-key ordered computations (previous row, running sums) that survive hot keys.
 
 A plain ``Window.partitionBy(key).orderBy(ts)`` sorts a whole key in one task. Here a
-key with more than ``hot_rows`` rows is cut into time slices first. The window
+key with more than ``hot_rows`` rows is cut into time slices first, at quantiles of its
+own rows, so that a slice holds a fraction of ``hot_rows`` rows however uneven they lie in
+time (rows of one instant share a slice). The window
 function runs per (key, slice); what a slice needs from the slices before it comes
 from a table with one summary row per (hot key, slice). Keys below the limit form a
 single slice, so for them this is the plain window, and when there is no hot key the
@@ -18,11 +20,9 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 HOT_ROWS = 1_000_000
-# A hot key holds at least 1/MAX_HOT of all rows, so there are at most MAX_HOT of
-# them: this bounds the broadcast below.
-MAX_HOT = 50_000
-# Slices per HOT_ROWS rows: leaves room for uneven arrival within a key.
-SLICES_PER_CHUNK = 4
+# Cuts drawn per ``hot_rows`` rows. That a slice gets more than ``hot_rows`` rows has a
+# chance of e^-16.
+CUTS_PER_CHUNK = 16
 
 SLICE = "_slice"
 
@@ -38,18 +38,23 @@ def with_slices(df: DataFrame, keys: Sequence[str], ts: str = "ts",
     if not hot_rows or total <= hot_rows:
         # a constant: the optimizer then removes everything that concerns hot keys
         return df.withColumn(SLICE, F.lit(0).cast("long"))
+    scalars = [c for c, t in df.dtypes if not t.startswith(("array", "map"))]
+    drawn = F.pmod(F.xxhash64(*scalars), F.lit(hot_rows)) < CUTS_PER_CHUNK
     hot = (df.groupBy(*keys)
            .agg(F.count(F.lit(1)).alias("_n"),
-                F.min(F.unix_micros(ts)).alias("_t0"), F.max(F.unix_micros(ts)).alias("_t1"))
-           .filter(F.col("_n") > F.lit(max(hot_rows, total / MAX_HOT)))
-           .select(*[F.col(k).alias(f"_hot_{k}") for k in keys], "_t0",
-                   F.ceil((F.col("_t1") - F.col("_t0") + 1) /
-                          (F.ceil(F.col("_n") / hot_rows) * SLICES_PER_CHUNK)).alias("_width")))
+                F.sort_array(F.collect_set(F.when(drawn, F.unix_micros(ts)))).alias("_cuts"))
+           .filter(F.col("_n") > hot_rows)
+           .withColumn("_cut_step", F.greatest(F.ceil(F.sqrt(F.size("_cuts"))), F.lit(1)).cast("int"))
+           .select(*[F.col(k).alias(f"_hot_{k}") for k in keys], "_cuts", "_cut_step",
+                   F.expr("filter(_cuts, (c, i) -> i % _cut_step = 0)").alias("_coarse")))
     same = [F.col(k).eqNullSafe(F.col(f"_hot_{k}")) for k in keys]
-    number = F.floor((F.unix_micros(ts) - F.col("_t0")) / F.col("_width")) + 1
-    return (df.join(F.broadcast(hot), same, "left")
-            .withColumn(SLICE, F.coalesce(number, F.lit(0)).cast("long"))
-            .drop("_t0", "_width", *[f"_hot_{k}" for k in keys]))
+    # cuts up to the row's time, found in two steps
+    t = f"unix_micros({ts})"
+    past = f"greatest(size(filter(_coarse, c -> c <= {t})) - 1, 0) * _cut_step"
+    number = F.expr(f"{past} + size(filter(slice(_cuts, {past} + 1, _cut_step), c -> c <= {t})) + 1")
+    return (df.join(hot, same, "left")
+            .withColumn(SLICE, F.when(F.col("_cut_step").isNull(), 0).otherwise(number).cast("long"))
+            .drop("_cuts", "_coarse", "_cut_step", *[f"_hot_{k}" for k in keys]))
 
 
 def first_per_time(sliced: DataFrame, keys: Sequence[str], ts: str = "ts",

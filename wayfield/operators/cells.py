@@ -49,10 +49,20 @@ def bbox_touches_block(df: DataFrame, grid: Grid, lo: tuple[int, int],
                      & (grid.cy(F.col("ymax")) >= lo[1]) & (grid.cy(F.col("ymin")) <= hi[1]))
 
 
-def bbox_touches_cells(df: DataFrame, grid: Grid, cells: Sequence[tuple[int, int]]) -> DataFrame:
-    """The same for any set of cells (size checked)."""
-    if len(cells) > MAX_LITERAL_CELLS:
-        raise ValueError("explode_bbox_cells + in_cells handles larger cell sets")
+def bbox_touches_cells(df: DataFrame, grid: Grid, cells: DataFrame | Sequence[tuple[int, int]],
+                       row_id: Optional[Sequence[str]] = None) -> DataFrame:
+    """The same for any set of cells: a list, or a table of ``cx, cy``.
+
+    A table, or a list of more than ``MAX_LITERAL_CELLS``, is joined; that needs ``row_id``,
+    columns that identify a row.
+    """
+    if not isinstance(cells, DataFrame) and len(cells) > MAX_LITERAL_CELLS:
+        cells = df.sparkSession.createDataFrame(list(cells), "cx int, cy int")
+    if isinstance(cells, DataFrame):
+        if not row_id:
+            raise ValueError("row_id is needed to match a table of cells")
+        covered = grid.explode_bbox_cells(df.select(*row_id, "xmin", "ymin", "xmax", "ymax"))
+        return df.join(in_cells(covered, cells).select(*row_id).distinct(), list(row_id), "left_semi")
     wanted = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i, j in cells])
     return df.filter(F.exists(wanted, lambda c: c["i"].between(
         grid.cx(F.col("xmin")), grid.cx(F.col("xmax"))) & c["j"].between(

@@ -26,8 +26,7 @@ from ..functions.grid import Grid
 from ..functions.windows import WindowSpec, with_window
 
 HOT_CELL_ROWS = 50_000
-# A hot cell holds at least 1/MAX_HOT_CELLS of the rows of its side. A row has a few
-# keys at most, so this bounds the broadcast table of hot cells.
+# Up to this many hot cells are broadcast; more are joined.
 MAX_HOT_CELLS = 50_000
 # Spark's size estimate does not see that keys multiply rows, so a side with more rows
 # than this is never broadcast.
@@ -98,23 +97,30 @@ def _keyed(a: DataFrame, b: DataFrame, sa: Shape, sb: Shape, r: float,
             _cells(b, sb, r, base, False))
 
 
-def _salted(a: DataFrame, b: DataFrame, keys: Sequence[str], hot_rows: int,
-            total_a: int, total_b: int) -> tuple[DataFrame, DataFrame]:
+def _salted(a: DataFrame, b: DataFrame, keys: Sequence[str],
+            hot_rows: int) -> Optional[tuple[DataFrame, DataFrame]]:
+    """Both sides with salts for cells of more than ``hot_rows`` rows, None if there are none.
+
+    A salted cell is a set of groups of at most about ``hot_rows`` rows of either side.
+    """
     tally = (a.select(*keys, F.lit(1).alias("_na"), F.lit(0).alias("_nb"))
              .unionByName(b.select(*keys, F.lit(0).alias("_na"), F.lit(1).alias("_nb")))
              .groupBy(*keys).agg(F.sum("_na").alias("_na"), F.sum("_nb").alias("_nb")))
     limit = F.lit(hot_rows)
-    hot = tally.filter(
-        (F.col("_na") > 0) & (F.col("_nb") > 0)
-        & ((F.col("_na") > F.lit(max(hot_rows, total_a / MAX_HOT_CELLS)))
-           | (F.col("_nb") > F.lit(max(hot_rows, total_b / MAX_HOT_CELLS)))))
+    hot = tally.filter((F.col("_na") > 0) & (F.col("_nb") > 0)
+                       & ((F.col("_na") > limit) | (F.col("_nb") > limit)))
     hot = hot.select(*[F.col(k).alias(f"_h{k}") for k in keys],
                      F.ceil(F.col("_na") / limit).cast("int").alias("_sa"),
                      F.ceil(F.col("_nb") / limit).cast("int").alias("_sb"))
+    found = hot.limit(MAX_HOT_CELLS + 1).collect()
+    if not found:
+        return None
+    if len(found) <= MAX_HOT_CELLS:
+        hot = F.broadcast(a.sparkSession.createDataFrame(found, hot.schema))
 
     def add(df: DataFrame, own: str, other: str, own_salt: str, other_salt: str) -> DataFrame:
         same = [F.col(k) == F.col(f"_h{k}") for k in keys]
-        rows = df.join(F.broadcast(hot), same, "left")
+        rows = df.join(hot, same, "left")
         scalars = [c for c, t in df.dtypes if not t.startswith(("array", "struct", "map"))
                    and c not in keys]
         pick = F.pmod(F.xxhash64(*scalars), F.coalesce(F.col(own), F.lit(1))).cast("int")
@@ -142,8 +148,9 @@ def _prepare(a: DataFrame, b: DataFrame, sa: Shape, sb: Shape, reach: float, bas
     (rows_a, levels_a), (rows_b, levels_b) = _profile(a, sa, 0.0, base), _profile(b, sb, pad, base)
     ka, kb = _keyed(a, b, sa, sb, pad, base, levels_a, levels_b)
     if hot_rows and max(rows_a, rows_b) > hot_rows:
-        ka, kb = _salted(ka, kb, keys, hot_rows, rows_a, rows_b)
-        keys = keys + ["_salt_a", "_salt_b"]
+        salted = _salted(ka, kb, keys, hot_rows)
+        if salted:
+            (ka, kb), keys = salted, keys + ["_salt_a", "_salt_b"]
     if (rows_b if right_only else min(rows_a, rows_b)) > MAX_BROADCAST_ROWS:
         ka, kb = ka.hint("merge"), kb.hint("merge")
     return ka, kb, keys
@@ -222,6 +229,57 @@ def semi_join(stream: DataFrame, queries: DataFrame, r: float, *, kinds: tuple[s
     return hits.select(*[F.col(f"a_{c}").alias(c) for c in row_id]).distinct()
 
 
+def match(stream: DataFrame, queries: DataFrame, r: float, *, kinds: tuple[str, str],
+          approx: bool = False, grid: Optional[Grid] = None, inside: bool = True,
+          max_extent: float = 0.0) -> DataFrame:
+    """Stream rows with a query object within ``r`` (or, not ``inside``, without one).
+
+    Every row has one key, the cell of its lower left corner, and is emitted once, so the
+    semi join makes no pairs and nothing is joined back; the stream side may be a stream.
+    Query objects cover the cells they reach; their sizes are grouped by powers of four,
+    each with a grid that fits, and a row is held against one group after the other.
+    ``max_extent`` is the largest width or height of the stream objects (0 for points).
+    """
+    block = approx and kinds == (G.POINT, G.POINT)
+    reach = (grid.candidate_layers(r) + 1) * grid.cell if block else r
+    a, b = _prefixed(stream, "a"), _prefixed(queries.select(*_SHAPE_COLUMNS[kinds[1]]), "b")
+    sa, sb = G.shape(kinds[0], "a_"), G.shape(kinds[1], "b_")
+    extent = f"greatest({sb.xmax} - {sb.xmin}, {sb.ymax} - {sb.ymin})"
+    usual, total = b.agg(F.percentile_approx(F.expr(extent), 0.95), F.count(F.lit(1))).first()
+    base = _base(reach, max(usual or 0.0, max_extent))
+    group = f"IF({extent} <= {G.num(base)}, 0, int(ceil(log(4D, {extent} / {G.num(base)}))))"
+    b = b.withColumn("_group", F.expr(group))
+    groups = [0] if kinds[1] == G.POINT else sorted(b.agg(F.collect_set("_group")).first()[0])
+    if block:
+        k = grid.candidate_layers(r)
+        near = [f"abs({cell(p)} - {cell(q)}) <= {k}" for cell, p, q in
+                ((grid.cx_sql, sa.x, sb.x), (grid.cy_sql, sa.y, sb.y))]
+    else:
+        near = [f"{G.bbox_distance_sql(sa, sb)} <= {G.num(r if approx else r + base * 1e-9)}"]
+        near += [] if approx else [f"{G.distance_sql(sa, sb)} <= {G.num(r)}"]
+    low, high = G.num(reach + max_extent + base * 1e-9), G.num(reach + base * 1e-9)
+    found = None
+    for g in groups or [0]:
+        side = G.num(base * 4.0 ** g)
+        left = a.selectExpr("*", f"floor({sa.xmin} / {side}) AS _kx", f"floor({sa.ymin} / {side}) AS _ky")
+        right = (b.filter(F.col("_group") == g)
+                 .selectExpr("*", f"explode(sequence(floor(({sb.xmin} - {low}) / {side}), "
+                                  f"floor(({sb.xmax} + {high}) / {side}))) AS _kx")
+                 .selectExpr("*", f"explode(sequence(floor(({sb.ymin} - {low}) / {side}), "
+                                  f"floor(({sb.ymax} + {high}) / {side}))) AS _ky"))
+        if total > MAX_BROADCAST_ROWS:
+            left, right = left.hint("merge"), right.hint("merge")
+        cond = [F.col("l._kx") == F.col("r._kx"), F.col("l._ky") == F.col("r._ky"), *map(F.expr, near)]
+        left, right = left.alias("l"), right.alias("r")
+        if inside:
+            hits = left.join(right, cond, "left_semi").drop("_kx", "_ky")
+            found = hits if found is None else found.unionByName(hits)
+        if not inside or g != groups[-1]:
+            a = left.join(right, cond, "left_anti").drop("_kx", "_ky")
+    out = found if inside else a
+    return out.select(*[F.col(c if c == "window" else f"a_{c}").alias(c) for c in stream.columns])
+
+
 def _with_distance(pairs: DataFrame, a: DataFrame, b: DataFrame, dist: str,
                    limit: Optional[str], window: Optional[str]) -> DataFrame:
     """Add ``dist`` and drop pairs beyond the limit.

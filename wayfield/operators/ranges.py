@@ -3,7 +3,10 @@
 One operator covers every pairing of point, line and polygon. A small query set
 (size checked, see ``MAX_LITERAL_VERTICES``) becomes a filter: no join, no shuffle,
 box comparisons that reach the scan, and it works unchanged on a stream. A larger
-set is joined on multi-resolution cell keys.
+set is joined on cell keys; the rows are the same.
+
+Objects without coordinates are in no result, neither inside nor outside, and query
+objects without coordinates count for nothing.
 """
 
 from __future__ import annotations
@@ -68,63 +71,105 @@ def block_sql(stream: Shape, grid: Grid, box: tuple, layers: int) -> str:
 
 
 def outside(stream: Shape, queries: Queries, r: float, mode: str = "all",
-            approx: bool = False) -> str:
+            approx: bool = False, grid: Optional[Grid] = None) -> str:
     """Predicate: farther than ``r`` from all query objects, or from any of them."""
     if mode == "all":
-        return f"NOT {within_any(stream, queries, r, approx)}"
-    return _any([f"NOT {within_any(stream, q, r, approx)}" for q in _as_list(queries)])
+        return f"NOT {within_any(stream, queries, r, approx, grid)}"
+    return _any([f"NOT {within_any(stream, q, r, approx, grid)}" for q in _as_list(queries)])
+
+
+def located(df: DataFrame, kind: str) -> DataFrame:
+    """The rows that have coordinates."""
+    return df.filter("x IS NOT NULL AND y IS NOT NULL" if kind == G.POINT else "xmin IS NOT NULL")
 
 
 def range_query(stream: DataFrame, queries: Union[Queries, DataFrame], r: float, *,
                 kind: str = G.POINT, query_kind: Optional[str] = None,
                 window: Optional[WindowSpec] = None, approx: bool = False,
                 outside_mode: Optional[str] = None, grid: Optional[Grid] = None,
-                row_id: Optional[Sequence[str]] = None) -> DataFrame:
+                row_id: Optional[Sequence[str]] = None, max_extent: Optional[float] = None,
+                max_literal: int = MAX_LITERAL_VERTICES) -> DataFrame:
     """Stream objects within ``r`` of the query set (or outside it).
 
     The predicate is evaluated once per object and only survivors are spread over
     windows, so a sliding window re-evaluates nothing. A query DataFrame holding more
-    than ``MAX_LITERAL_VERTICES`` vertices is joined; pass ``row_id``, columns that
-    identify a stream row, for that case.
+    than ``max_literal`` vertices is joined. For that case two things may be needed:
+    ``row_id``, columns that identify a row, for lines and polygons in a table and for
+    ``outside_mode="any"`` (tables only); ``max_extent``, the largest width or height,
+    for a stream of lines or polygons.
     """
     if isinstance(queries, DataFrame):
-        small = collect_queries(queries, query_kind)
+        small = collect_queries(queries, query_kind, max_literal)
         if small is None:
-            out = _range_join(stream, queries, r, kind, query_kind, approx, outside_mode, row_id)
+            out = _range_join(stream, queries, r, kind, query_kind, approx, outside_mode, grid,
+                              row_id, max_extent)
             return with_window(out, window) if window else out
         queries = small
     s = G.shape(kind)
-    pred = (outside(s, queries, r, outside_mode, approx) if outside_mode
+    pred = (outside(s, queries, r, outside_mode, approx, grid) if outside_mode
             else within_any(s, queries, r, approx, grid))
-    out = stream.filter(pred)
+    out = located(stream, kind).filter(pred)
     return with_window(out, window) if window else out
 
 
-def collect_queries(queries: DataFrame, kind: str) -> Optional[list[QueryGeometry]]:
-    """The query table as literals, or None if it is over the size limit."""
+def collect_queries(queries: DataFrame, kind: str,
+                    limit: int = MAX_LITERAL_VERTICES) -> Optional[list[QueryGeometry]]:
+    """The query objects with coordinates as literals, or None if they are over the limit."""
     if kind == G.POINT:
-        rows = queries.select("x", "y").limit(MAX_LITERAL_VERTICES + 1).collect()
-        return None if len(rows) > MAX_LITERAL_VERTICES else [G.point(*row) for row in rows]
+        rows = located(queries, kind).select("x", "y").limit(limit + 1).collect()
+        return None if len(rows) > limit else [G.point(*row) for row in rows]
     column = "rings" if kind == G.POLYGON else "paths"
-    if (queries.agg(F.sum(F.size(F.flatten(column)))).first()[0] or 0) > MAX_LITERAL_VERTICES:
+    queries = queries.filter(F.size(F.flatten(column)) > 0)
+    if (queries.agg(F.sum(F.size(F.flatten(column)))).first()[0] or 0) > limit:
         return None
     return [QueryGeometry(kind, tuple(tuple((v["x"], v["y"]) for v in path) for path in row[0]))
-            for row in queries.select(column).limit(MAX_LITERAL_VERTICES + 1).collect()]
+            for row in queries.select(column).limit(limit + 1).collect()]
 
 
-def _range_join(stream, queries, r, kind, query_kind, approx, outside_mode, row_id) -> DataFrame:
+def _range_join(stream, queries, r, kind, query_kind, approx, outside_mode, grid, row_id,
+                max_extent) -> DataFrame:
+    stream, queries = located(stream, kind), located(queries, query_kind)
+    kinds = (kind, query_kind)
     if outside_mode == "any":
-        raise ValueError("outside 'any' needs a query set below MAX_LITERAL_VERTICES")
-    if not row_id:
-        raise ValueError("row_id is needed to match a large query table")
-    ids = joins.semi_join(stream, queries, r, kinds=(kind, query_kind), row_id=row_id,
-                          approx=approx)
+        return _outside_any(stream, queries, r, kinds, approx, grid, row_id)
+    if kind == G.POINT or max_extent is not None:
+        return joins.match(stream, queries, r, kinds=kinds, approx=approx, grid=grid,
+                           inside=not outside_mode, max_extent=max_extent or 0.0)
+    if stream.isStreaming or not row_id:
+        raise ValueError("lines and polygons against a large query table need row_id (tables) "
+                         "or max_extent (streams)")
+    ids = joins.semi_join(stream, queries, r, kinds=kinds, row_id=row_id, approx=approx)
     return stream.join(ids, list(row_id), "left_anti" if outside_mode else "left_semi")
 
 
+def _outside_any(stream, queries, r, kinds, approx, grid, row_id) -> DataFrame:
+    """Rows that some query object is farther from than ``r``: all but those that hit every one.
+
+    A few query objects, taken as literals, leave hardly a row that might; only these are
+    paired with all query objects.
+    """
+    if stream.isStreaming or not row_id:
+        raise ValueError("outside 'any' of a large query table needs row_id and a batch table")
+    probes = collect_queries(queries.limit(4), kinds[1], 1_000_000)
+    number = queries.count()
+    s = G.shape(kinds[0])
+    near = " AND ".join(within_any(s, q, r, approx, grid) for q in probes) or "TRUE"
+    numbered = queries.withColumn("_query", F.monotonically_increasing_id())
+    shape = ["x", "y"] if kinds[0] == G.POINT else ["xmin", "ymin", "xmax", "ymax", "edges", "anchors"]
+    rows = stream.filter(near).select(*dict.fromkeys([*row_id, *shape]))
+    pairs = joins.distance_join(rows, numbered, r, kinds=kinds, approx=approx, grid=grid)
+    everywhere = (pairs.groupBy(*[F.col(f"a_{c}").alias(c) for c in row_id])
+                  .agg(F.count_distinct("b__query").alias("_n")).filter(F.col("_n") == number).drop("_n"))
+    return stream.join(everywhere, list(row_id), "left_anti")
+
+
 def range_query_incremental(stream: DataFrame, query: QueryGeometry, r: float,
                             window: WindowSpec) -> DataFrame:
-    """Windowed range query that evaluates each point once, on arrival."""
+    """Windowed range query that evaluates each point once, on arrival.
+
+    ``range_query`` with a window works this way always; this is its name for a single
+    query object.
+    """
     return range_query(stream, query, r, window=window)
 
 

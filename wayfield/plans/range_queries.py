@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..functions import geometry as G
 from ..functions.geometry import LINE, POINT, POLYGON
 from ..functions.windows import WindowSpec
 from ..operators import ranges
 from . import fixtures as fx
 from . import sql
-from .registry import r6, register, us, win_start
+from .registry import ORACLES, r6, register, us, win_start
 
 R = 5.0
 QUERY_SETS = {POINT: fx.QUERY_POINTS, POLYGON: fx.QUERY_POLYGONS, LINE: (fx.QUERY_LINE,)}
@@ -178,17 +179,41 @@ register("rng7_point_polygon_outside_batch",
 
 def _table_query(spark, sf_dir):
     """Query set given as a table of any size: here every purchase polygon."""
-    points = fx.pts(spark, sf_dir).filter(F.col("event_type") != "purchase")
-    out = ranges.range_query(points, fx.polys(spark, sf_dir), 0.25, kind=POINT,
-                             query_kind=POLYGON, row_id=["event_id"])
+    out = ranges.range_query(fx.pts(spark, sf_dir), fx.polys(spark, sf_dir), 0.25, kind=POINT,
+                             query_kind=POLYGON)
     return out.select(*_columns(POINT))
 
 
 register("rng3_point_polygon_table", _table_query,
          sql.base(POLYGON) + ", hits AS (SELECT DISTINCT k FROM (" + sql.point_edges_pairs(
              "p.event_id AS k", "e.obj_id",
-             "(SELECT * FROM pts WHERE event_type <> 'purchase') p JOIN poly_box x ON "
+             "pts p JOIN poly_box x ON "
              "p.x BETWEEN x.xmin - 1 AND x.xmax + 1 AND p.y BETWEEN x.ymin - 1 AND x.ymax + 1 "
              "JOIN poly_edges e ON e.obj_id = x.obj_id", True)
          + f") WHERE dist <= {sql.d(0.25)}) SELECT {_sql_columns(POINT)} FROM pts p "
          "WHERE event_id IN (SELECT k FROM hits)")
+
+
+# the query sets above as tables, joined whatever their size
+def query_table(spark, queries):
+    if queries[0].kind == POINT:
+        return spark.createDataFrame([(float(x), float(y)) for q in queries for x, y in q.vertices],
+                                     "x double, y double")
+    rows = [([[(float(x), float(y)) for x, y in path] for path in q.paths],) for q in queries]
+    return G.with_edges(spark.createDataFrame(rows, "rings array<array<struct<x:double,y:double>>>"), "rings")
+
+
+def _run_table(queries, **options):
+    def fn(spark, sf_dir):
+        out = ranges.range_query(fx.pts(spark, sf_dir), query_table(spark, queries), R, row_id=["event_id"],
+                                 query_kind=queries[0].kind, max_literal=0, **options)
+        return out.select(*_columns(POINT))
+    return fn
+
+
+for name, queries, options in (
+        ("rng1_point_point_approx", fx.QUERY_POINTS, {"approx": True, "grid": fx.GRID100}),
+        ("rng3_point_polygon_approx", fx.QUERY_POLYGONS, {"approx": True}),
+        ("rng5_point_polygon_outside", fx.QUERY_POLYGONS, {"outside_mode": "all"}),
+        ("rng5_point_polygon_outside_any", fx.QUERY_POLYGONS, {"outside_mode": "any"})):
+    register(f"{name}_table", _run_table(queries, **options), ORACLES[name])
