@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import geometry as G
 from ..functions.grid import Grid
-from ..session import configure
+from ..session import configure, work_dir
 
 BOX = (0.0, 0.0, 100.0, 100.0)
 GRID20 = Grid.by_count(*BOX, 20)
@@ -107,3 +107,25 @@ def events_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The events table as a file stream."""
     schema = raw_events(spark, sf_dir).schema
     return spark.readStream.schema(schema).parquet(f"{sf_dir}/events.parquet*")
+
+
+SENTINEL_TIME = "2099-01-01 00:00:00"
+
+
+def closing_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The events with far-future rows behind them, so that every window of the events closes.
+
+    There is one such row per event type at (10, 50) and at (90, 10), so that one gets past the
+    filters of a query; their own window stays open.
+    """
+    stream = events_stream(spark, sf_dir)
+    rows = [(-100 * (i + 1), kind, value, k) for i, (kind, value, k) in enumerate(
+        (kind, value, k) for kind in ("click", "view", "purchase", "signup", "error")
+        for value, k in ((50.0, 50), (450.0, 10)))]
+    made = spark.createDataFrame(rows, "event_id long, event_type string, value double, k int").selectExpr(
+        "event_id", "event_type", "1L AS user_id", f"timestamp_ntz'{SENTINEL_TIME}' AS ts", "value",
+        "concat('{\"k\": ', k, '}') AS props")
+    made = made.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in stream.schema.fields])
+    path = work_dir(spark, "sentinel")
+    made.coalesce(1).write.parquet(path)
+    return stream.unionByName(spark.readStream.schema(stream.schema).parquet(path))

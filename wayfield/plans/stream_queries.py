@@ -1,7 +1,8 @@
 """Registered streaming queries: the events table replayed as a stream.
 
 Each runs to the end of what is available and returns the rows written. In append mode
-a window appears once the watermark has passed its end, so the last window stays open.
+a window appears once the watermark has passed its end; rows in the far future at the
+end of the stream let all windows of the events close.
 """
 
 from __future__ import annotations
@@ -25,27 +26,21 @@ def points(spark, sf_dir, lateness=0):
     return watermark(fx.points_from(fx.events_stream(spark, sf_dir)), lateness)
 
 
-def closed(check, newest="SELECT max(epoch_us(ts)) FROM events", seconds=6 * 3600):
-    """The check restricted to windows that end by the newest event.
-
-    Spark filters before it takes the watermark, so the newest event is that of the rows
-    the filter keeps.
-    """
-    return f"SELECT * FROM ({check}) WHERE (win_start + {seconds}) * 1000 <= ({newest}) // 1000"
+def closing(spark, sf_dir):
+    """Points of a stream all of whose windows close."""
+    return watermark(fx.points_from(fx.closing_stream(spark, sf_dir)), 0)
 
 
 def _windowed_range(s, d):
     """Hits per sliding window and type."""
-    hits = ranges.range_query(points(s, d), fx.QUERY_POINTS, range_queries.R, window=SLIDING)
+    hits = ranges.range_query(closing(s, d), fx.QUERY_POINTS, range_queries.R, window=SLIDING)
     out = hits.groupBy("window", "event_type").agg(F.count(F.lit(1)).alias("n"))
     return run.run_to_table(out, "range").select(win_start().alias("win_start"), "event_type", "n")
 
 
 _hits = range_queries.within_sql(POINT, POINT, fx.QUERY_POINTS, range_queries.R, windowed=True)
-register("str1_str3_range_sliding", _windowed_range, closed(
-    f"SELECT win_start, event_type, count(*) AS n FROM ({_hits}) JOIN "
-    "(SELECT event_id, event_type FROM events) USING (event_id) GROUP BY ALL",
-    f"SELECT max(ts_us) FROM ({_hits})"))
+register("str1_str3_range_sliding", _windowed_range, f"SELECT win_start, event_type, count(*) AS n FROM ({_hits}) JOIN "
+    "(SELECT event_id, event_type FROM events) USING (event_id) GROUP BY ALL")
 
 
 def _range_rows(s, d):
@@ -58,25 +53,23 @@ register("str_rng3_point_polygon", _range_rows,
 
 
 def _geofence(s, d):
-    out = apps.geofence_windows(points(s, d), cell_queries.FENCE)
+    out = apps.geofence_windows(closing(s, d), cell_queries.FENCE)
     return run.run_to_table(out, "geofence").select(win_start().alias("win_start"), "n", "value")
 
 
 register("str4_app6_geofence", _geofence,
-         closed(f"{cell_queries._OUT} SELECT ts_ms // 1000 AS win_start, count(*) AS n, 'TRUE' AS value FROM o GROUP BY ts_ms // 1000",
-                f"{cell_queries._OUT} SELECT max(ts_us) FROM o", 1))
+         f"{cell_queries._OUT} SELECT ts_ms // 1000 AS win_start, count(*) AS n, 'TRUE' AS value FROM o GROUP BY ts_ms // 1000")
 
 
 def _window_stats(s, d):
-    celled = cells.has_cell(fx.GRID20.with_cell(points(s, d)))
+    celled = cells.has_cell(fx.GRID20.with_cell(closing(s, d)))
     spans = cells.spans(with_window(celled, TUMBLING), ["window"])
     rows = run.run_to_table(spans, "cell-windows", per_batch=lambda b: cells.roll_up(b, "SUM", ["window"]))
     return rows.select(win_start().alias("win_start"), "cx", "cy", "n_obj", "traj_ms")
 
 
-register("str2_trj10_cell_window_sum", _window_stats, closed(
-    f"{sql.base()}, {tq._CELLED} SELECT * RENAME (ws AS win_start) FROM ("
-    + tq.roll_up_sql(tq.spans_sql("c", ("ws",)), ("ws",), "SUM", False) + ")"))
+register("str2_trj10_cell_window_sum", _window_stats, f"{sql.base()}, {tq._CELLED} SELECT * RENAME (ws AS win_start) FROM ("
+    + tq.roll_up_sql(tq.spans_sql("c", ("ws",)), ("ws",), "SUM", False) + ")")
 
 
 def _join(s, d):
@@ -99,13 +92,11 @@ register("str11_jon3_point_polygon", _join_polygons, join_queries.join_sql((POIN
 
 
 def _knn(s, d):
-    return knn_queries.result(run.nearest(points(s, d), fx.QUERY_POINTS[0], knn_queries.R, knn_queries.K, TUMBLING))
+    return knn_queries.result(run.nearest(closing(s, d), fx.QUERY_POINTS[0], knn_queries.R, knn_queries.K, TUMBLING))
 
 
 register("str7_knn1_point_point", _knn,
-         closed(knn_queries.knn_sql(POINT, fx.QUERY_POINTS[0], knn_queries.R),
-                f"{range_queries.pair_distances(POINT, POINT, fx.QUERY_POINTS[:1])} SELECT max(ts_us) FROM pts JOIN dists "
-                f"ON k = event_id WHERE dist <= {sql.d(knn_queries.R)}"))
+         knn_queries.knn_sql(POINT, fx.QUERY_POINTS[0], knn_queries.R))
 
 
 def _update(s, d):
@@ -157,7 +148,7 @@ register("str9_app1_fill_checkins", _checkins, ORACLES["app1_fill_checkins"])
 
 def _lines(s, d):
     """Sub-trajectories of closed windows: window rows are collected per micro-batch."""
-    rows = with_window(T.filter_ids(points(s, d), fx.TRAJECTORY_IDS), TUMBLING)
+    rows = with_window(T.filter_ids(closing(s, d), fx.TRAJECTORY_IDS), TUMBLING)
     vertex = F.struct("ts", "x", "y")
     out = rows.groupBy("window", "obj_id").agg(
         F.count(F.lit(1)).alias("n_points"), F.min(vertex).alias("_f"), F.max(vertex).alias("_l"))
@@ -166,8 +157,7 @@ def _lines(s, d):
                             *[f"round({s_}.{v}, 6) AS {n}_{v}" for s_, n in (("_f", "first"), ("_l", "last")) for v in "xy"])
 
 
-register("str2_trj2_line_ends", _lines, closed(
-    ORACLES["trj2_filter_lines"], f"SELECT max(epoch_us(ts)) FROM events WHERE CAST(user_id AS VARCHAR) IN {tq.IDS}"))
+register("str2_trj2_line_ends", _lines, ORACLES["trj2_filter_lines"])
 
 
 def _observed(s, d):
@@ -186,7 +176,7 @@ register("str12_observed_latency", _observed,
 # -- windowed trajectory operators, run as their windows close ------------------------------
 def _closing(operator, result):
     def fn(spark, sf_dir):
-        stream = fx.points_from(fx.events_stream(spark, sf_dir))
+        stream = fx.points_from(fx.closing_stream(spark, sf_dir))
         return result(run.run_closed_windows(stream, operator, TUMBLING, "closing"))
     return fn
 
@@ -204,26 +194,26 @@ def _by_type(rows):
 
 
 register("str_trj4_touching_lines", _closing(_touching, lambda out: tq._summary(out, "obj_id")),
-         closed(ORACLES["trj4_touching_lines"]))
+         ORACLES["trj4_touching_lines"])
 register("str_trj17_trajectory_knn_lines",
          _closing(_knn_lines, lambda out: tq._summary(out, "obj_id", "bigint(rank) AS rank", "round(dist, 6) AS dist")),
-         closed(ORACLES["trj17_trajectory_knn_lines"]))
+         ORACLES["trj17_trajectory_knn_lines"])
 register("str_trj7_window_stats",
          _closing(lambda rows: T.window_stats(rows, TUMBLING),
                   lambda out: out.selectExpr("unix_seconds(window.start) AS win_start", "obj_id", *tq._stat)),
-         closed(ORACLES["trj7_window_stats"]))
+         ORACLES["trj7_window_stats"])
 register("str_trj12_trajectory_join",
          _closing(lambda rows: T.trajectory_pairs(*_by_type(rows), tq.D, window=TUMBLING), tq._pairs),
-         closed(ORACLES["trj12_trajectory_join"]))
+         ORACLES["trj12_trajectory_join"])
 register("str_trj13_trajectory_join_lines",
          _closing(lambda rows: T.trajectory_join_lines(*_by_type(rows), tq.D, TUMBLING),
                   lambda out: tq._summary(out, "a_obj_id", "b_obj_id", "side")),
-         closed(ORACLES["trj13_trajectory_join_lines"]))
+         ORACLES["trj13_trajectory_join_lines"])
 register("str_app3_stay_time",
          _closing(lambda rows: apps.stay_time(rows, fx.GRID20, TUMBLING),
                   lambda out: out.select(win_start().alias("win_start"), "cx", "cy", F.round("stay_ms", 5).alias("stay_ms"))),
-         closed(ORACLES["app3_stay_time"]))
+         ORACLES["app3_stay_time"])
 register("str_app5_normalized_stay_time",
          _closing(lambda rows: apps.normalized_stay_time(rows, fx.polys_from(rows), fx.GRID20, TUMBLING, cell_queries.SECONDS),
                   lambda out: out.select(win_start().alias("win_start"), "cx", "cy", F.round("normalized", 3).alias("normalized"))),
-         closed(ORACLES["app5_normalized_stay_time"]))
+         ORACLES["app5_normalized_stay_time"])
