@@ -20,23 +20,23 @@ LEAST_LANGUAGE_SCORE = 0.4
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose toxicity score is below one half; NULL texts have no toxic word and stay."""
     model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
-    return toxicity.score(docs, model).filter(F.col("predicted") == 0).select(*docs.columns)
+    return toxicity.score(docs, model, prefix="__").filter("__predicted = 0").select(*docs.columns)
 
 
 def keep_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with letters for which some language has a score of 0.4 or more."""
     net = langid.fit(docs.filter(remainder("doc_id", 4) != 2))
-    good = (F.col("lang_pred") != langid.UNKNOWN) & (F.col("score") >= LEAST_LANGUAGE_SCORE)
-    return langid.predict(docs, net).filter(good).select(*docs.columns)
+    good = (F.col("__lang_pred") != langid.UNKNOWN) & (F.col("__score") >= LEAST_LANGUAGE_SCORE)
+    return langid.predict(docs, net, prefix="__").filter(good).select(*docs.columns)
 
 
 def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the smallest id of every similarity class; of rows that repeat its id,
     one. Documents without words or without an id are in no group and stay."""
     classes = jaccard.similarity_classes(docs)
-    kept = written(classes.filter("component IS NULL OR doc = component").select("doc").distinct(), "kept-ids")
+    kept = written(classes.filter("doc = component").select(F.col("doc").alias("__doc")).distinct(), "kept-ids")
     alone = docs.filter(F.col("doc_id").isNull())
-    rows = docs.join(kept.filter("doc IS NOT NULL"), docs.doc_id == F.col("doc"), "left_semi")
+    rows = docs.join(kept, docs.doc_id == F.col("__doc"), "left_semi")
     unique = docs.filter("doc_id IS NOT NULL").groupBy("doc_id").count().filter("count > 1").isEmpty()
     return (rows if unique else rows.dropDuplicates(["doc_id"])).unionByName(alone)
 

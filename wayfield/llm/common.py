@@ -47,6 +47,10 @@ def without(df: DataFrame, names: Sequence[str]) -> DataFrame:
     return df.select(*[F.col(f"`{c}`") for c in df.columns if c.lower() not in gone])
 
 
+def prefixed(fields: T.StructType, prefix: str) -> T.StructType:
+    return T.StructType([T.StructField(prefix + f.name, f.dataType, f.nullable) for f in fields])
+
+
 def append_columns(df: DataFrame, fn: Callable, inputs: Sequence[str],
                    outputs: T.StructType) -> DataFrame:
     """``df`` with the columns that ``fn`` makes from the input columns of each Arrow batch.

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import append_columns, hash_sample
+from .common import append_columns, hash_sample, prefixed
 
 UNKNOWN = "und"
 WINDOW = 128
@@ -27,9 +27,10 @@ TRAIN_WINDOW = 64
 HIDDEN = 8
 LETTER = re.compile(r"[^\W\d_]")
 
-# upper-case A-Z are read as lower-case
+# upper-case A-Z are read as lower-case, and NUL as 1: 0 stands for no byte
 FOLD = np.arange(256, dtype=np.uint8)
 FOLD[65:91] += 32
+FOLD[0] = 1
 
 
 @dataclass
@@ -43,12 +44,13 @@ class Layer:
 
     def run(self, x: np.ndarray, keep: bool = False):
         """States (time x H x batch) for bytes (time x batch); with ``keep`` also what training
-        needs."""
+        needs. Where there is no byte (0) the state is that of the start."""
         hid = self.state.shape[0]
         h = np.zeros((hid, x.shape[1]), np.float32)
         states = np.empty((x.shape[0], hid, x.shape[1]), np.float32)
         tape = []
         half = np.float32(0.5)
+        real = (x != 0).astype(np.float32) if (x == 0).any() else None
         for t in range(x.shape[0]):
             e = self.inputs.take(x[t], axis=1)
             g = self.gates @ h
@@ -67,6 +69,8 @@ class Layer:
             d = n - h
             d *= z
             h = h + d
+            if real is not None:
+                h *= real[t]
             states[t] = h
         return (states, tape) if keep else states
 
@@ -79,7 +83,7 @@ class Layer:
         for t in range(x.shape[0] - 1, -1, -1):
             h, g, rh, n = tape[t]
             r, z = g[:hid], g[hid:]
-            dh = dh + d_states[t]
+            dh = (dh + d_states[t]) * (x[t] != 0)
             a_n = dh * z * (1 - n * n)
             d_rh = self.state.T @ a_n
             d_g = np.concatenate([d_rh * h, dh * (n - h)]) * g * (1 - g)
@@ -255,12 +259,12 @@ PREDICTED = T.StructType([T.StructField("lang_pred", T.StringType()),
                           T.StructField("score", T.DoubleType())])
 
 
-def predict(docs: DataFrame, net: Network, text_col: str = "text") -> DataFrame:
+def predict(docs: DataFrame, net: Network, text_col: str = "text", prefix: str = "") -> DataFrame:
     """``docs`` with ``lang_pred`` and ``score``, the pooled probability of that language.
 
     A text that is NULL or has no letter is ``und`` with score 0, as is every text when the
-    network knows no language. Ties go to the language that sorts first. Columns of these names
-    are replaced, all others are kept.
+    network knows no language. Ties go to the language that sorts first. ``prefix`` goes before
+    the new names; columns that have these names already are replaced, all others are kept.
     """
     shared = docs.sparkSession.sparkContext.broadcast(net)
 
@@ -274,4 +278,4 @@ def predict(docs: DataFrame, net: Network, text_col: str = "text") -> DataFrame:
         return ([model.languages[b] if ok else UNKNOWN for b, ok in zip(best, lettered)],
                 [float(p[i, b]) if ok else 0.0 for i, (b, ok) in enumerate(zip(best, lettered))])
 
-    return append_columns(docs, run, [text_col], PREDICTED)
+    return append_columns(docs, run, [text_col], prefixed(PREDICTED, prefix))
