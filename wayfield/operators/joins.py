@@ -47,12 +47,17 @@ def _level(s: Shape, by: float, base: float) -> Column:
     return F.expr(f"IF({extent} <= {G.num(base)}, 0, int(ceil(log2({extent} / {G.num(base)}))))")
 
 
-def _profile(df: DataFrame, s: Shape, by: float, base: float) -> tuple[int, list[int]]:
-    """Row count and distinct levels (a few dozen integers at most) of one side."""
-    if s.kind == G.POINT:
-        return df.count(), [0]
-    row = df.select(_level(s, by, base).alias("l")).agg(F.count(F.lit(1)), F.collect_set("l")).first()
-    return row[0], sorted(row[1])
+def _profiles(a: DataFrame, b: DataFrame, sa: Shape, sb: Shape, by: float,
+              base: float) -> list[tuple[int, list[int]]]:
+    """Row count and distinct levels (a few dozen integers at most) of both sides, in one job."""
+    def levels(df, side, s, pad):
+        level = F.lit(0) if s.kind == G.POINT else _level(s, pad, base)
+        return df.select(F.lit(side).alias("s"), level.alias("l"))
+
+    rows = levels(a, 0, sa, 0.0).unionByName(levels(b, 1, sb, by)).groupBy("s", "l").count().collect()
+    return [(sum(r["count"] for r in rows if r["s"] == side),
+             sorted(r["l"] for r in rows if r["s"] == side and r["l"] is not None) if s.kind != G.POINT else [0])
+            for side, s in ((0, sa), (1, sb))]
 
 
 def _cells(df: DataFrame, s: Shape, by: float, base: float, single: bool) -> DataFrame:
@@ -145,7 +150,7 @@ def _prepare(a: DataFrame, b: DataFrame, sa: Shape, sb: Shape, reach: float, bas
     pad = reach + base * 1e-9
     if a.isStreaming or b.isStreaming:
         return *_keyed(a, b, sa, sb, pad, base, [0], [0]), keys
-    (rows_a, levels_a), (rows_b, levels_b) = _profile(a, sa, 0.0, base), _profile(b, sb, pad, base)
+    (rows_a, levels_a), (rows_b, levels_b) = _profiles(a, b, sa, sb, pad, base)
     ka, kb = _keyed(a, b, sa, sb, pad, base, levels_a, levels_b)
     if hot_rows and max(rows_a, rows_b) > hot_rows:
         salted = _salted(ka, kb, keys, hot_rows)
