@@ -13,6 +13,7 @@ from ..functions.geometry import POINT
 from ..functions.windows import WindowSpec, watermark, with_window
 from ..operators import apps, cells, joins, ranges
 from ..operators import trajectory as T
+from ..session import work_dir
 from ..streaming import run, state
 from . import cell_queries, join_queries, knn_queries, range_queries, sql
 from . import fixtures as fx
@@ -167,6 +168,23 @@ def _observed(s, d):
     return run.run_to_table(out, "observed").select("event_id", "latency_ms")
 
 
+def _meter(s, d):
+    """The meter itself: rows and worst latency over all micro-batches."""
+    hits = ranges.range_query(points(s, d), fx.QUERY_POINTS, range_queries.R)
+    out = run.observed(ranges.with_latency(hits, F.lit(range_queries.AS_OF).cast("timestamp")), "meter",
+                       worst=F.max("latency_ms"))
+    query = run.start_to_table(out, work_dir(s, "meter"))
+    query.awaitTermination()
+    seen = run.observations(query, "meter")
+    worst = [x["worst"] for x in seen if x["worst"] is not None]
+    return s.createDataFrame([(sum(x["rows"] for x in seen), max(worst, default=None))], "n long, worst_ms long")
+
+
+register("str12_meter", _meter,
+         range_queries.pair_distances(POINT, POINT, fx.QUERY_POINTS)
+         + f" SELECT count(*) AS n, max(epoch_us(TIMESTAMP '{range_queries.AS_OF}') // 1000 - ts_ms) AS worst_ms FROM pts "
+         f"WHERE event_id IN (SELECT k FROM dists WHERE dist <= {sql.d(range_queries.R)})")
+
 register("str12_observed_latency", _observed,
          range_queries.pair_distances(POINT, POINT, fx.QUERY_POINTS)
          + f" SELECT event_id, epoch_us(TIMESTAMP '{range_queries.AS_OF}') // 1000 - ts_ms AS latency_ms FROM pts "

@@ -54,10 +54,11 @@ def latest(rows: DataFrame, keys: list[str]) -> DataFrame:
 
 
 # -- any windowed operator on a stream ---------------------------------------------------
-def run_closed_windows(stream: DataFrame, operator: Callable[[DataFrame], DataFrame],
-                       window: WindowSpec, name: str, *, lateness_seconds: float = 0,
-                       available_now: bool = True) -> DataFrame:
-    """Run a windowed batch operator on a stream, each window once, when it closes.
+def start_closed_windows(stream: DataFrame, operator: Callable[[DataFrame], DataFrame],
+                         window: WindowSpec, path: str, *, lateness_seconds: float = 0,
+                         available_now: bool = False):
+    """Start a query that runs a windowed batch operator on a stream, each window once, when it
+    closes, and writes below ``path``; started again with the same path it resumes.
 
     For operators that need several shuffles per window (sub-trajectories, joins of
     them, stay time). Rows are appended to a table by day; a micro-batch that moves the
@@ -67,21 +68,22 @@ def run_closed_windows(stream: DataFrame, operator: Callable[[DataFrame], DataFr
     retried batch gives the same files.
     """
     spark = stream.sparkSession
-    path = work_dir(spark, name)
     size_us = f"unix_micros(timestamp_seconds(0) + INTERVAL {window.size})"
     size = spark.range(1).selectExpr(size_us).first()[0]
 
-    def newest(limit: int) -> Optional[int]:
-        seen = spark.read.parquet(f"{path}/newest").filter(F.col("batch") <= limit)
-        top = seen.agg(F.max("us")).first()[0]
-        return None if top is None else top - int(lateness_seconds * 1_000_000)
+    def newest(number: int) -> Optional[int]:
+        """Newest event time up to a micro-batch, one row in the batch's own folder."""
+        return spark.read.schema("us long").parquet(f"{path}/newest/batch={number}").first()["us"]
 
     def close(batch: DataFrame, number: int) -> None:
         raw = f"{path}/raw/batch={number}"
         batch.withColumn("day", F.to_date("ts")).write.mode("overwrite").partitionBy("day").parquet(raw)
-        batch.select(F.max(F.unix_micros("ts")).alias("us")).write.mode("overwrite").parquet(
+        before = newest(number - 1) if number else None
+        top = batch.agg(F.max(F.unix_micros("ts"))).first()[0]
+        late = None if top is None else top - int(lateness_seconds * 1_000_000)
+        now = max((t for t in (before, late) if t is not None), default=None)
+        spark.createDataFrame([(now,)], "us long").coalesce(1).write.mode("overwrite").parquet(
             f"{path}/newest/batch={number}")
-        now, before = newest(number), newest(number - 1)
         if now is None or now == before:
             return
         rows = spark.read.schema(f"{_ddl(batch)}, batch int, day date").parquet(f"{path}/raw")
@@ -95,9 +97,15 @@ def run_closed_windows(stream: DataFrame, operator: Callable[[DataFrame], DataFr
         out.write.mode("overwrite").parquet(f"{path}/rows/batch={number}")
 
     writer = stream.writeStream.option("checkpointLocation", f"{path}/_checkpoint").foreachBatch(close)
-    query = (writer.trigger(availableNow=True) if available_now else writer).start()
-    query.awaitTermination()
-    return spark.read.parquet(f"{path}/rows").drop("batch")
+    return (writer.trigger(availableNow=True) if available_now else writer).start()
+
+
+def run_closed_windows(stream: DataFrame, operator: Callable[[DataFrame], DataFrame],
+                       window: WindowSpec, name: str, **options) -> DataFrame:
+    """Process what is available by ``start_closed_windows``, then return the written rows."""
+    path = work_dir(stream.sparkSession, name)
+    start_closed_windows(stream, operator, window, path, available_now=True, **options).awaitTermination()
+    return stream.sparkSession.read.parquet(f"{path}/rows").drop("batch")
 
 
 def _ddl(df: DataFrame) -> str:
@@ -105,15 +113,24 @@ def _ddl(df: DataFrame) -> str:
 
 
 # -- streaming forms ---------------------------------------------------------------
-def nearest(stream: DataFrame, query: QueryGeometry, r: Optional[float], k: int,
-            window: WindowSpec, *, kind: str = POINT, name: str = "knn", **options) -> DataFrame:
-    """kNN on a stream: object minima as a windowed aggregation, ranked per closed window.
+def start_nearest(stream: DataFrame, query: QueryGeometry, r: Optional[float], k: int,
+                  window: WindowSpec, path: str, *, kind: str = POINT, available_now: bool = False):
+    """Start kNN on a stream, written below ``path``: object minima as a windowed aggregation,
+    ranked per closed window.
 
     A window's rows leave the aggregation in one micro-batch, so ranking the batch is
     exact.
     """
     best = knn.object_distances(stream, query, r, kind=kind, window=window)
-    return run_to_table(best, name, per_batch=lambda b: knn.rank_nearest(b, k), **options)
+    return start_to_table(best, path, available_now=available_now, per_batch=lambda b: knn.rank_nearest(b, k))
+
+
+def nearest(stream: DataFrame, query: QueryGeometry, r: Optional[float], k: int,
+            window: WindowSpec, *, kind: str = POINT, name: str = "knn") -> DataFrame:
+    """Process what is available by ``start_nearest``, then return the written rows."""
+    path = work_dir(stream.sparkSession, name)
+    start_nearest(stream, query, r, k, window, path, kind=kind, available_now=True).awaitTermination()
+    return stream.sparkSession.read.parquet(f"{path}/rows")
 
 
 def cell_spans(stream: DataFrame, grid: Grid) -> DataFrame:
@@ -138,3 +155,9 @@ def late_rows_dropped(query) -> int:
 def observed(df: DataFrame, name: str, **metrics) -> DataFrame:
     """Count rows (and more) as they pass; read back from query progress or listener."""
     return df.observe(name, F.count(F.lit(1)).alias("rows"), *[c.alias(n) for n, c in metrics.items()])
+
+
+def observations(query, name: str) -> list[dict]:
+    """What ``observed`` measured in each recent micro-batch of a query."""
+    seen = [p["observedMetrics"].get(name) for p in query.recentProgress if p["observedMetrics"]]
+    return [s.asDict() if hasattr(s, "asDict") else dict(s) for s in seen if s is not None]
