@@ -130,10 +130,12 @@ def with_next(df: DataFrame, id_col: str, columns: dict[str, str]) -> DataFrame:
                    F.struct(F.col("__up").alias("b"), F.lit(True).alias("guest")))
     rows = rows.withColumn("__seat", F.explode(F.when(F.col("__up").isNull(), seats).otherwise(both)))
     tie = next(iter(columns.values()))
-    order = Window.partitionBy("__seat.b").orderBy("__seat.guest", F.desc("__key"), tie)
-    for new, old in columns.items():
-        rows = rows.withColumn(new, F.lead(old).over(order))
-    return rows.filter(~F.col("__seat.guest")).drop("__key", "__seg", "__bucket", "__head", "__up", "__seat")
+    # plain columns and one projection: one window over one exchange
+    rows = rows.select(*[F.col(f"`{c}`") for c in df.columns], "__key",
+                       F.col("__seat.b").alias("__b"), F.col("__seat.guest").alias("__guest"))
+    order = Window.partitionBy("__b").orderBy("__guest", F.desc("__key"), tie)
+    rows = rows.select("*", *[F.lead(old).over(order).alias(new) for new, old in columns.items()])
+    return rows.filter(~F.col("__guest")).drop("__key", "__b", "__guest")
 
 
 def fingerprinted(docs: DataFrame, k: int = K, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
