@@ -30,7 +30,7 @@ def tables(spark, tmp_path_factory):
             labels.append((i, int(toxic), 1))
     docs += [(600 + i, docs[2][1], "en", "s1", "") for i in range(5)]
     docs += [(610, docs[2][1] + " end", "en", "s2", ""), (700, "12 34 %%", "en", "s1", ""), (701, None, None, None, ""),
-             (702, "", "en", "s1", ""), (703, "an 1 d 1 0 t in the garden", "en", "s1", ""), (2, docs[2][1], "en", "s2", ""),
+             (702, "", "en", "s1", ""), (703, "an 1 d 1 0 t met $tup1d people", "en", "s1", ""), (2, docs[2][1], "en", "s2", ""),
              (704, "the garden and the river " * 4000, "en", "s3", "")]
     path = str(tmp_path_factory.mktemp("tables"))
     spark.createDataFrame(docs, "doc_id long, text string, lang string, source string, score string").repartition(3) \
