@@ -159,7 +159,9 @@ def fit(docs: DataFrame, target_ids: DataFrame, id_col: str = "doc_id", text_col
     the background model's prior and scores are 0.
     """
     vocabulary = fit_vocabulary(docs, text_col)
-    marks = target_ids.toDF("__id").filter("__id IS NOT NULL").distinct().withColumn("__target", F.lit(True))
+    # always by sort and merge: the list of targets grows with the corpus
+    marks = (target_ids.toDF("__id").filter("__id IS NOT NULL").distinct().withColumn("__target", F.lit(True))
+             .hint("merge"))
     rows = (docs.select(F.col(id_col).alias("__key"), F.col(text_col).alias("__text"))
             .join(marks, F.col("__key") == F.col("__id"), "left"))
     counted = written(count_grams(rows, vocabulary, "__text", "__target"), "lm-counts")
