@@ -73,8 +73,6 @@ def test_stages(spark, tables):
     for r in after:
         per[r.sequence_id] += r.length
     assert all(n == 2048 or n & (n - 1) == 0 for n in per.values())
-    whole = sorted(tuple(r) for r in C.run(spark, tables).collect())
-    assert len(whole) == len(after)
 
 
 def test_empty_tables(spark, tmp_path):
