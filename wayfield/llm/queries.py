@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import fingerprints, html_text, jaccard, langid, lm_scoring, mixing, packing, search, sharding, toxicity
+from . import fingerprints, html_text, jaccard, langid, mixing, packing, search, sharding, toxicity, word_scoring
 from .common import remainder, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -120,8 +120,7 @@ def op6_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The target is what the labels call good."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     good = table(spark, sf_dir, "labels").filter("quality = 1").select("doc_id")
-    models = lm_scoring.fit(docs, good)
-    return lm_scoring.score(docs, models).select("doc_id", "n_tokens", "loss_target", "loss_background", "score")
+    return word_scoring.score(docs, good).select("doc_id", "n_tokens", "loss_target", "loss_background", "score")
 
 
 @query
