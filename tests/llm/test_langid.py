@@ -71,3 +71,18 @@ def test_edges(spark, fitted):
     nothing = L.fit(df.withColumn("lang", df.lang_pred).limit(0))
     assert {r.lang_pred for r in L.predict(df, nothing).collect()} == {"und"}
     assert L.predict(df.limit(0), net).count() == 0
+
+
+def test_rare_languages_are_learnt(spark):
+    rows = corpus(4000) + [(10_000 + i, "zox quv yij " * (3 + i % 5), "zz") for i in range(6)] + [(None, "øø åå ææ", "yy")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(3)
+    net = L.fit(df, max_fit_rows=300)
+    assert net.languages == ["aa", "bb", "cc", "yy", "zz"]
+    got = L.predict(df.filter("doc_id >= 9000"), net).collect()
+    assert {r.lang_pred for r in got} == {"zz"}
+
+
+def test_shares():
+    assert L.shares({"a": 10, "b": 1000, "c": 5000}, 600) == {"a": 10, "b": 295, "c": 295}
+    assert L.shares({"a": 3, "b": 4}, 100) == {"a": 3, "b": 4} and L.shares({"a": 3, "b": 4}, 1) == {"a": 1, "b": 1}
+    assert L.shares({}, 10) == {}

@@ -15,11 +15,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import append_columns, hash_sample, prefixed
+from .common import append_columns, prefixed
 
 UNKNOWN = "und"
 WINDOW = 128
@@ -223,26 +223,44 @@ def pooled(net: Network, data, starts, lengths, batch: int = 4096) -> np.ndarray
     return (sums / np.maximum(lengths, 1)).T
 
 
+def shares(sizes: dict[str, int], rows: int) -> dict[str, int]:
+    """Rows of each language: equal shares of ``rows``, where what a small language leaves goes to
+    the others, and one row at least."""
+    out = {}
+    for k, (lang, n) in enumerate(sorted(sizes.items(), key=lambda x: (x[1], x[0]))):
+        out[lang] = min(n, max(1, (rows - sum(out.values())) // (len(sizes) - k)))
+    return out
+
+
 def fit(docs: DataFrame, max_fit_rows: int = 6000, id_col: str = "doc_id", text_col: str = "text",
         lang_col: str = "lang") -> Network:
-    """A network for the languages of at most ``max_fit_rows`` rows with text and language.
+    """A network for all languages that rows with text have.
 
-    Four windows per row, spread over its text, go to the driver (at most 4 x 64 bytes a row).
+    It is trained on at most ``max_fit_rows`` of these rows, each language by its own sample (one
+    row per language where there are more languages than that). Four windows per row, spread over its text, go to the driver (at most 4 x 64 bytes a row).
     Without such rows the network knows no language.
     """
     text = F.col(text_col)
     usable = docs.filter(F.col(lang_col).isNotNull() & (F.length(text) > 0))
-    n = usable.count()
+    draw = F.pmod(F.xxhash64(id_col, text_col), F.lit(1 << 30))
+    # one row per language
+    found = usable.groupBy(F.col(lang_col).alias("lang")).agg(F.count("*").alias("n"), F.min(draw).alias("least")).collect()
+    if not found:
+        return Network.new([])
+    share = shares({r["lang"]: r["n"] for r in found}, max_fit_rows)
+    # more than the share passes the bar, and the least drawn number always does
+    bars = [(r["lang"], max(r["least"] + 1, (1 << 30) * (share[r["lang"]] + 4 * int(share[r["lang"]] ** 0.5) + 20) // r["n"]),
+             share[r["lang"]]) for r in found]
+    bars = F.broadcast(docs.sparkSession.createDataFrame(bars, "__lang string, __bar long, __share long"))
+    nth = F.row_number().over(Window.partitionBy("lang").orderBy("draw", "h", "w0"))
     step = F.greatest(F.length(text) - TRAIN_WINDOW, F.lit(0)) / 3
-    rows = (hash_sample(usable, id_col, max_fit_rows, n)
-            .select(F.col(lang_col).alias("lang"), F.xxhash64(id_col).alias("h"),
+    rows = (usable.join(bars, (F.col(lang_col) == F.col("__lang")) & (draw < F.col("__bar")))
+            .select(F.col(lang_col).alias("lang"), F.xxhash64(id_col).alias("h"), draw.alias("draw"), "__share",
                     *[F.substring(text, F.floor(step * i).cast("int") + 1, F.lit(TRAIN_WINDOW)).alias(f"w{i}")
                       for i in range(4)])
-            .toPandas())
+            .withColumn("nth", nth).filter("nth <= __share").drop("draw", "nth", "__share").toPandas())
     languages = sorted(rows.lang.unique())
     net = Network.new(languages)
-    if not languages:
-        return net
     rows = rows.sort_values(["h", "lang", "w0"], kind="stable")
     cut = [[s.encode()[:TRAIN_WINDOW] for s in rows[f"w{i}"]] for i in range(4)]
     flat = [b for part in cut for b in part]
