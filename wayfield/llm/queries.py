@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import fingerprints, html_text, jaccard, langid, mixing, packing, search, sharding, toxicity, word_scoring
+from . import (fingerprints, html_text, jaccard, langid, mixing, packing, search, sharding, spelling, toxicity,
+               word_scoring)
 from .common import remainder, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -147,3 +148,50 @@ s AS (
   WHERE q.doc_id % 20 = 0 GROUP BY ALL),
 r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id) AS rank FROM s)
 SELECT query_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM r WHERE rank <= 10""")
+
+
+@query
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return spelling.spelling_groups(docs).select("word", "form", "root", "n", "n_near", "form_n")
+
+
+oracle("op11_spelling_variants", r"""
+WITH RECURSIVE crc_table AS (
+  SELECT list(list_reduce(list_prepend(b, range(8)), lambda c, k:
+    CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) ORDER BY b) AS t
+  FROM range(256) r(b)),
+runs AS (
+  SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[A-Za-zÀ-ÿ]+')) AS run FROM documents WHERE text IS NOT NULL),
+counted AS (
+  SELECT run, count(*) AS c, hex(encode(CAST(doc_id AS VARCHAR) || ':' || run)) AS x FROM runs GROUP BY doc_id, run),
+hashed AS (
+  SELECT run, c, xor(list_reduce(list_prepend(4294967295, list_transform(range(0, len(x) // 2),
+      lambda i: CAST('0x' || substr(x, 2 * i + 1, 2) AS BIGINT))),
+    lambda s, b: xor(s >> 8, t[(xor(s, b) & 255) + 1])), 4294967295) AS h FROM counted, crc_table),
+edited AS (
+  SELECT CASE WHEN h % 31 = 0 THEN left(run, CAST(h % length(run) AS INTEGER)) || substr(run, CAST(h % length(run) AS INTEGER) + 2)
+    ELSE run END AS word, c FROM hashed),
+words AS (
+  SELECT word, CAST(sum(c) AS BIGINT) AS n FROM edited WHERE length(word) >= 7 GROUP BY word HAVING sum(c) >= 2),
+shorter AS (
+  SELECT DISTINCT word, n, i, left(word, i - 1) || substr(word, i + 1) AS d
+  FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM words)),
+pairs AS (
+  SELECT a.word, b.word AS near, b.n AS near_n FROM shorter a JOIN shorter b ON a.d = b.d AND a.i = b.i AND a.word <> b.word
+  UNION
+  SELECT a.word, b.word, b.n FROM shorter a JOIN words b ON a.d = b.word
+  UNION
+  SELECT b.word, a.word, a.n FROM shorter a JOIN words b ON a.d = b.word),
+best AS (
+  SELECT word, count(*) AS n_near, max(near_n) AS best_n FROM pairs GROUP BY word),
+named AS (
+  SELECT w.word, w.n, coalesce(b.n_near, 0) AS n_near, CASE WHEN b.best_n >= 10 * w.n THEN b.best_n END AS form_n,
+    CASE WHEN b.best_n >= 10 * w.n THEN (SELECT min(p.near) FROM pairs p WHERE p.word = w.word AND p.near_n = b.best_n) END AS form
+  FROM words w LEFT JOIN best b ON b.word = w.word),
+walk AS (
+  SELECT word, form, word AS at FROM named WHERE form IS NULL
+  UNION ALL
+  SELECT f.word, f.form, walk.at FROM walk JOIN named f ON f.form = walk.word)
+SELECT n.word, n.form, k.at AS root, n.n, n.n_near, n.form_n FROM named n JOIN walk k ON k.word = n.word""")
