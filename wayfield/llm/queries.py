@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import (fingerprints, html_text, jaccard, langid, mixing, packing, search, sharding, spelling, toxicity,
-               word_scoring)
+               vector_links, word_scoring)
 from .common import remainder, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -195,3 +195,29 @@ walk AS (
   UNION ALL
   SELECT f.word, f.form, walk.at FROM walk JOIN named f ON f.form = walk.word)
 SELECT n.word, n.form, k.at AS root, n.n, n.n_near, n.form_n FROM named n JOIN walk k ON k.word = n.word""")
+
+
+@query
+def op12_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label")
+    return vector_links.near_vectors(vectors, 0.98).select(
+        F.col("id").alias("vec_id"), "n_links", F.col("component").alias("component_id"), "kept")
+
+
+oracle("op12_embedding_near_dedup", r"""
+WITH RECURSIVE v AS (
+  SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+link AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.label = b.label AND len(a.e) = len(b.e) AND a.vec_id <> b.vec_id
+  WHERE list_cosine_similarity(a.e, b.e) >= 0.98),
+reach AS (
+  SELECT vec_id AS d, vec_id AS r FROM embeddings
+  UNION
+  SELECT reach.d, link.b FROM reach JOIN link ON link.a = reach.r),
+component AS (SELECT d, min(r) AS c FROM reach GROUP BY d),
+linked AS (SELECT a, count(*) AS n FROM link GROUP BY a)
+SELECT e.vec_id, coalesce(n.n, 0) AS n_links, k.c AS component_id, e.vec_id = k.c AS kept
+FROM embeddings e JOIN component k ON k.d = e.vec_id LEFT JOIN linked n ON n.a = e.vec_id""")
