@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (fingerprints, html_text, jaccard, langid, mixing, packing, search, sharding, spelling, toxicity,
-               vector_links, word_scoring)
+from . import (fingerprints, hard_negatives, html_text, jaccard, langid, mixing, packing, search, sharding,
+               spelling, toxicity, vector_links, word_scoring)
 from .common import remainder, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -221,3 +221,35 @@ component AS (SELECT d, min(r) AS c FROM reach GROUP BY d),
 linked AS (SELECT a, count(*) AS n FROM link GROUP BY a)
 SELECT e.vec_id, coalesce(n.n, 0) AS n_links, k.c AS component_id, e.vec_id = k.c AS kept
 FROM embeddings e JOIN component k ON k.d = e.vec_id LEFT JOIN linked n ON n.a = e.vec_id""")
+
+
+@query
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label")
+    component = F.col("embedding").isNotNull() & F.forall(
+        "embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
+    moved = (F.when(F.col("vec_id") % 7 == 0, F.pmod(F.col("label") + 1, F.lit(10))).otherwise(F.col("label")))
+    whole = F.transform("embedding", lambda x: F.floor(x.cast("double") * 256))
+    rows = vectors.filter(component).select("vec_id", moved.alias("label"), whole.alias("embedding"))
+    return hard_negatives.mine(rows, F.col("vec_id") % 100 == 0).select(
+        F.col("anchor").alias("anchor_id"), F.col("positive").alias("positive_id"), "rank",
+        F.col("negative").alias("negative_id"), "positive_score", "negative_score")
+
+
+oracle("op13_hard_negatives", r"""
+WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS DOUBLE)) AS e
+  FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT a.vec_id AS a, b.vec_id AS b, a.label = b.label AS same, CAST(list_dot_product(a.e, b.e) AS BIGINT) AS score
+  FROM v a JOIN v b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id),
+p AS (
+  SELECT a, b, score FROM s WHERE same QUALIFY row_number() OVER (PARTITION BY a ORDER BY score DESC, b) <= 5),
+n AS (
+  SELECT p.a AS anchor_id, p.b AS positive_id, s.b AS negative_id, p.score AS positive_score, s.score AS negative_score,
+    row_number() OVER (PARTITION BY p.a, p.b ORDER BY s.score DESC, s.b) AS rank
+  FROM p JOIN s ON s.a = p.a AND NOT s.same AND 80 * p.score <= 100 * s.score AND 100 * s.score <= 100 * p.score)
+SELECT anchor_id, positive_id, CAST(rank AS INTEGER) AS rank, negative_id, positive_score, negative_score
+FROM n WHERE rank <= 5""")
