@@ -6,13 +6,14 @@ from collections.abc import Sequence
 from typing import Optional
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions import geometry as G
 from ..functions import ordered
 from ..functions.geometry import Shape
 from ..functions.grid import Grid, cell_id
-from ..functions.windows import WindowSpec, with_window
+from ..functions.windows import WindowSpec, window_aggregate
 
 MAX_LITERAL_CELLS = 10_000
 
@@ -97,6 +98,15 @@ def spans(points: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
         F.count(F.lit(1)).alias("n_points"), F.max("ts").alias("last_ts"))
 
 
+def window_spans(points: DataFrame, grid: Grid, window: WindowSpec) -> DataFrame:
+    """``spans`` per window, cell and object; runs on streams too."""
+    ms = F.unix_millis("ts")
+    out = window_aggregate(has_cell(grid.with_cell(points)), ["cx", "cy", "obj_id"], window, {
+        "_first": ("min", ms), "_last": ("max", ms), "n_points": ("count", F.lit(1)), "last_ts": ("max", F.col("ts"))})
+    return out.select("window", "cx", "cy", "obj_id", (F.col("_last") - F.col("_first")).alias("traj_ms"),
+                      "n_points", "last_ts")
+
+
 def roll_up(object_spans: DataFrame, function: str, keys: Sequence[str] = (), *,
             keep_idle: bool = False) -> DataFrame:
     """Aggregate spans per cell.
@@ -140,6 +150,30 @@ def aggregate_now(points: DataFrame, grid: Grid, function: str,
     return roll_up(state, function, keep_idle=True)
 
 
+def stays(points: DataFrame, grid: Grid, idle_ms: int, *, tie: Sequence[str] = (),
+          hot_rows: Optional[int] = ordered.HOT_ROWS) -> DataFrame:
+    """Every stay of an object in a cell: ``traj_ms``, ``n_points``, ``last_ts`` and ``ended``.
+
+    A stay ends where its object is not seen in the cell for more than ``idle_ms``, before the
+    next point or before the newest point of all.
+    """
+    celled = has_cell(grid.with_cell(points))
+    own = ["cx", "cy", "obj_id"]
+    rows = ordered.previous(celled.select(*own, "ts", *[c for c in tie if c not in (*own, "ts")]), own, ["ts"],
+                            tie=tie, hot_rows=hot_rows)
+    gap = F.unix_millis("ts") - F.unix_millis("prev.ts")
+    rows = ordered.running(rows, own, {"stay": ("sum", F.coalesce((gap > idle_ms).cast("long"), F.lit(0)))}, tie=tie)
+    newest = points.select(F.max(F.unix_millis("ts"))).scalar()
+    latest = F.max("stay").over(W.partitionBy(*own))
+    return (spans(ordered.drop_slices(rows), ["stay"])
+            .withColumn("ended", (F.col("stay") < latest) | (F.unix_millis("last_ts") < newest - F.lit(idle_ms))))
+
+
+def live_cells(points: DataFrame, grid: Grid, function: str, idle_ms: int, **options) -> DataFrame:
+    """State of every cell after the last point, of the stays that have not ended."""
+    return roll_up(stays(points, grid, idle_ms, **options).filter("not ended"), function, keep_idle=True)
+
+
 def running_spans(points: DataFrame, grid: Grid, *, tie: Sequence[str] = (),
                   hot_rows: Optional[int] = ordered.HOT_ROWS) -> DataFrame:
     """State of the cell as each point arrives: own span, object count, SUM, AVG, MAX."""
@@ -160,8 +194,7 @@ def running_spans(points: DataFrame, grid: Grid, *, tie: Sequence[str] = (),
 def aggregate_windows(points: DataFrame, grid: Grid, function: str,
                       window: WindowSpec) -> DataFrame:
     """Per window and cell."""
-    celled = with_window(has_cell(grid.with_cell(points)), window)
-    return roll_up(spans(celled, ["window"]), function, ["window"])
+    return roll_up(window_spans(points, grid, window), function, ["window"])
 
 
 def aggregate_counts(points: DataFrame, grid: Grid, function: str, size: int, slide: int, *,

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions import geometry as G
 from ..functions.geometry import QueryGeometry
-from ..functions.windows import WindowSpec, with_window
+from ..functions.windows import WindowSpec, window_aggregate
 from .ranges import query_shape
 
 
@@ -34,10 +34,9 @@ def object_distances(stream: DataFrame, query: QueryGeometry, r: Optional[float]
                      approx: bool = False) -> DataFrame:
     """Smallest distance of every object in every window; runs on streams too."""
     near = nearby(stream, query, r, kind, approx)
-    keys = ["obj_id"]
     if window:
-        near, keys = with_window(near, window), ["window", "obj_id"]
-    return near.groupBy(*keys).agg(F.min("dist").alias("dist"))
+        return window_aggregate(near, ["obj_id"], window, {"dist": ("min", F.col("dist"))})
+    return near.groupBy("obj_id").agg(F.min("dist").alias("dist"))
 
 
 def rank_nearest(distances: DataFrame, k: int) -> DataFrame:

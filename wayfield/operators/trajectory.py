@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from ..functions import geometry as G
 from ..functions import ordered
 from ..functions.geometry import QueryGeometry
-from ..functions.windows import WindowSpec, with_window
+from ..functions.windows import WindowSpec, window_aggregate, with_window
 from . import joins, knn
 from .ranges import Queries, _any, _as_list, query_shape
 
@@ -168,11 +168,11 @@ def trajectory_knn(stream: DataFrame, query: QueryGeometry, r: Optional[float],
                    window: Optional[WindowSpec] = None, prefilter: bool = True) -> DataFrame:
     """The k nearest objects with the point at which each came nearest."""
     near = knn.nearby(stream, query, r, G.POINT, prefilter=prefilter)
-    keys = ["obj_id"]
+    nearest = F.struct("dist", "ts", "x", "y")
     if window:
-        near, keys = with_window(near, window), ["window", "obj_id"]
-    best = near.groupBy(*keys).agg(F.min(F.struct("dist", "ts", "x", "y")).alias("_m"))
-    return knn.rank_nearest(best.select(*keys, "_m.*"), k)
+        best = window_aggregate(near, ["obj_id"], window, {"_m": ("min", nearest)})
+        return knn.rank_nearest(best.select("window", "obj_id", "_m.*"), k)
+    return knn.rank_nearest(near.groupBy("obj_id").agg(F.min(nearest).alias("_m")).select("obj_id", "_m.*"), k)
 
 
 def trajectory_knn_lines(stream: DataFrame, query: QueryGeometry, r: Optional[float], k: int,

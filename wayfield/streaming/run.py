@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from typing import Optional
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 
 from ..functions.geometry import POINT, QueryGeometry
 from ..functions.grid import Grid
-from ..functions.windows import WindowSpec
-from ..operators import apps, cells, knn
+from ..functions.windows import WindowSpec, micros
+from ..operators import apps, cells, knn, trajectory
 from ..session import work_dir
 
 
@@ -64,42 +64,74 @@ def start_closed_windows(stream: DataFrame, operator: Callable[[DataFrame], Data
     them, stay time). Rows are appended to a table by day; a micro-batch that moves the
     newest event time past the end of windows runs ``operator`` (rows to rows with
     ``window``) on the stretch of time those windows cover. Rows of windows that closed
-    in an earlier micro-batch are late and ignored. Everything is written per batch, so a
-    retried batch gives the same files.
+    in an earlier micro-batch are late and ignored. What is kept, and for how long, is told at
+    ``WindowLog``.
     """
-    spark = stream.sparkSession
-    size_us = f"unix_micros(timestamp_seconds(0) + INTERVAL {window.size})"
-    size = spark.range(1).selectExpr(size_us).first()[0]
-
-    def newest(number: int) -> Optional[int]:
-        """Newest event time up to a micro-batch, one row in the batch's own folder."""
-        return spark.read.schema("us long").parquet(f"{path}/newest/batch={number}").first()["us"]
+    log = WindowLog(stream.sparkSession, path, window, lateness_seconds)
 
     def close(batch: DataFrame, number: int) -> None:
-        raw = f"{path}/raw/batch={number}"
-        batch.withColumn("day", F.to_date("ts")).write.mode("overwrite").partitionBy("day").parquet(raw)
-        before = newest(number - 1) if number else None
-        top = batch.agg(F.max(F.unix_micros("ts"))).first()[0]
-        late = None if top is None else top - int(lateness_seconds * 1_000_000)
-        now = max((t for t in (before, late) if t is not None), default=None)
-        spark.createDataFrame([(now,)], "us long").coalesce(1).write.mode("overwrite").parquet(
-            f"{path}/newest/batch={number}")
+        before, now = log.add(batch, number)
         if now is None or now == before:
             return
-        rows = spark.read.schema(f"{_ddl(batch)}, batch int, day date").parquet(f"{path}/raw")
-        rows = rows.filter(F.col("batch") <= number)
-        if before is not None:
-            first = F.timestamp_micros(F.lit(before - size))
-            rows = rows.filter((F.col("day") >= F.to_date(first)) & (F.col("ts") >= first))
-        out = operator(rows.drop("batch", "day"))
+        out = operator(log.rows(batch, before, number))
         end = F.unix_micros("window.end")
         out = out.filter(end <= now) if before is None else out.filter((end > before) & (end <= now))
         out.write.mode("overwrite").parquet(f"{path}/rows/batch={number}")
+        log.forget(before)
 
     writer = stream.writeStream.option("checkpointLocation", f"{path}/_checkpoint").foreachBatch(close)
     return (writer.trigger(availableNow=True) if available_now else writer).start()
 
 
+class WindowLog:
+    """The rows of a stream that open windows may still need, by micro-batch and day, and the
+    newest event time up to each micro-batch. Everything is written per batch, so that a retried
+    batch gives the same files; days that no window needs any more are removed."""
+
+    def __init__(self, spark: SparkSession, path: str, window: WindowSpec, lateness_seconds: float = 0):
+        self.spark, self.path = spark, path
+        self.late = int(lateness_seconds * 1_000_000)
+        self.size = micros(window.size)
+
+    def add(self, batch: DataFrame, number: int) -> tuple[Optional[int], Optional[int]]:
+        """Write the batch; newest event time less lateness before it, and with it."""
+        (batch.withColumn("day", F.to_date("ts")).write.mode("overwrite").partitionBy("day")
+         .parquet(f"{self.path}/raw/batch={number}"))
+        newest = f"{self.path}/newest/batch="
+        before = self.spark.read.schema("us long").parquet(f"{newest}{number - 1}").first()["us"] if number else None
+        top = batch.agg(F.max(F.unix_micros("ts"))).first()[0]
+        late = None if top is None else top - self.late
+        now = max((t for t in (before, late) if t is not None), default=None)
+        self.spark.createDataFrame([(now,)], "us long").coalesce(1).write.mode("overwrite").parquet(f"{newest}{number}")
+        return before, now
+
+    def rows(self, batch: DataFrame, before: Optional[int], number: int, keep: Sequence[str] = ()) -> DataFrame:
+        """Rows of this and earlier batches that windows open before this batch may hold."""
+        rows = self.spark.read.schema(f"{_ddl(batch)}, batch int, day date").parquet(f"{self.path}/raw")
+        rows = rows.filter(F.col("batch") <= number)
+        if before is not None:
+            first = F.timestamp_micros(F.lit(before - self.size))
+            rows = rows.filter((F.col("day") >= F.to_date(first)) & (F.col("ts") >= first))
+        return rows.drop(*[c for c in ("batch", "day") if c not in keep])
+
+    def forget(self, before: Optional[int]) -> None:
+        """Remove days that even a retry of this batch does not read."""
+        if before is None:
+            return
+        first = self.spark.range(1).select(F.to_date(F.timestamp_micros(F.lit(before - self.size))).cast("string")).first()[0]
+        remove(self.spark, f"{self.path}/raw/batch=*/day=*", lambda name: name.split("=", 1)[1] < first)
+
+
+def remove(spark: SparkSession, pattern: str, gone: Callable[[str], bool]) -> None:
+    """Delete the folders that match and whose name is ``gone``, in any file system of Spark."""
+    jvm = spark.sparkContext._jvm
+    glob = jvm.org.apache.hadoop.fs.Path(pattern)
+    fs = glob.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    for status in fs.globStatus(glob) or []:
+        if gone(status.getPath().getName()):
+            fs.delete(status.getPath(), True)
+
+
 def run_closed_windows(stream: DataFrame, operator: Callable[[DataFrame], DataFrame],
                        window: WindowSpec, name: str, **options) -> DataFrame:
     """Process what is available by ``start_closed_windows``, then return the written rows."""
@@ -112,6 +144,54 @@ def _ddl(df: DataFrame) -> str:
     return ", ".join(f"`{name}` {kind}" for name, kind in df.dtypes)
 
 
+# -- early results -------------------------------------------------------------------
+def start_early_pairs(stream: DataFrame, d: float, window: WindowSpec, path: str, *, side: str = "side",
+                      lateness_seconds: float = 0, exclude_same_id: bool = False, available_now: bool = False):
+    """Start ``trajectory.trajectory_pairs`` while windows are open, written below ``path``.
+
+    ``stream`` holds both sides, told apart by the column ``side`` (``a`` or ``b``). A micro-batch
+    joins its new points of either side with the other side's points of all open windows (old
+    with old was joined before), and keeps the best pair of points per window and id pair: the
+    pairs that got better come out (``latest`` makes the state of them), the rest of the state is
+    one row per id pair of an open window. Points of windows that closed are forgotten.
+    """
+    spark = stream.sparkSession
+    log = WindowLog(spark, path, window, lateness_seconds)
+    keys = ["window", "a_obj_id", "b_obj_id"]
+
+    def step(batch: DataFrame, number: int) -> None:
+        rows = batch.select("obj_id", "ts", "x", "y", F.col(side).alias("side"))
+        before, _ = log.add(rows, number)
+        held = log.rows(rows, before, number, keep=["batch"])
+        new, old = F.col("batch") == number, F.col("batch") < number
+
+        def of(which, when):
+            return held.filter((F.col("side") == which) & when).drop("side", "batch")
+
+        def pairs(a, b):
+            return trajectory.trajectory_pairs(a, b, d, window=window, exclude_same_id=exclude_same_id)
+
+        found = pairs(of("a", new), of("b", new | old)).unionByName(pairs(of("a", old), of("b", new)))
+        if before is not None:
+            found = found.filter(F.unix_micros("window.end") > before)
+        values = [c for c in found.columns if c not in keys]  # ordered as trajectory_pairs compares them
+        value = F.struct(*values)
+        best = found.groupBy(*keys).agg(F.max(value).alias("v")).withColumn("was", F.lit(None).cast(found.select(value).dtypes[0][1]))
+        if number:
+            state = spark.read.schema(f"{_ddl(found)}").parquet(f"{path}/state/batch={number - 1}")
+            state = state.filter(F.unix_micros("window.end") > before).select(*keys, value.alias("v"), value.alias("was"))
+            best = best.unionByName(state).groupBy(*keys).agg(F.max("v").alias("v"), F.max("was").alias("was"))
+        best.select(*keys, "v.*", (F.col("was").isNull() | (F.col("v") > F.col("was"))).alias("better")).write.mode(
+            "overwrite").parquet(f"{path}/state/batch={number}")
+        kept = spark.read.schema(f"{_ddl(found)}, better boolean").parquet(f"{path}/state/batch={number}")
+        kept.filter("better").drop("better").write.mode("overwrite").parquet(f"{path}/rows/batch={number}")
+        log.forget(before)
+        remove(spark, f"{path}/state/batch=*", lambda name: int(name.split("=")[1]) < number - 1)
+
+    writer = stream.writeStream.option("checkpointLocation", f"{path}/_checkpoint").foreachBatch(step)
+    return (writer.trigger(availableNow=True) if available_now else writer).start()
+
+
 # -- streaming forms ---------------------------------------------------------------
 def start_nearest(stream: DataFrame, query: QueryGeometry, r: Optional[float], k: int,
                   window: WindowSpec, path: str, *, kind: str = POINT, available_now: bool = False):

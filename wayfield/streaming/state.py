@@ -8,15 +8,19 @@ micro-batch is out of order. The arithmetic on a key's rows is vectorised.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from typing import Optional
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
+from ..functions.geometry import POINT, QueryGeometry
 from ..functions.grid import Grid
-from ..operators import apps, cells
+from ..functions.windows import WindowSpec, with_window
+from ..operators import apps, cells, knn
 
 
 def _sorted(frames: Iterator[pd.DataFrame], by: list[str]) -> pd.DataFrame:
@@ -28,6 +32,60 @@ def _apply(df: DataFrame, keys: list[str], fn, output: str, state: str) -> DataF
         fn, output, state, "append", GroupStateTimeout.NoTimeout)
 
 
+# -- stays in cells, with eviction ---------------------------------------------------
+def _joined(stays: np.ndarray, gap: int) -> np.ndarray:
+    """(first, last, n) rows with those united that lie at most ``gap`` apart, in time order."""
+    stays = stays[np.argsort(stays[:, 0], kind="stable")]
+    reach = np.maximum.accumulate(stays[:, 1])
+    start = np.flatnonzero(np.append(True, stays[1:, 0] - reach[:-1] > gap))
+    return np.stack([stays[start, 0], np.maximum.reduceat(stays[:, 1], start),
+                     np.add.reduceat(stays[:, 2], start)], axis=1)
+
+
+def _stays(idle_ms: int):
+    def rows_of(key, stays, ended):
+        return pd.DataFrame({
+            "cx": np.int32(key[0]), "cy": np.int32(key[1]), "obj_id": key[2], "traj_ms": stays[:, 1] - stays[:, 0],
+            "n_points": stays[:, 2], "last_ts": pd.to_datetime(stays[:, 1], unit="ms", utc=True), "ended": ended})
+
+    def fn(key, frames, state: GroupState) -> Iterator[pd.DataFrame]:
+        if state.hasTimedOut:
+            left = np.array([state.get])
+            state.remove()
+            yield rows_of(key, left, True)
+            return
+        stays = np.array([state.get] if state.exists else np.empty((0, 3)), dtype="int64").reshape(-1, 3)
+        for frame in frames:  # a frame at a time, in any order: stays unite
+            ms = np.sort(frame["ms"].to_numpy())
+            points = np.stack([ms, ms, np.ones(len(ms), dtype="int64")], axis=1)
+            stays = _joined(np.concatenate([stays, _joined(points, idle_ms)]), idle_ms)
+        if len(stays) > 1:
+            yield rows_of(key, stays[:-1], True)
+        last = tuple(int(v) for v in stays[-1])
+        if last[1] + idle_ms < state.getCurrentWatermarkMs():  # over before its timer could be set
+            if state.exists:
+                state.remove()
+            yield rows_of(key, stays[-1:], True)
+            return
+        state.update(last)
+        state.setTimeoutTimestamp(last[1] + idle_ms)
+        yield rows_of(key, stays[-1:], False)
+    return fn
+
+
+def cell_stays(stream: DataFrame, grid: Grid, idle_ms: int) -> DataFrame:
+    """Streaming twin of ``cells.stays``, in update mode; the stream needs a watermark.
+
+    The state is one value per cell and object, with a timer: an object that was not seen in a
+    cell for more than ``idle_ms`` is forgotten once the watermark says so, and comes out with
+    ``ended``; if it returns, a new stay begins. An open stay comes out whenever it grows.
+    """
+    rows = cells.has_cell(grid.with_cell(stream)).select("cx", "cy", "obj_id", F.unix_millis("ts").alias("ms"), "ts")
+    return rows.groupBy("cx", "cy", "obj_id").applyInPandasWithState(
+        _stays(idle_ms), "cx int, cy int, obj_id string, traj_ms bigint, n_points bigint, last_ts timestamp, ended boolean",
+        "first_ms bigint, last_ms bigint, n bigint", "update", GroupStateTimeout.EventTimeTimeout)
+
+
 # -- trajectory statistics ---------------------------------------------------------
 def _stats(key, frames, state: GroupState) -> Iterator[pd.DataFrame]:
     rows = _sorted(frames, ["us", "x", "y"]).drop_duplicates("us")
@@ -141,3 +199,63 @@ def fill_checkins(stream: DataFrame) -> DataFrame:
         "ts": F.timestamp_micros("us"),
         "prev": F.struct(F.col("prev_device").alias("device_id"),
                          F.timestamp_micros("prev_us").alias("ts"))}))
+
+
+# -- early kNN ---------------------------------------------------------------------
+_NEAR = ["dist", "obj_id", "us", "x", "y"]
+
+
+def _best(frames: list[pd.DataFrame], k: int) -> pd.DataFrame:
+    """The k nearest objects, each with its best point, of all frames."""
+    rows = pd.concat(frames, ignore_index=True).sort_values(_NEAR, ignore_index=True)
+    return rows.drop_duplicates("obj_id").head(k)
+
+
+def _nearest(k: int):
+    def fn(key, frames, state: GroupState) -> Iterator[pd.DataFrame]:
+        if state.hasTimedOut:
+            state.remove()
+            return
+        old = pd.DataFrame(dict(zip(_NEAR, state.get))) if state.exists else pd.DataFrame(columns=_NEAR)
+        top = old
+        for frame in frames:  # only k rows are kept from one frame to the next
+            top = _best([f for f in (top, frame[_NEAR]) if len(f)], k)
+        top = top.reset_index(drop=True)
+        state.update(tuple(top[c].tolist() for c in _NEAR))
+        end = int(key[1])
+        if end > state.getCurrentWatermarkMs():
+            state.setTimeoutTimestamp(end)
+        if not top.equals(old.astype(top.dtypes)) if len(old) else len(top):
+            yield pd.DataFrame({"start_us": int(key[0]), "bucket": int(key[2]), "place": np.arange(len(top), dtype="int32"),
+                                **{c: top[c] for c in _NEAR}})
+    return fn
+
+
+def nearest_so_far(stream: DataFrame, query: QueryGeometry, r: Optional[float], k: int, window: WindowSpec, *,
+                   buckets: int = 16) -> DataFrame:
+    """Trajectory kNN while windows are open, in update mode; the stream needs a watermark.
+
+    Objects are dealt into ``buckets`` by id. The state of a window and bucket is its k nearest
+    objects, each with its best point. That is enough: an object outside it has k objects
+    before it that only come nearer, and enters with the point that brings it in. Whenever a
+    list changes it comes out whole (``place`` from 0); ``nearest_now`` makes the answer of it.
+    """
+    near = with_window(knn.nearby(stream, query, r, POINT), window)
+    rows = near.select(
+        F.unix_micros("window.start").alias("start_us"), F.unix_millis("window.end").alias("end_ms"),
+        F.pmod(F.xxhash64("obj_id"), F.lit(buckets)).cast("int").alias("bucket"),
+        "dist", "obj_id", F.unix_micros("ts").alias("us"), "x", "y", "ts")
+    return rows.groupBy("start_us", "end_ms", "bucket").applyInPandasWithState(
+        _nearest(k), "start_us bigint, bucket int, place int, dist double, obj_id string, us bigint, x double, y double",
+        "dist array<double>, obj_id array<string>, us array<bigint>, x array<double>, y array<double>",
+        "update", GroupStateTimeout.EventTimeTimeout)
+
+
+def nearest_now(rows: DataFrame, k: int) -> DataFrame:
+    """The k nearest per window after the newest micro-batch in ``rows``, a table of
+    ``nearest_so_far``: the newest list of every bucket, merged."""
+    newest = rows.groupBy("start_us", "bucket").agg(F.max("batch").alias("batch"))
+    lists = rows.join(newest, ["start_us", "bucket", "batch"]).select(
+        "start_us", "obj_id", "dist", F.timestamp_micros("us").alias("ts"), "x", "y")
+    rank = F.row_number().over(W.partitionBy("start_us").orderBy("dist", "obj_id"))
+    return lists.withColumn("rank", rank).filter(F.col("rank") <= k)
