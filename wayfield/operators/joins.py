@@ -32,6 +32,8 @@ MAX_HOT_CELLS = 50_000
 # than this is never broadcast.
 MAX_BROADCAST_ROWS = 50_000
 MIN_CELL = 1e-6
+# Level of a stream's geometries that are larger than all levels given: its cells meet at 0.
+TOP_LEVEL = 200
 KEYS = ("_role", "_lvl", "_kx", "_ky")
 GEOMETRY_ARRAYS = {"edges", "anchors", "rings", "paths"}
 _BOXED = ("xmin", "ymin", "xmax", "ymax", "edges", "anchors")
@@ -42,9 +44,13 @@ def _prefixed(df: DataFrame, side: str) -> DataFrame:
     return df.select(*[F.col(c).alias(c if c == "window" else f"{side}_{c}") for c in df.columns])
 
 
-def _level(s: Shape, by: float, base: float) -> Column:
+def _level(s: Shape, by: float, base: float, listed: Sequence[int] = ()) -> Column:
+    """Level whose cells are at least as wide as the geometry; with ``listed``, the next of these."""
     extent = f"(greatest({s.xmax} - {s.xmin}, {s.ymax} - {s.ymin}) + {G.num(2 * by)})"
-    return F.expr(f"IF({extent} <= {G.num(base)}, 0, int(ceil(log2({extent} / {G.num(base)}))))")
+    level = f"IF({extent} <= {G.num(base)}, 0, int(ceil(log2({extent} / {G.num(base)}))))"
+    if listed:
+        level = f"coalesce(get(filter(array({', '.join(map(str, listed))}), l -> l >= {level}), 0), {listed[-1]})"
+    return F.expr(level)
 
 
 def _profiles(a: DataFrame, b: DataFrame, sa: Shape, sb: Shape, by: float,
@@ -71,12 +77,13 @@ def _cells(df: DataFrame, s: Shape, by: float, base: float, single: bool) -> Dat
                .selectExpr("*", f"explode(sequence(_y0, floor(({s.ymax} + {pad}) / {side}))) AS _ky"))
 
 
-def _keyed(a: DataFrame, b: DataFrame, sa: Shape, sb: Shape, r: float,
-           base: float, levels_a: list[int], levels_b: list[int]) -> tuple[DataFrame, DataFrame]:
+def _keyed(a: DataFrame, b: DataFrame, sa: Shape, sb: Shape, r: float, base: float, levels_a: list[int],
+           levels_b: list[int], listed: Sequence[int] = ()) -> tuple[DataFrame, DataFrame]:
     """Both sides with join keys; b is expanded by r.
 
     role 0 joins at the level of b (a is not coarser), role 1 at the level of a (a is
-    coarser); every pair has exactly one role and level.
+    coarser); every pair has exactly one role and level. ``levels_a`` and ``levels_b`` are all
+    levels that occur; with ``listed``, geometries are put at the next level of that list.
     """
     if len(set(levels_a + levels_b)) <= 1:
         fixed = ["*", "0 AS _role", f"{(levels_a + levels_b + [0])[0]} AS _lvl"]
@@ -92,10 +99,10 @@ def _keyed(a: DataFrame, b: DataFrame, sa: Shape, sb: Shape, r: float,
                     "cast(array() AS array<struct<_role:int,_lvl:int>>))")
 
         low = min(levels_b, default=0)
-        a = (a.withColumn("_own", _level(sa, 0.0, base))
+        a = (a.withColumn("_own", _level(sa, 0.0, base, listed))
              .selectExpr("*", f"inline(concat({keys(0, levels_b, 'l >= _own')}, "
                               f"{own(1, f'{low} < _own')}))").drop("_own"))
-        b = (b.withColumn("_own", _level(sb, r, base))
+        b = (b.withColumn("_own", _level(sb, r, base, listed))
              .selectExpr("*", f"inline(concat({own(0, 'true')}, "
                               f"{keys(1, levels_a, 'l > _own')}))").drop("_own"))
     return (_cells(a, sa, 0.0, base, sa.kind == G.POINT),
@@ -136,6 +143,13 @@ def _salted(a: DataFrame, b: DataFrame, keys: Sequence[str],
     return add(a, "_sa", "_sb", "_salt_a", "_salt_b"), add(b, "_sb", "_sa", "_salt_b", "_salt_a")
 
 
+def _dealt(df: DataFrame, own: str, n_own: int, other: str, n_other: int) -> DataFrame:
+    """``df`` with one of ``n_own`` salts, once for every salt of the other side."""
+    scalars = [c for c, t in df.dtypes if not t.startswith(("array", "struct", "map")) and c not in KEYS]
+    pick = F.pmod(F.xxhash64(*scalars), F.lit(n_own)).cast("int")
+    return df.withColumn(own, pick).withColumn(other, F.explode(F.sequence(F.lit(0), F.lit(n_other - 1))))
+
+
 def _windowed(df: DataFrame, window: WindowSpec) -> DataFrame:
     """On a stream the window becomes the only event-time column."""
     out = with_window(df, window)
@@ -143,13 +157,20 @@ def _windowed(df: DataFrame, window: WindowSpec) -> DataFrame:
 
 
 def _prepare(a: DataFrame, b: DataFrame, sa: Shape, sb: Shape, reach: float, base: float,
-             keys: list[str], hot_rows: Optional[int],
-             right_only: bool = False) -> tuple[DataFrame, DataFrame, list[str]]:
+             keys: list[str], hot_rows: Optional[int], right_only: bool = False, levels: Sequence[int] = (0,),
+             salts: tuple[int, int] = (1, 1)) -> tuple[DataFrame, DataFrame, list[str]]:
     """Key both sides, split hot cells and rule out large broadcasts (``right_only``: of
-    a join that can only broadcast its right side). Streams use one level and no salts."""
+    a join that can only broadcast its right side). Streams use the levels and salts given."""
     pad = reach + base * 1e-9
     if a.isStreaming or b.isStreaming:
-        return *_keyed(a, b, sa, sb, pad, base, [0], [0]), keys
+        # cells of the last level are wider than anything, so that no geometry has more than 2 x 2
+        listed = sorted({*levels, TOP_LEVEL})
+        of = [[0] if s.kind == G.POINT else listed for s in (sa, sb)]
+        ka, kb = _keyed(a, b, sa, sb, pad, base, *of, listed)
+        if max(salts) > 1:
+            ka, kb = _dealt(ka, "_salt_a", salts[0], "_salt_b", salts[1]), _dealt(kb, "_salt_b", salts[1], "_salt_a", salts[0])
+            keys = keys + ["_salt_a", "_salt_b"]
+        return ka, kb, keys
     (rows_a, levels_a), (rows_b, levels_b) = _profiles(a, b, sa, sb, pad, base)
     ka, kb = _keyed(a, b, sa, sb, pad, base, levels_a, levels_b)
     if hot_rows and max(rows_a, rows_b) > hot_rows:
@@ -168,15 +189,21 @@ def _base(reach: float, max_extent: float = 0.0) -> float:
 def distance_join(a: DataFrame, b: DataFrame, r: float, *, kinds: tuple[str, str] = (G.POINT, G.POINT),
                   window: Optional[WindowSpec] = None, approx: bool = False,
                   grid: Optional[Grid] = None, hot_rows: Optional[int] = HOT_CELL_ROWS,
-                  max_extent: float = 0.0) -> DataFrame:
+                  max_extent: float = 0.0, levels: Sequence[int] = (0, 2, 4, 7),
+                  salts: tuple[int, int] = (1, 1)) -> DataFrame:
     """Pairs (a, b) in the same window whose distance is at most ``r``, each once.
 
     Columns come back prefixed ``a_`` and ``b_`` without the geometry arrays, with
     ``dist`` and, if windowed, ``window``. ``approx`` compares bounding boxes; point
-    pairs then are all pairs whose cells of ``grid`` lie in one candidate block. On
-    streams the join is a window-keyed stream-stream join; there ``max_extent`` (the
-    usual geometry size) sets the cell side, because levels and salts need a pass over
-    the data. That pass (a count, and the sizes of geometries) runs when this is called.
+    pairs then are all pairs whose cells of ``grid`` lie in one candidate block. A pass over
+    the data (a count, and the sizes of geometries) that runs when this is called finds levels
+    and hot cells.
+
+    On streams the join is a window-keyed stream-stream join without such a pass: ``max_extent``
+    (the usual geometry size) sets the cell side, ``levels`` lists the levels that geometries are
+    put at (cells double per level; what is larger than the last goes to a level of one cell for
+    all), and every cell is split into ``salts`` groups of rows of either side. A geometry has at
+    most four keys per level and salt of the other side, however large it or ``r`` is.
     """
     if window:
         a, b = _windowed(a, window), _windowed(b, window)
@@ -190,7 +217,7 @@ def distance_join(a: DataFrame, b: DataFrame, r: float, *, kinds: tuple[str, str
     window_key = [] if not windowed else ["window"] if streaming else ["_win"]
     if window_key == ["_win"]:  # sorts faster than the struct; a stream needs the struct
         a, b = (df.withColumn("_win", F.col("window.start")) for df in (a, b))
-    ka, kb, keys = _prepare(a, b, sa, sb, reach, base, [*KEYS, *window_key], hot_rows)
+    ka, kb, keys = _prepare(a, b, sa, sb, reach, base, [*KEYS, *window_key], hot_rows, levels=levels, salts=salts)
     left, right = ka.alias("l"), kb.alias("r")
     cond = [F.col(f"l.{k}") == F.col(f"r.{k}") for k in keys]
     if kinds[0] != G.POINT:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -103,29 +105,55 @@ def checkins(spark: SparkSession, sf_dir: str) -> DataFrame:
 ROOM_CAPACITY = {f"room{i}": 10 * (i + 1) for i in range(5)}
 
 
-def events_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The events table as a file stream."""
-    schema = raw_events(spark, sf_dir).schema
-    return spark.readStream.schema(schema).parquet(f"{sf_dir}/events.parquet*")
+SLICES, SLICE_ROWS = 3, 1_000_000
+SENTINEL_TIME = "2099-01-01 00:00:00"
 
 
-SENTINEL_TIME = "2099-01-01 00:00:00"
+def _replay(spark: SparkSession, sf_dir: str, behind: Sequence[DataFrame] = ()) -> DataFrame:
+    """The events as a stream in order of time, then those ``behind``: at least ``SLICES`` micro-batches,
+    a file of at most about ``SLICE_ROWS`` rows each."""
+    events = raw_events(spark, sf_dir)
+    us = F.unix_micros(F.col("ts").cast("timestamp"))
+    slices = max(SLICES, -(-events.count() // SLICE_ROWS))
+    shares = [(i + 1) / slices for i in range(slices - 1)]
+    cuts = events.agg(F.percentile_approx(us, shares, 10 * slices)).first()[0] or []
+    bounds = [None, *sorted(set(cuts)), None]
+    path = work_dir(spark, "replay")
+    parts = [events.filter((F.lit(True) if a is None else us > a) & (F.lit(True) if b is None else us <= b))
+             for a, b in zip(bounds, bounds[1:])]
+    for i, part in enumerate([*parts, *behind]):  # one after the other: files are read by age
+        part.coalesce(1).write.parquet(f"{path}/slice={i:05d}")
+    return (spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1)
+            .parquet(f"{path}/slice=*").select(*events.columns))
 
 
-def closing_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The events with far-future rows behind them, so that every window of the events closes.
+def events_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The events table as a stream of several micro-batches."""
+    return _replay(spark, sf_dir)
 
-    There is one such row per event type at (10, 50) and at (90, 10), so that one gets past the
-    filters of a query; their own window stays open.
-    """
-    stream = events_stream(spark, sf_dir)
+
+def sentinels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One far-future row per event type at (10, 50) and at (90, 10), so that one gets past the
+    filters of a query."""
     rows = [(-100 * (i + 1), kind, value, k) for i, (kind, value, k) in enumerate(
         (kind, value, k) for kind in ("click", "view", "purchase", "signup", "error")
         for value, k in ((50.0, 50), (450.0, 10)))]
     made = spark.createDataFrame(rows, "event_id long, event_type string, value double, k int").selectExpr(
         "event_id", "event_type", "1L AS user_id", f"timestamp_ntz'{SENTINEL_TIME}' AS ts", "value",
         "concat('{\"k\": ', k, '}') AS props")
-    made = made.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in stream.schema.fields])
-    path = work_dir(spark, "sentinel")
-    made.coalesce(1).write.parquet(path)
-    return stream.unionByName(spark.readStream.schema(stream.schema).parquet(path))
+    schema = raw_events(spark, sf_dir).schema
+    return made.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
+
+
+def closing_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The events with far-future rows behind them, so that every window of the events closes;
+    their own window stays open."""
+    return _replay(spark, sf_dir, [sentinels(spark, sf_dir)])
+
+
+def late_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``closing_stream``, and the events of the first day once more behind it, when they are late."""
+    events = raw_events(spark, sf_dir)
+    us = F.unix_micros(F.col("ts").cast("timestamp"))
+    first = events.agg(F.min(us)).first()[0] or 0
+    return _replay(spark, sf_dir, [sentinels(spark, sf_dir), events.filter(us < first + 86_400_000_000)])

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions.geometry import POINT
+from ..functions.geometry import LINE, POINT, POLYGON
 from ..functions.windows import WindowSpec, watermark, with_window
 from ..operators import apps, cells, joins, ranges
 from ..operators import trajectory as T
@@ -92,6 +92,21 @@ def _join_polygons(s, d):
 register("str11_jon3_point_polygon", _join_polygons, join_queries.join_sql((POINT, "polygon"), join_queries.R))
 
 
+def _sized_join(kind, table, carried):
+    """Polygons with polygons, or lines with lines: both sides hold every level and two salts."""
+    def fn(s, d):
+        rows = table(points(s, d)).select("obj_id", "ts", *carried)
+        out = joins.distance_join(rows, rows, join_queries.R, kinds=(kind, kind), window=TUMBLING, max_extent=1.0,
+                                  levels=(0, 1, 2), salts=(2, 2))
+        return join_queries._result(run.run_to_table(out, f"join-{kind}"), (kind, kind))
+    return fn
+
+
+_BOXED = ("xmin", "ymin", "xmax", "ymax", "edges", "anchors")
+register("str11_jon8_polygon_polygon", _sized_join(POLYGON, fx.polys_from, _BOXED), join_queries.join_sql((POLYGON, POLYGON), join_queries.R))
+register("str11_jon12_line_line", _sized_join(LINE, fx.lines_from, _BOXED), join_queries.join_sql((LINE, LINE), join_queries.R))
+
+
 def _knn(s, d):
     return knn_queries.result(run.nearest(closing(s, d), fx.QUERY_POINTS[0], knn_queries.R, knn_queries.K, TUMBLING))
 
@@ -235,3 +250,74 @@ register("str_app5_normalized_stay_time",
          _closing(lambda rows: apps.normalized_stay_time(rows, fx.polys_from(rows), fx.GRID20, TUMBLING, cell_queries.SECONDS),
                   lambda out: out.select(win_start().alias("win_start"), "cx", "cy", F.round("normalized", 3).alias("normalized"))),
          ORACLES["app5_normalized_stay_time"])
+
+
+# -- eviction and early results ---------------------------------------------------------------
+def _stays(s, d):
+    """Stays that were evicted, and those still open when the stream ends."""
+    rows = run.run_to_table(state.cell_stays(points(s, d), fx.GRID20, tq.IDLE_MS), "stays", mode="update")
+    keys = ["cx", "cy", "obj_id"]
+    values = F.struct("traj_ms", "n_points", "last_ts", "ended")
+    live = rows.groupBy(*keys).agg(F.max_by(values, F.struct("batch", "last_ts")).alias("v")).select(*keys, "v.*")
+    ended = rows.filter("ended").select(*keys, "traj_ms", "n_points", "last_ts", "ended")
+    return tq.stay_columns(ended.unionByName(live.filter("not ended")))
+
+
+register("str9_trj9_evicted_stays", _stays, tq.STAYS_SQL)
+
+
+def _early_knn(s, d):
+    out = state.nearest_so_far(points(s, d), tq.Q, tq.R, tq.K, TUMBLING)
+    rows = state.nearest_now(run.run_to_table(out, "early-knn", mode="update"), tq.K)
+    return rows.select((F.col("start_us") / 1_000_000).cast("long").alias("win_start"), "obj_id", F.col("rank").cast("long").alias("rank"),
+                       F.unix_micros("ts").alias("ts_us"), *[F.round(c, 6).alias(c) for c in ("x", "y", "dist")])
+
+
+register("str8_trj16_early_knn", _early_knn, ORACLES["trj16_trajectory_knn"])
+
+
+def _early_pairs(s, d):
+    kinds = F.when(F.col("event_type") == "click", "a").when(F.col("event_type") == "error", "b")
+    stream = fx.points_from(fx.events_stream(s, d)).withColumn("side", kinds).filter("side IS NOT NULL")
+    path = work_dir(s, "early-pairs")
+    run.start_early_pairs(stream, tq.D, TUMBLING, path, available_now=True).awaitTermination()
+    return tq._pairs(run.latest(s.read.parquet(f"{path}/rows"), ["window", "a_obj_id", "b_obj_id"]))
+
+
+register("str8_trj12_early_pairs", _early_pairs, ORACLES["trj12_trajectory_join"])
+
+
+def _sliding_cells(s, d):
+    """Sliding windows out of panes, as two aggregations of the stream."""
+    spans = cells.window_spans(closing(s, d), fx.GRID20, SLIDING)
+    return tq._window_cells(run.run_to_table(spans, "cell-panes", per_batch=lambda b: cells.roll_up(b, "MAX", ["window"])).drop("batch"))
+
+
+register("str3_trj10_cell_window_sliding", _sliding_cells, ORACLES["trj10_cell_window_sliding_max"])
+
+
+def _restamped(s, d):
+    """Arrival time in place of event time: all rows of a micro-batch arrive at once, so a window of
+    arrival times holds whole micro-batches, and in all windows together each row is once."""
+    rows = watermark(cells.restamp(fx.points_from(fx.events_stream(s, d))), 0)
+    out = with_window(rows, WindowSpec("1 second")).groupBy("window", "event_type").agg(F.count(F.lit(1)).alias("n"))
+    table = run.latest(run.run_to_table(out, "restamped", mode="update"), ["window", "event_type"])
+    return table.groupBy("event_type").agg(F.sum("n").alias("n"))
+
+
+register("str5_restamped_windows", _restamped, "SELECT event_type, CAST(count(*) AS BIGINT) AS n FROM events GROUP BY 1")
+
+
+def _late(s, d):
+    """How many rows came too late, and how many windows closed without them: the first slice of
+    the events is sent again at the end, a day behind the watermark at least."""
+    stream = watermark(fx.points_from(fx.late_stream(s, d)), 0)
+    counts = with_window(stream, TUMBLING).groupBy("window").count()
+    query = run.start_to_table(counts, path := work_dir(s, "late"))
+    query.awaitTermination()
+    dropped = sum(op["numRowsDroppedByWatermark"] for p in query.recentProgress for op in p["stateOperators"])
+    total = s.read.parquet(f"{path}/rows").agg(F.sum("count")).first()[0]
+    return s.createDataFrame([(dropped > 0, total)], "dropped boolean, n long")
+
+
+register("str10_late_rows", _late, "SELECT true AS dropped, count(*) AS n FROM events")

@@ -137,6 +137,30 @@ for fn in cells.FUNCTIONS:
              lambda s, d, fn=fn: cells.aggregate_counts(_pts(s, d), fx.GRID20, fn, 10, 5, tie=("event_id",)),
              f"{sql.base()}, {_CELLED} " + roll_up_sql(spans_sql(_ended, ("last_n",)), ("last_n",), fn, False))
 
+# stays: sessions of an object in a cell, cut where it was idle
+STAYS = (f"{sql.base()}, {_CELLED}, gaps AS (SELECT *, CASE WHEN ts_ms - lag(ts_ms) OVER w > {IDLE_MS} THEN 1 ELSE 0 END AS cut "
+         "FROM c WINDOW w AS (PARTITION BY cx, cy, obj_id ORDER BY ts, event_id)), "
+         "numbered AS (SELECT *, sum(cut) OVER (PARTITION BY cx, cy, obj_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS stay FROM gaps), "
+         "stays AS (SELECT cx, cy, obj_id, stay, CAST(max(ts_ms) - min(ts_ms) AS BIGINT) AS traj_ms, count(*) AS n_points, "
+         "max(ts_ms) AS last_ms FROM numbered GROUP BY ALL), told AS (SELECT *, stay < max(stay) OVER (PARTITION BY cx, cy, obj_id) "
+         f"OR last_ms < (SELECT max(ts_ms) FROM pts) - {IDLE_MS} AS ended FROM stays)")
+STAYS_SQL = f"{STAYS} SELECT cx, cy, obj_id, traj_ms, n_points, last_ms, ended FROM told"
+
+
+def stay_columns(stays):
+    return stays.select("cx", "cy", "obj_id", "traj_ms", "n_points", F.unix_millis("last_ts").alias("last_ms"), "ended")
+
+
+register("trj9_cell_stays", lambda s, d: stay_columns(cells.stays(_pts(s, d), fx.GRID20, IDLE_MS, tie=("event_id",))), STAYS_SQL)
+register("trj9_live_cells_avg",
+         lambda s, d: cells.live_cells(_pts(s, d), fx.GRID20, "AVG", IDLE_MS, tie=("event_id",)),
+         f"{STAYS} " + roll_up_sql("SELECT * FROM told WHERE NOT ended", (), "AVG", True))
+register("trj10_cell_window_sliding_max",
+         lambda s, d: _window_cells(cells.aggregate_windows(_pts(s, d), fx.GRID20, "MAX", WindowSpec(*fx.SLIDING))),
+         f"{sql.base()}, c AS (SELECT *, {sql.cell(fx.GRID20, 'x', 'x')} AS cx, {sql.cell(fx.GRID20, 'y', 'y')} AS cy "
+         f"FROM ({sql.sliding('pts')})) SELECT * RENAME (ws AS win_start) FROM ("
+         + roll_up_sql(spans_sql("c", ("ws",)), ("ws",), "MAX", False) + ")")
+
 register("trj8_cell_running",
          lambda s, d: cells.running_spans(_pts(s, d), fx.GRID20, tie=("event_id",)).select(
              "event_id", "cx", "cy", "traj_ms", "n_obj", "sum_ms", "avg_ms", "max_ms"),
