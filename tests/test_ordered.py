@@ -83,3 +83,47 @@ def test_split_lines_keep_every_vertex(moves):
     assert parts.agg(F.sum("n_points")).first()[0] == moves.count()
     hot = [p for r in parts.filter("obj_id = 'hot'").orderBy("part").collect() for p in r.path]
     assert [p.ts for p in hot] == sorted(p.ts for p in hot)
+
+
+@pytest.fixture(scope="module")
+def odd_moves(spark):
+    """All rows of the hot object at one instant, but for one far in the past and one far ahead."""
+    rng = random.Random(6)
+    rows = [(i, "hot", 1000, rng.uniform(0, 100), rng.uniform(0, 100)) for i in range(300)]
+    rows += [(900, "hot", -10 ** 9, 1.0, 1.0), (901, "hot", 4 * 10 ** 9, 2.0, 2.0)]
+    rows += [(1000 + i, "cold", 60 * i, rng.uniform(0, 100), rng.uniform(0, 100)) for i in range(9)]
+    df = spark.createDataFrame(rows, "event_id long, obj_id string, s long, x double, y double")
+    return df.withColumn("ts", F.timestamp_seconds("s")).drop("s").cache()
+
+
+def test_one_instant_is_split(odd_moves):
+    sizes = [r["count"] for r in ordered.with_slices(odd_moves, ["obj_id"], hot_rows=20, tie=["event_id"])
+             .filter("_slice > 0").groupBy("_slice").count().collect()]
+    assert sum(sizes) == 302 and max(sizes) <= 20
+    plain = ordered.with_slices(odd_moves, ["obj_id"], hot_rows=20)
+    assert plain.filter("_slice > 0").groupBy("_slice").count().agg(F.max("count")).first()[0] <= 20
+
+
+@pytest.mark.parametrize("make", [
+    lambda m, n: T.running_stats(m, hot_rows=n),
+    lambda m, n: T.speed(m, tie=["event_id"], hot_rows=n),
+    lambda m, n: ordered.running(m, ["obj_id"], {"n": ("sum", F.lit(1))}, tie=["event_id"], hot_rows=n).select("event_id", "n"),
+    lambda m, n: T.line_summary(T.lines(m, tie=["event_id"], hot_rows=n)),
+    lambda m, n: cells.aggregate_counts(m, Grid.by_count(0, 0, 100, 100, 2), "MAX", 10, 5, tie=["event_id"], hot_rows=n),
+], ids=["running_stats", "speed", "numbers", "lines", "count_windows"])
+def test_one_instant_and_outliers(odd_moves, rows_of, make):
+    same(rows_of, lambda n: make(odd_moves, n), digits=4)
+
+
+def test_hot_keys_by_join(moves, rows_of, monkeypatch):
+    """More hot keys than are broadcast."""
+    monkeypatch.setattr(ordered, "MAX_HOT_KEYS", 2)
+    same(rows_of, lambda n: ordered.previous(moves, ["obj_id"], ["event_id"], tie=["event_id"], hot_rows=n)
+         .select("event_id", "prev.event_id"))
+
+
+def test_rows_carry_no_cuts(moves):
+    """A row of a hot key takes a slice number along, nothing that grows with the key."""
+    sliced = ordered.with_slices(moves, ["obj_id"], hot_rows=20)
+    assert sliced.columns == [*moves.columns, "_slice"]
+    assert ordered.with_slices(moves, ["obj_id"], hot_rows=550).columns == sliced.columns  # many rows, no hot key

@@ -1,13 +1,13 @@
-"""Per-key ordered computations (previous row, running sums) that survive hot keys.
-
-A plain ``Window.partitionBy(key).orderBy(ts)`` sorts a whole key in one task. Here a
-key with more than ``hot_rows`` rows is cut into time slices first, at quantiles of its
-own rows, so that a slice holds a fraction of ``hot_rows`` rows however uneven they lie in
-time (rows of one instant share a slice). The window
-function runs per (key, slice); what a slice needs from the slices before it comes
-from a table with one summary row per (hot key, slice). Keys below the limit form a
-single slice, so for them this is the plain window, and when there is no hot key the
-summary table is empty and adaptive execution drops its join.
+"""Per-key ordered computations (previous row, running sums, numbering) that survive hot keys.
+
+A plain ``Window.partitionBy(key).orderBy(ts)`` sorts a whole key in one task. Here the rows of
+keys with more than ``hot_rows`` rows are range-partitioned by (key, time, tie) first: Spark samples
+splitters and cuts the keys into slices of a fraction of ``hot_rows`` rows, however uneven the rows
+lie in time, and also rows of one instant. The slices are written below the shared folder, so that
+a row stays in its slice when a task is run again. The window function then runs per (key, slice),
+every slice leaves a summary row, and a scan over the summaries of a key carries to each slice what
+it needs from those before it. Keys below the limit form a single slice, for which this is the plain
+window; without hot keys nothing is written and no summary is joined.
 """
 
 from __future__ import annotations
@@ -19,50 +19,56 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from ..session import work_dir
+
 HOT_ROWS = 1_000_000
-# Cuts drawn per ``hot_rows`` rows. That a slice gets more than ``hot_rows`` rows has a
-# chance of e^-16.
-CUTS_PER_CHUNK = 16
+# Slices per ``hot_rows`` rows: sampled splitters leave some slices larger than others.
+SLICES_PER_CHUNK = 4
+# Up to this many hot keys are broadcast; more are joined.
+MAX_HOT_KEYS = 10_000
 
 SLICE = "_slice"
 
 
-def with_slices(df: DataFrame, keys: Sequence[str], ts: str = "ts",
-                hot_rows: Optional[int] = HOT_ROWS) -> DataFrame:
-    """Add ``_slice``: 0 for ordinary keys, a time-slice number (from 1) for hot keys.
+def with_slices(df: DataFrame, keys: Sequence[str], ts: str = "ts", hot_rows: Optional[int] = HOT_ROWS,
+                tie: Sequence[str] = ()) -> DataFrame:
+    """Add ``_slice``: 0 for ordinary keys, for hot keys numbers (from 1) that rise in the order of
+    (ts, tie); rows equal in both may be in neighbouring slices.
 
-    Counts the rows when called, which needs no column of a stored table: without more
-    than ``hot_rows`` rows (or with ``hot_rows=None``) there are no hot keys to look for.
+    Counts the rows, and those of every key, when called: without more than ``hot_rows`` rows (or
+    with ``hot_rows=None``) there are no hot keys to look for.
     """
+    one = F.lit(0).cast("long")
     total = df.count() if hot_rows else 0
     if not hot_rows or total <= hot_rows:
         # a constant: the optimizer then removes everything that concerns hot keys
-        return df.withColumn(SLICE, F.lit(0).cast("long"))
-    scalars = [c for c, t in df.dtypes if not t.startswith(("array", "map"))]
-    drawn = F.pmod(F.xxhash64(*scalars), F.lit(hot_rows)) < CUTS_PER_CHUNK
-    hot = (df.groupBy(*keys)
-           .agg(F.count(F.lit(1)).alias("_n"),
-                F.sort_array(F.collect_set(F.when(drawn, F.unix_micros(ts)))).alias("_cuts"))
-           .filter(F.col("_n") > hot_rows)
-           .withColumn("_cut_step", F.greatest(F.ceil(F.sqrt(F.size("_cuts"))), F.lit(1)).cast("int"))
-           .select(*[F.col(k).alias(f"_hot_{k}") for k in keys], "_cuts", "_cut_step",
-                   F.expr("filter(_cuts, (c, i) -> i % _cut_step = 0)").alias("_coarse")))
+        return df.withColumn(SLICE, one)
+    hot = (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > hot_rows)
+           .select(*[F.col(k).alias(f"_hot_{k}") for k in keys], "_n"))
+    found = hot.limit(MAX_HOT_KEYS + 1).collect()
+    if not found:
+        return df.withColumn(SLICE, one)
+    if len(found) <= MAX_HOT_KEYS:
+        rows = sum(r["_n"] for r in found)
+        hot = F.broadcast(df.sparkSession.createDataFrame(found, hot.schema))
+    else:
+        rows = hot.agg(F.sum("_n")).first()[0]
     same = [F.col(k).eqNullSafe(F.col(f"_hot_{k}")) for k in keys]
-    # cuts up to the row's time, found in two steps
-    t = f"unix_micros({ts})"
-    past = f"greatest(size(filter(_coarse, c -> c <= {t})) - 1, 0) * _cut_step"
-    number = F.expr(f"{past} + size(filter(slice(_cuts, {past} + 1, _cut_step), c -> c <= {t})) + 1")
-    return (df.join(hot, same, "left")
-            .withColumn(SLICE, F.when(F.col("_cut_step").isNull(), 0).otherwise(number).cast("long"))
-            .drop("_cuts", "_coarse", "_cut_step", *[f"_hot_{k}" for k in keys]))
+    scalars = [c for c, t in df.dtypes if not t.startswith(("array", "map"))]
+    order = [*dict.fromkeys([*keys, ts, *tie]), F.xxhash64(*scalars)]
+    slices = -(-rows * SLICES_PER_CHUNK // hot_rows)
+    path = work_dir(df.sparkSession, "slices")
+    (df.join(hot, same, "left_semi").repartitionByRange(int(slices), *order)
+     .withColumn(SLICE, (F.spark_partition_id() + 1).cast("long")).write.parquet(path))
+    cut = df.sparkSession.read.schema(df.withColumn(SLICE, one).schema).parquet(path)
+    return df.join(hot, same, "left_anti").withColumn(SLICE, one).unionByName(cut)
 
 
 def first_per_time(sliced: DataFrame, keys: Sequence[str], ts: str = "ts",
                    tie: Sequence[str] = ()) -> DataFrame:
-    """Keep the first row of every timestamp; equal timestamps share a slice."""
-    w = W.partitionBy(*keys, SLICE).orderBy(*_order(ts, tie))
-    seen = F.coalesce(F.lag(ts).over(w) == F.col(ts), F.lit(False))
-    return sliced.withColumn("_seen", seen).filter(~F.col("_seen")).drop("_seen")
+    """Keep the first row of every timestamp."""
+    out = previous(sliced, keys, [ts], ts, tie)
+    return out.filter(F.col("prev").isNull() | (F.col(f"prev.{ts}") != F.col(ts))).drop("prev")
 
 
 def _order(ts: str, tie: Sequence[str]) -> list[str]:
@@ -85,7 +91,7 @@ def previous(df: DataFrame, keys: Sequence[str], cols: Sequence[str], ts: str =
     NULL for the first row of a key. ``_slice`` is taken over if present; it stays on the
     result for a following ``running`` call and is removed by ``drop_slices``.
     """
-    base = df if SLICE in df.columns else with_slices(df, keys, ts, hot_rows)
+    base = df if SLICE in df.columns else with_slices(df, keys, ts, hot_rows, tie)
     order = _order(ts, tie)
     w = W.partitionBy(*keys, SLICE).orderBy(*order)
     rows = base.withColumn("_prev", F.lag(F.struct(*cols)).over(w))
@@ -100,7 +106,7 @@ def previous(df: DataFrame, keys: Sequence[str], cols: Sequence[str], ts: str =
 def running(df: DataFrame, keys: Sequence[str], aggs: dict[str, tuple[str, Column]],
             ts: str = "ts", tie: Sequence[str] = (), hot_rows: Optional[int] = HOT_ROWS) -> DataFrame:
     """Add running aggregates ``name -> ('sum'|'min'|'max', column)`` up to each row."""
-    base = df if SLICE in df.columns else with_slices(df, keys, ts, hot_rows)
+    base = df if SLICE in df.columns else with_slices(df, keys, ts, hot_rows, tie)
     fns = {"sum": F.sum, "min": F.min, "max": F.max}
     merge = {"sum": lambda a, b: F.coalesce(a + b, a, b), "min": F.least, "max": F.greatest}
     w = (W.partitionBy(*keys, SLICE).orderBy(*_order(ts, tie))

@@ -2,7 +2,7 @@
 
 Sub-trajectories are returned as rows ``(window, obj_id, part, n_points, path)``. An
 object with up to ``hot_rows`` points in a window is one row (part 0); a larger one
-is split into consecutive time parts, so no task ever holds an unbounded path.
+is split into time parts with rising numbers, so no task ever holds an unbounded path.
 """
 
 from __future__ import annotations
@@ -41,7 +41,7 @@ def lines(stream: DataFrame, window: Optional[WindowSpec] = None, *, min_points:
     rows = with_window(stream, window) if window else stream
     keys = (["window"] if "window" in rows.columns else []) + ["obj_id"]
     vertex = F.struct("ts", *[F.col(c).alias(f"_t{i}") for i, c in enumerate(tie)], "x", "y")
-    out = (ordered.with_slices(rows, keys, hot_rows=hot_rows)
+    out = (ordered.with_slices(rows, keys, hot_rows=hot_rows, tie=tie)
            .groupBy(*keys, F.col(ordered.SLICE).alias("part"))
            .agg(F.array_sort(F.collect_list(vertex)).alias("_v"))
            .select(*keys, "part", F.size("_v").cast("long").alias("n_points"),
@@ -86,8 +86,8 @@ def touching_lines(stream: DataFrame, polygons: Queries, window: WindowSpec,
 # -- statistics --------------------------------------------------------------
 def _steps(rows: DataFrame, keys: Sequence[str], tie: Sequence[str], hot_rows: int) -> DataFrame:
     """Length and duration of the step into each row; equal timestamps count once."""
-    first = ordered.first_per_time(ordered.with_slices(rows, keys, hot_rows=hot_rows), keys,
-                                   tie=[*tie, "x", "y"])
+    tie = [*tie, "x", "y"]
+    first = ordered.first_per_time(ordered.with_slices(rows, keys, hot_rows=hot_rows, tie=tie), keys, tie=tie)
     out = ordered.previous(first.select(*keys, ordered.SLICE, "ts", "x", "y"), keys, ["ts", "x", "y"])
     return out.withColumns({
         "step": G.point_distance("x", "y", "prev.x", "prev.y"),
