@@ -332,11 +332,17 @@ def _anchored_sql(outer: Shape, inner: Shape) -> str:
     if isinstance(inner.anchors, list):
         return "(" + " OR ".join(inside_sql(num(x), num(y), outer.edges)
                                  for x, y in inner.anchors) + ")"
-    return f"exists({inner.anchors}, p -> {inside_sql('p.x', 'p.y', outer.edges)})"
+    within = f"p.x BETWEEN {outer.xmin} AND {outer.xmax} AND p.y BETWEEN {outer.ymin} AND {outer.ymax}"
+    # a single part inside has its box inside; loops are interpreted, so cheap tests come first
+    boxed = (f"{inner.xmin} >= {outer.xmin} AND {inner.xmax} <= {outer.xmax} AND "
+             f"{inner.ymin} >= {outer.ymin} AND {inner.ymax} <= {outer.ymax}")
+    return (f"((size({inner.anchors}) > 1 OR ({boxed})) AND "
+            f"exists({inner.anchors}, p -> {within} AND {inside_sql('p.x', 'p.y', outer.edges)}))")
 
 
 def covered_sql(a: Shape, b: Shape) -> str:
-    """One geometry lies inside the other, given that their boundaries do not meet."""
+    """One geometry lies inside the other, given that their boundaries do not meet (where they do,
+    the distance of their edges is 0)."""
     tests = [_anchored_sql(o, i) for o, i in ((a, b), (b, a)) if o.kind == POLYGON]
     return "(" + " OR ".join(tests) + ")" if tests else "FALSE"
 

@@ -236,7 +236,7 @@ def distance_join(a: DataFrame, b: DataFrame, r: float, *, kinds: tuple[str, str
         return _with_distance(pairs, a, b, boxes, G.num(r), lead)
     if streaming or kinds == (G.POINT, G.POINT):
         return _with_distance(pairs, a, b, exact, G.num(r), lead)
-    return _refined(pairs, a, b, sa, sb, r, keys)
+    return _refined(pairs, a, b, sa, sb, r, slack, keys)
 
 
 def semi_join(stream: DataFrame, queries: DataFrame, r: float, *, kinds: tuple[str, str],
@@ -330,45 +330,56 @@ def _plain_columns(a: DataFrame, b: DataFrame) -> list[str]:
             if c not in ("window", "_win") and c[2:] not in GEOMETRY_ARRAYS]
 
 
-def _refined(pairs: DataFrame, a: DataFrame, b: DataFrame, sa: Shape, sb: Shape, r: float,
-             keys: Sequence[str]) -> DataFrame:
-    """Exact distance of candidate pairs, one row per edge (or edge pair).
+def _near_box(e: str, xmin: str, ymin: str, xmax: str, ymax: str, reach: str) -> str:
+    """The box of edge ``e`` comes within ``reach`` of a box on both axes."""
+    return (f"greatest({e}.x1, {e}.x2) >= {xmin} - {reach} AND least({e}.x1, {e}.x2) <= {xmax} + {reach} AND "
+            f"greatest({e}.y1, {e}.y2) >= {ymin} - {reach} AND least({e}.y1, {e}.y2) <= {ymax} + {reach}")
+
+
+_FIXED_WIDTH = ("boolean", "tinyint", "smallint", "int", "bigint", "float", "double", "date", "timestamp")
 
-    Loops over array elements are interpreted, rows run in generated code, which is
-    many times faster. Grouping by the join keys as well keeps the partitioning of a
-    shuffled join, so this adds no exchange to it. Pairs that look alike in every
-    column are told apart by the row count.
+
+def _refined(pairs: DataFrame, a: DataFrame, b: DataFrame, sa: Shape, sb: Shape, r: float, slack: float,
+             keys: Sequence[str]) -> DataFrame:
+    """Exact distance of candidate pairs, one row per edge (or edge pair) that can matter.
+
+    Loops over array elements are interpreted, rows run in generated code, which is many times
+    faster. An edge matters only if its box comes within ``r`` of the other geometry's box, and
+    meets of the other side's edges those within ``r`` of its own box: two geometries that are not
+    near each other make no edge pair at all. Rows are grouped by a number of the pair and the join
+    keys, which keeps the partitioning of a shuffled join, so this adds no exchange to it; columns
+    of fixed width are carried as aggregates.
     """
     names = _plain_columns(a, b)
+    types = {**dict(a.dtypes), **dict(b.dtypes)}
+    carried = [c for c in names if types[c] in _FIXED_WIDTH]
     lead = ["window"] if "_win" in keys else []
-    group = [*keys, *lead, *names]
-    rows = pairs.selectExpr(*[f"l.{k} AS {k}" for k in keys + lead], *names, *[
-        c for s in (sa, sb) if s.kind != G.POINT for c in (s.edges, s.anchors)])
+    group = [*keys, *lead, "_pair", *[c for c in names if c not in carried]]
+    rows = pairs.withColumn("_pair", F.monotonically_increasing_id()).selectExpr(
+        *[f"l.{k} AS {k}" for k in [*keys, *lead]], "_pair", *names,
+        *[c for s in (sa, sb) if s.kind != G.POINT for c in (s.edges, s.anchors)])
     e, f = (tuple(f"{v}.{c}" for c in ("x1", "y1", "x2", "y2")) for v in "ef")
+    reach = G.num(r + slack)
+    every = [*group, *carried]
     if G.POINT in (sa.kind, sb.kind):
         p, g = (sa, sb) if sa.kind == G.POINT else (sb, sa)
-        rows = rows.withColumn("_size", F.expr(f"size({g.edges})"))
-        rows = rows.select(*group, "_size", F.explode(g.edges).alias("e"))
-        d2 = G.segment_distance2_sql(p.x, p.y, e)
-        odd = f"sum(IF({G.crosses_ray_sql(p.x, p.y, e)}, 1, 0))" if g.kind == G.POLYGON else "0"
-        measures = [F.expr(f"min({d2})").alias("_d2"), F.expr(odd).alias("_odd"),
-                    F.expr("count(1) DIV first(_size)").alias("_copies")]
-        # alike pairs add up their crossings, too
-        covered = "(_odd DIV _copies) % 2 = 1"
+        crosses = G.crosses_ray_sql(p.x, p.y, e) if g.kind == G.POLYGON else "false"
+        rows = rows.select(*every, F.explode(g.edges).alias("e"))
+        rows = rows.filter(f"({_near_box('e', p.x, p.y, p.x, p.y, reach)}) OR ({crosses})")
+        d2, covered = G.segment_distance2_sql(p.x, p.y, e), f"sum(IF({crosses}, 1, 0)) % 2 = 1"
     else:
-        rows = rows.withColumns({
-            "_size": F.expr(f"size({sa.edges}) * size({sb.edges})"),
-            "_covered": F.expr(f"IF({G.bbox_distance_sql(sa, sb)} = 0D, {G.covered_sql(sa, sb)}, false)")})
-        rows = rows.select(*group, "_size", "_covered", sb.edges, F.explode(sa.edges).alias("e"))
-        rows = rows.select(*group, "_size", "_covered", "e", F.explode(sb.edges).alias("f"))
-        d2 = G.edges_distance2_sql(e, f, (sa.kind, sb.kind))
-        measures = [F.expr(f"min({d2})").alias("_d2"), F.max("_covered").alias("_odd"),
-                    F.expr("count(1) DIV first(_size)").alias("_copies")]
-        covered = "_odd"
-    out = rows.groupBy(*group).agg(*measures).withColumn(
-        "dist", F.expr(f"IF({covered}, 0D, sqrt(_d2))")).filter(F.col("dist") <= r)
-    return out.select(*lead, *names, "dist", F.explode(
-        F.expr("array_repeat(1, int(_copies))")).alias("_copy")).drop("_copy")
+        rows = rows.withColumn("_covered", F.expr(
+            f"IF({G.bbox_distance_sql(sa, sb)} = 0D, {G.covered_sql(sa, sb)}, false)"))
+        every = [*every, "_covered"]
+        rows = rows.select(*every, sb.edges, F.explode(sa.edges).alias("e"))
+        rows = rows.filter(f"_covered OR ({_near_box('e', sb.xmin, sb.ymin, sb.xmax, sb.ymax, reach)})")
+        rows = rows.select(*every, "e", F.explode(sb.edges).alias("f"))
+        rows = rows.filter("_covered OR (" + _near_box(
+            "f", "least(e.x1, e.x2)", "least(e.y1, e.y2)", "greatest(e.x1, e.x2)", "greatest(e.y1, e.y2)", reach) + ")")
+        d2, covered = G.edges_distance2_sql(e, f, (sa.kind, sb.kind)), "max(_covered)"
+    out = rows.groupBy(*group).agg(F.expr(f"IF({covered}, 0D, sqrt(min({d2})))").alias("dist"),
+                                   *[F.first(c).alias(c) for c in carried])
+    return out.filter(F.col("dist") <= r).select(*lead, *names, "dist")
 
 
 def strip_join(a: DataFrame, b: DataFrame, r: float, *, kinds: tuple[str, str] = (G.POINT, G.POINT),
