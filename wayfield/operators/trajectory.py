@@ -11,6 +11,7 @@ from collections.abc import Sequence
 from typing import Optional
 
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions import geometry as G
@@ -139,6 +140,48 @@ def trajectory_pairs(a: DataFrame, b: DataFrame, d: float, *, window: Optional[W
     return pairs.groupBy(*keys).agg(latest).select(*keys, "_m.*")
 
 
+def near_ids(a: DataFrame, b: DataFrame, d: float, window: WindowSpec, *,
+             exclude_same_id: bool = False) -> DataFrame:
+    """(window, a_obj_id, b_obj_id): id pairs with some points within ``d`` in a window, each once.
+
+    An existence test, not a join of points. Points first become boxes per window, id and cell of
+    side ``d``. Boxes whose farthest corners are within ``d`` prove a pair without a look at points;
+    only for id pairs without such a proof are the points of boxes near each other compared. Where
+    both sides are one table, each unordered pair is tested once and mirrored after.
+    """
+    side = max(d, joins.MIN_CELL)
+    box, ids = ["window", "obj_id", "_bx", "_by"], ["window", "a_obj_id", "b_obj_id"]
+
+    def celled(df):
+        rows = with_window(df.select("obj_id", "ts", "x", "y"), window)
+        return rows.selectExpr("window", "obj_id", "x", "y", f"floor(x / {G.num(side)}) AS _bx", f"floor(y / {G.num(side)}) AS _by")
+
+    def boxes(df):
+        return celled(df).groupBy(*box).agg(F.min("x").alias("xmin"), F.min("y").alias("ymin"),
+                                            F.max("x").alias("xmax"), F.max("y").alias("ymax"))
+
+    near = joins.distance_join(boxes(a), boxes(b), d, kinds=(G.LINE, G.LINE), approx=True)
+    mirrored = a is b
+    if mirrored:
+        near = near.filter("a_obj_id < b_obj_id" if exclude_same_id else "a_obj_id <= b_obj_id")
+    elif exclude_same_id:
+        near = near.filter("a_obj_id <> b_obj_id")
+    far = [f"greatest(a_{v}max - b_{v}min, b_{v}max - a_{v}min)" for v in "xy"]
+    proof = F.expr(f"sqrt({far[0]} * {far[0]} + {far[1]} * {far[1]}) <= {G.num(d)}")
+    near = near.select(*ids, "a__bx", "a__by", "b__bx", "b__by",
+                       F.max(proof).over(W.partitionBy(*ids)).alias("_proven"))
+    open_pairs = near.filter("not _proven")
+    for name, rows in (("a", celled(a)), ("b", celled(b))):
+        keys = [c if c == "window" else f"{name}_{c}" for c in box]
+        open_pairs = open_pairs.join(rows.toDF(*keys[:2], f"{name}_x", f"{name}_y", *keys[2:]), keys)
+    witnessed = open_pairs.filter(F.expr(f"{G.point_distance_sql('a_x', 'a_y', 'b_x', 'b_y')} <= {G.num(d)}"))
+    pairs = near.filter("_proven").select(*ids).unionByName(witnessed.select(*ids)).distinct()
+    if mirrored:
+        other = pairs.filter("a_obj_id < b_obj_id").selectExpr("window", "b_obj_id AS a_obj_id", "a_obj_id AS b_obj_id")
+        pairs = pairs.unionByName(other)
+    return pairs
+
+
 def trajectory_join_lines(a: DataFrame, b: DataFrame, d: float, window: WindowSpec, *,
                           exclude_same_id: bool = False, min_points: int = 2,
                           hot_rows: Optional[int] = MAX_PATH_POINTS) -> DataFrame:
@@ -146,11 +189,7 @@ def trajectory_join_lines(a: DataFrame, b: DataFrame, d: float, window: WindowSp
 
     A pair is kept when both members have at least ``min_points`` points.
     """
-    keep = ["obj_id", "ts", "x", "y"]
-    pairs = joins.distance_join(a.select(*keep), b.select(*keep), d, window=window)
-    if exclude_same_id:
-        pairs = pairs.filter(F.col("a_obj_id") != F.col("b_obj_id"))
-    pairs = pairs.select("window", "a_obj_id", "b_obj_id").distinct()
+    pairs = near_ids(a, b, d, window, exclude_same_id=exclude_same_id)
     sides = {"a": with_window(a, window), "b": with_window(b, window)}
     for side, rows in sides.items():
         long_enough = (rows.groupBy("window", F.col("obj_id").alias(f"{side}_obj_id"))

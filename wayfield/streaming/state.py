@@ -141,6 +141,9 @@ def speed(stream: DataFrame) -> DataFrame:
 
 
 # -- count windows -----------------------------------------------------------------
+PLACES = 1 << 20  # points of windows looked at together
+
+
 def _count_windows(size: int, slide: int):
     def fn(key, frames, state: GroupState) -> Iterator[pd.DataFrame]:
         rows = _sorted(frames, ["us", "event_id"])
@@ -150,17 +153,20 @@ def _count_windows(size: int, slide: int):
         first, total = n - (len(ms) - len(rows)), n + len(rows)  # number of the first kept point - 1
         state.update((total, [int(v) for v in ms[-size:]], [str(v) for v in ids[-size:]]))
         ends = np.arange((n // slide + 1) * slide, total + 1, slide)
-        at = ends[:, None] - size + np.arange(size)[None, :] - first
-        end, at = np.repeat(ends, size), at.ravel()
-        end, at = end[at >= 0], at[at >= 0]
-        if not len(at):
-            return
-        spans = pd.DataFrame({"last_n": end, "obj_id": ids[at], "ms": ms[at]}).groupby(
-            ["last_n", "obj_id"])["ms"].agg(["min", "max", "count"]).reset_index()
-        yield pd.DataFrame({
-            "cx": np.int32(key[0]), "cy": np.int32(key[1]), "last_n": spans["last_n"],
-            "obj_id": spans["obj_id"], "traj_ms": spans["max"] - spans["min"],
-            "n_points": spans["count"]})
+        lot = max(1, PLACES // size)
+        for begin in range(0, len(ends), lot):  # a lot of windows at a time
+            lot_ends = ends[begin:begin + lot]
+            at = lot_ends[:, None] - size + np.arange(size)[None, :] - first
+            end, at = np.repeat(lot_ends, size), at.ravel()
+            end, at = end[at >= 0], at[at >= 0]
+            if not len(at):
+                continue
+            spans = pd.DataFrame({"last_n": end, "obj_id": ids[at], "ms": ms[at]}).groupby(
+                ["last_n", "obj_id"])["ms"].agg(["min", "max", "count"]).reset_index()
+            yield pd.DataFrame({
+                "cx": np.int32(key[0]), "cy": np.int32(key[1]), "last_n": spans["last_n"],
+                "obj_id": spans["obj_id"], "traj_ms": spans["max"] - spans["min"],
+                "n_points": spans["count"]})
     return fn
 
 
