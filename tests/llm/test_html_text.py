@@ -1,5 +1,8 @@
+import time
 from html.parser import HTMLParser
 
+import pytest
+
 from wayfield.llm import html_text as H
 
 PROSE = ("It was the best of times and it was the worst of times, and for all of that there was not one of "
@@ -77,3 +80,40 @@ def test_broken_and_edge_pages(spark):
     got = H.extract(df).collect()
     assert sorted(r.n_chars for r in got) == [0, 2, 20_000 * len("word the and of") + 2 * 19_999]
     assert H.extract(df.limit(0)).count() == 0
+
+
+ARTICLE = " ".join(PROSE.split())
+INDONESIAN = ("Perjalanan panjang itu dimulai ketika matahari terbit, lalu mereka berjalan bersama melewati sawah hijau, "
+              "sungai jernih serta hutan lebat sambil bercerita tentang masa kecil, keluarga, harapan, dan mimpi besar. " * 3).strip()
+
+
+@pytest.mark.parametrize("page,text", [
+    (f'<div class="layout has-sidebar"><p>{ARTICLE}</p></div>', ARTICLE),
+    (f'<article class="post comments-open"><p>{ARTICLE}</p></article>', ARTICLE),
+    (f'<main><div class="content with-side"><p>{ARTICLE}</p></div></main>', ARTICLE),
+    (f'<nav><a href="/">Home</a> <a href="/a">About us</a></nav><p>{INDONESIAN}</p>', INDONESIAN),
+    (f'<div class="search-results"><p>{ARTICLE}</p></div>', ARTICLE),
+], ids=["layout", "state", "side", "language", "all named"])
+def test_articles_stay(page, text):
+    assert H.main_text(f"<html><body>{page}</body></html>") == text
+
+
+def test_amount_decides_what_the_article_is():
+    got = H.main_text(f"<body><article><p>Teaser here.</p></article><div><p>{ARTICLE}</p></div></body>")
+    assert ARTICLE in got
+    # reader comments go, also where they are longer than the article, and articles of their own
+    comments = "".join(f'<article class="comment"><p>{ARTICLE}</p></article>' for _ in range(5))
+    page = f'<body><article><p>{ARTICLE}</p></article><section class="comments">{comments}</section>{comments}</body>'
+    assert H.main_text(page) == ARTICLE
+
+
+def test_deep_and_wide_pages_in_linear_time():
+    def seconds(n):
+        page = ("<div>" * n + f"<p>{ARTICLE}</p>" + "</div>" * n + "</span></li>" * n
+                + "".join(f"<article><p>{ARTICLE}</p><h2>x</h2></article>" for _ in range(n // 10)))
+        start = time.perf_counter()
+        got = H.main_text(page)
+        assert got.count(ARTICLE) >= n // 10
+        return time.perf_counter() - start
+    small, large = min(seconds(2000) for _ in range(3)), min(seconds(16_000) for _ in range(2))
+    assert large < 24 * small

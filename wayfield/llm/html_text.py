@@ -15,6 +15,7 @@ from __future__ import annotations
 import bisect
 import html
 import re
+from collections import Counter
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
@@ -40,6 +41,9 @@ BOILER_NAMES = re.compile(
     r"sidebars?|side|menus?|nav|navbar|navigation|breadcrumbs?|pagination|pager|footer|foot|header|masthead|topbar|"
     r"social|share|sharing|newsletter|subscribe|signup|login|search|related|recommended|widgets?|toolbar|skip)"
     r"(?:$|[\s_\-])|(?:comment|sidebar|cookie|advert|newsletter)", re.I)
+COMMENT_NAMES = re.compile(r"(?:comments?|replies|reply)(?:$|[_\-])(?!open|closed|enabled|disabled|on$|off$)", re.I)
+# What tells that a name speaks of the page's layout or state, not of its own content.
+STATE_NAMES = re.compile(r"^(?:has|with|no|without|is|show|hide|not)[_\-]|[_\-](?:open|closed|enabled|disabled|on|off|active|allowed)$", re.I)
 # Frequent function words of English, German, French and Spanish.
 STOP_WORDS = frozenset(
     "the of and to in is it that for was on are as with be at by this from or an have not they you his her which one "
@@ -54,6 +58,7 @@ STOP_WORDS = frozenset(
 LINKS_HIGH = 0.5      # above: a list of links
 LINKS_SOME = 0.2      # above, outside an article: a list of links
 STOPS_HIGH, STOPS_LOW = 0.30, 0.12
+STOPS_FOREIGN = 0.06  # below, on the whole page: length and links decide
 LONG, SHORT = 200, 70  # characters
 
 TOKEN = re.compile(
@@ -69,7 +74,8 @@ WORD = re.compile(r"[^\W\d_]+")
 class Block:
     text: str
     linked: int
-    boiler: bool
+    boiler: bool      # in an element that holds boilerplate
+    named: bool       # in one whose class or id says so
     section: int      # number of the innermost article or main, 0 outside
     heading: bool
     label: str = field(default="open")
@@ -79,20 +85,16 @@ def blocks(page: str) -> list[Block]:
     """Blocks of a page with text in them, in page order."""
     out: list[Block] = []
     parts: list[str] = []
-    stack: list[tuple[str, bool, int]] = []  # open containers: name, boilerplate, section
+    # open containers: name; boilerplate by element, by name, and section, each from the outside in
+    stack: list[tuple[str, bool, bool, int]] = [("", False, False, 0)]
+    still = Counter()  # how many of each are open
     state = {"links": 0, "linked": 0, "heading": False, "sections": 0}
 
-    def boiler():
-        return any(b for _, b, _ in stack)
-
-    def section():
-        return next((s for _, _, s in reversed(stack) if s), 0)
-
     def flush():
         if parts:
             text = " ".join(html.unescape("".join(parts)).split())
             if text:
-                out.append(Block(text, state["linked"], boiler(), section(), state["heading"]))
+                out.append(Block(text, state["linked"], *stack[-1][1:], state["heading"]))
             parts.clear()
         state["linked"] = 0
 
@@ -137,51 +139,70 @@ def blocks(page: str) -> list[Block]:
         if tag not in CONTAINER or tag in VOID:
             continue
         if closing:
-            for i in range(len(stack) - 1, -1, -1):
-                if stack[i][0] == tag:
-                    del stack[i:]
+            while still[tag]:
+                gone = stack.pop()[0]
+                still[gone] -= 1
+                if gone == tag:
                     break
         else:
-            names = " ".join(a or b or c for a, b, c in NAMES.findall(attrs))
-            inside = section()
-            bad = (tag in BOILERPLATE and not (tag == "header" and inside)) or (
-                tag not in ("body", "main") and bool(names) and bool(BOILER_NAMES.search(names)))
-            number = 0
+            _, hard, named, section = stack[-1]
+            names = " ".join(a or b or c for a, b, c in NAMES.findall(attrs)).split()
+            named |= tag not in ("body", "main", "article") and any(
+                BOILER_NAMES.search(n) and not STATE_NAMES.search(n) for n in names)
+            # a comment may be an article of its own
+            named |= tag == "article" and any(COMMENT_NAMES.match(n) for n in names)
+            hard |= tag in BOILERPLATE and not (tag == "header" and section)
             if tag in ("article", "main"):
                 state["sections"] += 1
-                number = state["sections"]
-            stack.append((tag, bad, number))
+                section = state["sections"]
+            still[tag] += 1
+            stack.append((tag, hard, named, section))
     flush()
     return out
 
 
-def judged(found: list[Block]) -> list[Block]:
-    """The blocks with both passes' labels (good or bad)."""
-    in_article = any(b.section and not b.boiler for b in found)
+def judged(found: list[Block], by_name: bool = True) -> list[Block]:
+    """The blocks with both passes' labels (good or bad); ``by_name``: class and id names count."""
+    shares = []
     for b in found:
         words = WORD.findall(b.text.lower())
-        stops = sum(w in STOP_WORDS for w in words) / len(words) if words else 0.0
+        shares.append((b.boiler or by_name and b.named, sum(w in STOP_WORDS for w in words), len(words),
+                       b.linked / max(1, len(b.text.replace(" ", "")))))
+    plain = [(b, stops, words) for b, (boiler, stops, words, links) in zip(found, shares)
+             if not boiler and links <= LINKS_SOME]
+    # few function words on the whole page: a language that the list does not know
+    foreign = sum(s for _, s, _ in plain) < STOPS_FOREIGN * sum(w for _, _, w in plain)
+    inside = sum(len(b.text) for b, _, _ in plain if b.section)
+    outside = sum(len(b.text) for b, _, _ in plain if not b.section and len(b.text) >= LONG)
+    in_article = any(b.section and not boiler for b, (boiler, *_) in zip(found, shares)) and outside <= 2 * inside
+    for b, (boiler, stops, words, links) in zip(found, shares):
+        stops = stops / words if words else 0.0
         size = len(b.text)
-        links = b.linked / max(1, len(b.text.replace(" ", "")))
-        if b.boiler or links > LINKS_HIGH or (links > LINKS_SOME and not b.section):
+        if boiler or links > LINKS_HIGH or (links > LINKS_SOME and not b.section):
             b.label = "bad"
         elif in_article and not b.section:
             b.label = "bad"
         elif b.heading or size < SHORT:
             b.label = "open"
-        elif stops >= STOPS_HIGH or (stops >= STOPS_LOW and size >= LONG):
+        elif stops >= STOPS_HIGH or ((stops >= STOPS_LOW or foreign) and size >= LONG):
             b.label = "good"
         elif stops < STOPS_LOW and size < LONG and not b.section and links > 0:
             b.label = "bad"
-    decided = [(i, b.label, b.section) for i, b in enumerate(found) if b.label != "open"]
+        else:
+            b.label = "open"
+    decided: dict[int, list[int]] = {}  # decided blocks of each section, in page order
+    for i, b in enumerate(found):
+        if b.label != "open":
+            decided.setdefault(b.section, []).append(i)
+    labels = [b.label for b in found]
     for i, b in enumerate(found):
         if b.label != "open":
             continue
-        own = _near(decided, i, b.section)
+        own = _near(decided.get(b.section, []), labels, i)
         least = min((d for d, _ in own), default=None)
-        labels = {label for d, label in own if d == least}
-        if len(labels) == 1 and not (b.section and "bad" in labels):
-            b.label = labels.pop()
+        nearest = {label for d, label in own if d == least}
+        if len(nearest) == 1 and not (b.section and "bad" in nearest):
+            b.label = nearest.pop()
         elif b.section:
             # a list of links beside it says nothing about a line of an article
             b.label = "good"
@@ -190,20 +211,22 @@ def judged(found: list[Block]) -> list[Block]:
     return found
 
 
-def _near(decided, i, section):
-    """(distance, label) of the nearest decided blocks of the section on both sides."""
-    at = bisect.bisect_left(decided, (i,))
-    out = []
-    for step, j in ((-1, at - 1), (1, at)):
-        while 0 <= j < len(decided) and decided[j][2] != section:
-            j += step
-        if 0 <= j < len(decided):
-            out.append((abs(decided[j][0] - i), decided[j][1]))
-    return out
+def _near(decided: list[int], labels: list[str], i: int):
+    """(distance, label) of the nearest decided blocks on both sides."""
+    at = bisect.bisect_left(decided, i)
+    return [(abs(decided[j] - i), labels[decided[j]]) for j in (at - 1, at) if 0 <= j < len(decided)]
 
 
 def main_text(page) -> str:
-    return "\n\n".join(b.text for b in judged(blocks(page)) if b.label == "good") if page else ""
+    """The main text of a page. Names decide only as long as something is left beside what they
+    condemn: a page that would be empty without it is judged by its blocks alone."""
+    if not page:
+        return ""
+    found = blocks(page)
+    text = "\n\n".join(b.text for b in judged(found) if b.label == "good")
+    if not text and any(b.named for b in found):
+        text = "\n\n".join(b.text for b in judged(found, by_name=False) if b.label == "good")
+    return text
 
 
 EXTRACTED = T.StructType([T.StructField("text", T.StringType()), T.StructField("n_chars", T.LongType())])
@@ -212,8 +235,9 @@ EXTRACTED = T.StructType([T.StructField("text", T.StringType()), T.StructField("
 def extract(pages: DataFrame, html_col: str = "html") -> DataFrame:
     """``pages`` with ``text`` and its length ``n_chars`` in code points.
 
-    NULL, empty and textless pages have an empty text. Columns of these names are replaced, all
-    others are kept; repeated rows are treated alike.
+    NULL, empty and textless pages have an empty text. Pages of any length and depth are read whole,
+    in time that grows with their length. Columns of these names are replaced, all others are kept;
+    repeated rows are treated alike.
     """
 
     def run(column):
