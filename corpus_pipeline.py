@@ -31,14 +31,15 @@ def keep_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of every similarity class; of rows that repeat its id,
-    one. Documents without words or without an id are in no group and stay."""
-    classes = jaccard.similarity_classes(docs)
-    kept = written(classes.filter("doc = component").select(F.col("doc").alias("__doc")).distinct(), "kept-ids")
-    alone = docs.filter(F.col("doc_id").isNull())
-    rows = docs.join(kept, docs.doc_id == F.col("__doc"), "left_semi")
-    unique = docs.filter("doc_id IS NOT NULL").groupBy("doc_id").count().filter("count > 1").isEmpty()
-    return (rows if unique else rows.dropDuplicates(["doc_id"])).unionByName(alone)
+    """One row of every similarity class, that of the smallest id (NULL last). Rows are told apart by a
+    number of their own, so rows that share an id, or have none, are judged by their texts like all
+    others. Rows without words are in no class and stay."""
+    numbered = written(docs.withColumn("__row", F.monotonically_increasing_id()), "pipeline-rows")
+    classes = jaccard.similarity_classes(numbered, id_col="__row")
+    ids = numbered.select(F.col("__row").alias("doc"), F.col("doc_id").isNull().alias("without"), "doc_id")
+    least = F.min(F.struct("without", "doc_id", "doc")).alias("least")
+    kept = classes.join(ids, "doc").groupBy("component").agg(least).select(F.col("least.doc").alias("__row"))
+    return numbered.join(kept, "__row", "left_semi").drop("__row")
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
