@@ -31,6 +31,7 @@ BLOCK = 1 << 24          # bytes of text
 ROW = 64                 # bytes a row counts besides its text
 LEAST_RANGES = 256
 RANGE_BYTES = 1 << 25    # text whose n-grams share one hash range
+CHUNK = 1 << 18          # tokens looked up at a time
 SPLIT = r"([\p{Han}\p{Hiragana}\p{Katakana}\p{Thai}\p{Lao}\p{Khmer}\p{Myanmar}]|[^\p{L}\p{M}\p{N}\s])"
 BOUNDARY = np.uint64(0x9E3779B97F4A7C15)
 MIX = np.uint64(0xFF51AFD7ED558CCD)
@@ -116,52 +117,88 @@ def read(texts: bytes):
     return out, sizes + texts_with
 
 
-def ngrams(tokens: np.ndarray):
-    """Odd numbers for words, even ones for a word behind its predecessor; a boundary is before
-    the first word of each text."""
-    one = tokens | np.uint64(1)
-    before = np.concatenate([np.array([BOUNDARY]), tokens[:-1]])[:len(tokens)]
-    two = (before ^ (before >> np.uint64(29))) * MIX + tokens
+def words_of(tokens: np.ndarray) -> np.ndarray:
+    """Odd numbers for words."""
+    return tokens | np.uint64(1)
+
+
+def predecessors(tokens: np.ndarray) -> np.ndarray:
+    """The word before each; a boundary is before the first word of each text."""
+    return np.concatenate([np.array([BOUNDARY]), tokens[:-1]])[:len(tokens)]
+
+
+def pairs_of(tokens: np.ndarray) -> np.ndarray:
+    """Even numbers for words behind their predecessors."""
+    two = predecessors(tokens)
+    two ^= two >> np.uint64(29)
+    two *= MIX
+    two += tokens
     two ^= two >> np.uint64(32)
     two *= MIX
     two ^= two >> np.uint64(29)
-    return one, two & ~np.uint64(1), before | np.uint64(1)
+    two &= ~np.uint64(1)
+    return two
+
+
+ORDERS = (words_of, pairs_of)
 
 
 def distinct(tokens: np.ndarray, ranges: int):
     """Sorted distinct n-grams of a block and where each hash range begins among them."""
-    one, two, _ = ngrams(tokens)
-    grams = np.concatenate([np.unique(one), np.unique(two)])
-    grams.sort(kind="stable")
+    parts = []
+    for order in ORDERS:
+        part = order(tokens)
+        part.sort()
+        parts.append(part[np.append(True, part[1:] != part[:-1])[:len(part)]])
+    grams = np.concatenate(parts)
+    grams.sort()
     bits = np.uint64(64 - (ranges.bit_length() - 1))
-    return grams, np.searchsorted(grams >> bits, np.arange(ranges + 1).astype(np.uint64)), one, two
+    return grams, np.searchsorted(grams, np.arange(ranges).astype(np.uint64) << bits).tolist() + [len(grams)]
+
+
+def places(grams: np.ndarray, own: np.ndarray) -> np.ndarray:
+    """Where each n-gram is among the sorted ``grams``; looked up in order, which spares the cache."""
+    order = np.argsort(own)
+    out = np.empty(len(own), np.int64)
+    out[order] = np.searchsorted(grams, own[order])
+    return out
 
 
 def counted(marked: DataFrame, ranges: int) -> DataFrame:
     """(range, block, n, grams): a block's n-grams of one hash range with their counts in the
     target and in all texts."""
 
+    def counts(texts, marks):
+        tokens, sizes = read(texts)
+        grams, begin = distinct(tokens, ranges)
+        good = np.zeros(len(sizes), bool)
+        good[marks] = True
+        good = np.repeat(good, sizes)
+        target, every = np.zeros(len(grams), np.uint32), np.zeros(len(grams), np.uint32)
+        for order in ORDERS:
+            for a in range(0, len(tokens), CHUNK):  # the token before a chunk belongs to its first pair
+                own = order(tokens[max(a - 1, 0):a + CHUNK])[min(a, 1):]
+                at = places(grams, own)
+                np.add.at(every, at, np.uint32(1))
+                np.add.at(target, at[good[a:a + CHUNK]], np.uint32(1))
+        return grams, begin, target, every
+
     def run(batches):
         for batch in batches:
             for b, texts, marks in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2)):
-                tokens, sizes = read(texts.as_py())
-                grams, begin, one, two = distinct(tokens, ranges)
-                good = np.zeros(len(sizes), bool)
-                good[marks.as_py() or []] = True
-                good = np.repeat(good, sizes)
-                target, every = np.zeros(len(grams), np.uint32), np.zeros(len(grams), np.uint32)
-                for g in (one, two):
-                    at = np.searchsorted(grams, g)
-                    every += np.bincount(at, minlength=len(grams)).astype(np.uint32)
-                    target += np.bincount(at[good], minlength=len(grams)).astype(np.uint32)
+                grams, begin, target, every = counts(texts.as_py(), marks.as_py() or [])
                 data = []
                 for i in range(ranges):
                     s = slice(begin[i], begin[i + 1])
                     g = grams[s]
                     data.append(packed(np.diff(g, prepend=np.uint64(0)), target[s], every[s]))
+                n = np.diff(begin)
+                del grams, target, every
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.arange(ranges)), pa.array(np.full(ranges, b)), pa.array(np.diff(begin)),
+                    [pa.array(np.arange(ranges)), pa.array(np.full(ranges, b)), pa.array(n),
                      pa.array(data, pa.binary())], names=["range", "block", "n", "grams"])
+                del data
+                pa.default_memory_pool().release_unused()
 
     return marked.select("block", "texts", "marks").mapInArrow(run, "range long, block long, n long, grams binary")
 
@@ -196,16 +233,20 @@ def losses(tokens, ranges: int, sums: pa.Table):
     sums = sums.sort_by("range")
     words, total, target_total = (int(pc.sum(sums.column(c)).as_py()) for c in ("words", "tokens", "target_tokens"))
     got = [unpacked(d.as_py(), k, np.int64, np.int64) for d, k in zip(sums.column("sums"), sums.column("n").to_pylist())]
-    grams, _, one, two = distinct(tokens, ranges)
-    before = ngrams(tokens)[2]
-    scale = target_total / total
-    out = []
-    places = [np.searchsorted(grams, g) for g in (one, two, before)]
-    for k, factor in ((0, 1.0), (1, scale)):
-        counts = np.concatenate([g[k] for g in got]) * factor
-        c1, c2, ch = (counts[p] for p in places)
-        p = (c1 + PRIOR / words) / (target_total + PRIOR)
-        out.append(-np.log((c2 + PRIOR * p) / (ch + PRIOR)))
+    counts = [np.concatenate([g[k] for g in got]) for k in (0, 1)]
+    del got
+    grams, _ = distinct(tokens, ranges)
+    factors = (1.0, target_total / total)
+    out = [np.empty(len(tokens)) for _ in counts]
+    for a in range(0, len(tokens), CHUNK):
+        own = tokens[max(a - 1, 0):a + CHUNK]
+        # the word before the first of a chunk is the last of the chunk before it, or a boundary
+        word = places(grams, words_of(own if a else np.append(BOUNDARY, own)))
+        at = word[1:], places(grams, pairs_of(own)[min(a, 1):]), word[:-1]
+        for loss, count, factor in zip(out, counts, factors):
+            c1, c2, ch = (count[p] * factor for p in at)
+            p = (c1 + PRIOR / words) / (target_total + PRIOR)
+            loss[a:a + CHUNK] = -np.log((c2 + PRIOR * p) / (ch + PRIOR))
     return out
 
 
