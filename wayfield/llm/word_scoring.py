@@ -1,7 +1,7 @@
 """Document scores by cross-entropy difference of two word models that grow with the corpus.
 
-As in ``lm_scoring``, a model of the target texts and one of all texts share vocabulary, order and
-smoothing, and background counts are scaled to the target's. Tokens are words: runs of letters,
+A model of the target texts and one of all texts share vocabulary, order and smoothing, and
+background counts are scaled to the target's. Tokens are words: runs of letters,
 marks and digits of the lower-cased text; every other sign, and every character of a script
 written without spaces, is a word by itself. No word is left out of the vocabulary. The models are
 bigrams interpolated with unigrams; each text begins and ends with a boundary.
@@ -25,8 +25,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .common import written
-from .lm_scoring import PRIOR, SCORED
 
+PRIOR = 24.0             # tokens' worth of belief in the lower order
 BLOCK = 1 << 24          # bytes of text
 ROW = 64                 # bytes a row counts besides its text
 LEAST_RANGES = 256
@@ -37,6 +37,10 @@ BOUNDARY = np.uint64(0x9E3779B97F4A7C15)
 MIX = np.uint64(0xFF51AFD7ED558CCD)
 
 
+SCORED = T.StructType([T.StructField("n_tokens", T.LongType()), T.StructField("loss_target", T.DoubleType()),
+                       T.StructField("loss_background", T.DoubleType()), T.StructField("score", T.DoubleType())])
+
+
 def packed(*arrays: np.ndarray) -> bytes:
     """Arrays of one length as compressed bytes, lowest byte of all numbers first."""
     planes = [np.ascontiguousarray(a.view(np.uint8).reshape(len(a), a.dtype.itemsize).T).tobytes() for a in arrays]
