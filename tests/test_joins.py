@@ -37,9 +37,9 @@ def test_join_with_hot_cells(spark, rows_of, ka, kb):
 
 
 @pytest.mark.parametrize("ka,kb", [("point", "point"), ("point", "polygon"), ("line", "polygon")])
-def test_strip_join_agrees(spark, rows_of, ka, kb):
+def test_leaf_join_agrees(spark, rows_of, ka, kb):
     a, b = shapes.table(spark, MAKE[ka](50, 5)), shapes.table(spark, MAKE[kb](50, 6))
-    assert rows_of(joins.strip_join(a, b, 2.0, kinds=(ka, kb)), "a_id", "b_id") == \
+    assert rows_of(joins.leaf_join(a, b, 2.0, kinds=(ka, kb)), "a_id", "b_id") == \
         rows_of(joins.distance_join(a, b, 2.0, kinds=(ka, kb)), "a_id", "b_id")
 
 
@@ -151,3 +151,19 @@ def test_approx_point_block(spark):
     t = spark.createDataFrame([(1, 12.9, 12.9), (2, 13.1, 10.0)], "id int, x double, y double")
     out = ranges.range_query(t, [G.point(10.5, 10.5), G.point(10.6, 10.6)], 2.0, approx=True, grid=grid)
     assert [r.id for r in out.collect()] == [1]
+
+
+def test_leaves_split_a_cluster_on_one_x(spark):
+    """Points of one x are spread over leaves by y; equal points and none at all make one leaf."""
+    tree = joins._split([(5.0, i / 7) for i in range(640)], 10)
+
+    def leaves(node):
+        return [node] if isinstance(node, int) else leaves(node[2]) + leaves(node[3])
+
+    assert sorted(leaves(tree)) == list(range(len(leaves(tree)))) and len(leaves(tree)) >= 64
+    assert joins._split([(1.0, 2.0)] * 50, 10) == 0 == joins._split([], 1)
+    assert len(leaves(joins._split([(1.0, 1.0)] * 50 + [(0.0, 0.0)], 10))) == 2
+    rows = [(f"p{i}", 5.0, i / 7) for i in range(200)] + [("q", None, 1.0)]
+    df = spark.createDataFrame(rows, "obj_id string, x double, y double")
+    a, b = (df.select("obj_id", "x", "y") for _ in "ab")
+    assert joins.leaf_join(a, b, 0.5).count() == joins.distance_join(a, b, 0.5).count() > 200

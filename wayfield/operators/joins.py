@@ -15,6 +15,7 @@ to their counts, and each row meets every salt of the other side exactly once.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from itertools import count
 from typing import Optional
 
 from pyspark.sql import Column, DataFrame
@@ -32,6 +33,8 @@ MAX_HOT_CELLS = 50_000
 # than this is never broadcast.
 MAX_BROADCAST_ROWS = 50_000
 MIN_CELL = 1e-6
+# Leaves and sampled points of the grid-free twin.
+LEAVES, LEAF_SAMPLE = 64, 10_000
 # Level of a stream's geometries that are larger than all levels given: its cells meet at 0.
 TOP_LEVEL = 200
 KEYS = ("_role", "_lvl", "_kx", "_ky")
@@ -382,30 +385,66 @@ def _refined(pairs: DataFrame, a: DataFrame, b: DataFrame, sa: Shape, sb: Shape,
     return out.filter(F.col("dist") <= r).select(*lead, *names, "dist")
 
 
-def strip_join(a: DataFrame, b: DataFrame, r: float, *, kinds: tuple[str, str] = (G.POINT, G.POINT),
-               window: Optional[WindowSpec] = None) -> DataFrame:
-    """Grid-free twin of ``distance_join``: strips along x as the only key.
+def _split(points: list[tuple[float, float]], most: int):
+    """Tree of cells over a sample: a number for a leaf, else (axis, cut, lower part, upper part). A
+    cell with more than ``most`` points is halved on its wider axis."""
+    numbers = count()
 
-    Serves as an independent check of the grid keys; prefer ``distance_join``.
+    def grow(part):
+        spans = [max(p[i] for p in part) - min(p[i] for p in part) for i in (0, 1)] if part else [0.0, 0.0]
+        axis = int(spans[1] > spans[0])
+        if len(part) <= most or spans[axis] <= 0:
+            return next(numbers)
+        part = sorted(part, key=lambda p: p[axis])
+        cut = part[(len(part) - 1) // 2][axis]
+        if cut == part[-1][axis]:  # many points on the upper edge
+            cut = max(p[axis] for p in part if p[axis] < cut)
+        return (axis, cut, grow([p for p in part if p[axis] <= cut]), grow([p for p in part if p[axis] > cut]))
+
+    return grow(points)
+
+
+def leaf_join(a: DataFrame, b: DataFrame, r: float, *, kinds: tuple[str, str] = (G.POINT, G.POINT),
+              window: Optional[WindowSpec] = None) -> DataFrame:
+    """Grid-free twin of ``distance_join``: space is cut into leaves where a sample of ``a`` is dense.
+
+    The lower left corner of an object of ``a`` lies in one leaf; objects of ``b`` go to all leaves
+    that an object of ``a`` within ``r`` could have its corner in. Serves as an independent check
+    of the grid keys; prefer ``distance_join``. The sample is at most ``2 * LEAF_SAMPLE`` points.
     """
     if window:
         a, b = with_window(a, window), with_window(b, window)
     windowed = "window" in a.columns
-    width = max(4.0 * r, MIN_CELL)
     a, b = _prefixed(a, "a"), _prefixed(b, "b")
     sa, sb = G.shape(kinds[0], "a_"), G.shape(kinds[1], "b_")
-
-    def strips(df, s, by):
-        return (df.selectExpr("*", f"floor(({s.xmin} - {G.num(by)}) / {G.num(width)}) AS _s0")
-                .selectExpr("*", f"explode(sequence(_s0, floor(({s.xmax} + {G.num(by)}) / "
-                                 f"{G.num(width)}))) AS _s"))
-
-    left, right = strips(a, sa, 0.0).alias("l"), strips(b, sb, r * (1 + 1e-9)).alias("r")
-    cond = [F.col("l._s") == F.col("r._s"),
-            F.col("l._s") == F.greatest(F.col("l._s0"), F.col("r._s0"))]
+    rows, wide, high = a.agg(F.count(F.lit(1)), F.expr(f"max({sa.xmax} - {sa.xmin})"), F.expr(f"max({sa.ymax} - {sa.ymin})")).first()
+    corners = a.selectExpr(f"double({sa.xmin}) AS x", f"double({sa.ymin}) AS y").filter("x = x AND y = y AND NOT isnan(x) AND NOT isnan(y)")
+    sample = [tuple(p) for p in corners.sample(min(1.0, LEAF_SAMPLE / max(rows, 1)), 11).limit(2 * LEAF_SAMPLE).collect()]
+    tree = _split(sample, max(1, len(sample) // LEAVES))
+    pad = r * (1 + 1e-9)
+    low = [f"({c} - {G.num(pad + (w or 0.0) * (1 + 1e-9))})" for c, w in ((sb.xmin, wide), (sb.ymin, high))]
+    top = [f"({c} + {G.num(pad)})" for c in (sb.xmax, sb.ymax)]
+    none = "cast(array() AS array<int>)"
+
+    def own(node) -> str:
+        if isinstance(node, int):
+            return str(node)
+        axis, cut, lower, upper = node
+        return f"IF({(sa.xmin, sa.ymin)[axis]} <= {G.num(cut)}, {own(lower)}, {own(upper)})"
+
+    def reached(node) -> str:
+        if isinstance(node, int):
+            return f"array({node})"
+        axis, cut, lower, upper = node
+        return (f"concat(IF({low[axis]} <= {G.num(cut)}, {reached(lower)}, {none}), "
+                f"IF({top[axis]} > {G.num(cut)}, {reached(upper)}, {none}))")
+
+    left = a.withColumn("_leaf", F.expr(own(tree))).alias("l")
+    right = b.withColumn("_leaf", F.explode(F.expr(reached(tree)))).alias("r")
+    cond = [F.col("l._leaf") == F.col("r._leaf")]
     if windowed:
         cond.append(F.col("l.window") == F.col("r.window"))
-    cond.append(F.expr(f"{G.bbox_distance_sql(sa, sb)} <= {G.num(r * (1 + 1e-9))}"))
+    cond.append(F.expr(f"{G.bbox_distance_sql(sa, sb)} <= {G.num(pad)}"))
     return _with_distance(left.join(right, cond, "inner"), a, b, G.distance_sql(sa, sb),
                           G.num(r), "l.window" if windowed else None)
 

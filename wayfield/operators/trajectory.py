@@ -128,9 +128,9 @@ def speed(stream: DataFrame, *, tie: Sequence[str] = (),
 
 # -- join --------------------------------------------------------------------
 def trajectory_pairs(a: DataFrame, b: DataFrame, d: float, *, window: Optional[WindowSpec],
-                     exclude_same_id: bool = False, strips: bool = False, **options) -> DataFrame:
+                     exclude_same_id: bool = False, leaves: bool = False, **options) -> DataFrame:
     """Per window and id pair, the latest right point within ``d`` and its left partner."""
-    join = joins.strip_join if strips else joins.distance_join
+    join = joins.leaf_join if leaves else joins.distance_join
     keep = ["obj_id", "ts", "x", "y"]
     pairs = join(a.select(*keep), b.select(*keep), d, window=window, **options)
     if exclude_same_id:

@@ -113,8 +113,8 @@ register("jon1_point_point_approx", _run((POINT, POINT), approx=True, grid=fx.GR
          f"JOIN {_rows(POINT, 'b', False)} b ON a.ws = b.ws WHERE {_near}")
 
 # grid-free twins
-register("jon2_point_point_naive", _run((POINT, POINT), joins.strip_join), join_sql((POINT, POINT), R))
-register("jon4_point_polygon_naive", _run((POINT, POLYGON), joins.strip_join),
+register("jon2_point_point_naive", _run((POINT, POINT), joins.leaf_join), join_sql((POINT, POINT), R))
+register("jon4_point_polygon_naive", _run((POINT, POLYGON), joins.leaf_join),
          join_sql((POINT, POLYGON), R))
 
 

@@ -201,7 +201,7 @@ def _two(s, d):
 register("trj12_trajectory_join", lambda s, d: _pairs(T.trajectory_pairs(*_two(s, d), D, window=WINDOW)),
          _pairs_sql(_CLICKS, _ERRORS, D) + _LATEST)
 register("trj15_trajectory_join_naive",
-         lambda s, d: _pairs(T.trajectory_pairs(*_two(s, d), D, window=WINDOW, strips=True)),
+         lambda s, d: _pairs(T.trajectory_pairs(*_two(s, d), D, window=WINDOW, leaves=True)),
          _pairs_sql(_CLICKS, _ERRORS, D) + _LATEST)
 
 
