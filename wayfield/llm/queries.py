@@ -228,7 +228,7 @@ def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label")
     component = F.col("embedding").isNotNull() & F.forall(
         "embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
-    moved = (F.when(F.col("vec_id") % 7 == 0, F.pmod(F.col("label") + 1, F.lit(10))).otherwise(F.col("label")))
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
     whole = F.transform("embedding", lambda x: F.floor(x.cast("double") * 256))
     rows = vectors.filter(component).select("vec_id", moved.alias("label"), whole.alias("embedding"))
     return hard_negatives.mine(rows, F.col("vec_id") % 100 == 0).select(
