@@ -31,7 +31,8 @@ def tables(spark, tmp_path_factory):
     docs += [(600 + i, docs[2][1], "en", "s1", "") for i in range(5)]
     docs += [(610, docs[2][1] + " end", "en", "s2", ""), (700, "12 34 %%", "en", "s1", ""), (701, None, None, None, ""),
              (702, "", "en", "s1", ""), (703, "an 1 d 1 0 t met $tup1d people", "en", "s1", ""), (2, docs[2][1], "en", "s2", ""),
-             (704, "the garden and the river " * 4000, "en", "s3", "")]
+             (704, "the garden and the river " * 4000, "en", "s3", ""),
+             (705, "an 1 d 1 0 t in the garden", "en", "s1", "")]
     path = str(tmp_path_factory.mktemp("tables"))
     spark.createDataFrame(docs, "doc_id long, text string, lang string, source string, score string").repartition(3) \
         .write.parquet(f"{path}/documents.parquet")
@@ -50,7 +51,7 @@ def test_stages(spark, tables):
             assert docs.columns == columns
     before, after = seen["toxicity"]
     gone = {r.doc_id for r in before} - {r.doc_id for r in after}
-    assert gone == {i for i in range(500) if i % 6 == 1} | {703}
+    assert gone == {i for i in range(500) if i % 6 == 1} | {703, 705}
     before, after = seen["language ID"]
     assert {r.doc_id for r in before} - {r.doc_id for r in after} == {700, 701, 702}
     before, after = seen["n-gram Jaccard join"]
@@ -73,6 +74,20 @@ def test_stages(spark, tables):
     for r in after:
         per[r.sequence_id] += r.length
     assert all(n == 2048 or n & (n - 1) == 0 for n in per.values())
+    # the whole pipeline gives the rows of its stages
+    assert sorted(map(tuple, C.run(spark, tables).collect())) == sorted(map(tuple, after))
+
+
+def test_one_of_each_text_stays(spark):
+    """Rows that share an id, or have none, are judged by their texts."""
+    a, b, c = (" ".join(f"{x}{i}" for i in range(20)) for x in "abc")
+    rows = [(3, a), (5, a), (5, b), (None, a), (None, c), (None, c), (8, ""), (8, None), (1, b + " more")]
+    df = spark.createDataFrame([(i, t, "s") for i, t in rows], "doc_id long, text string, score string")
+    for parts in (1, 4):
+        kept = C.keep_one_of_each(spark, df.repartition(parts), "")
+        assert kept.columns == df.columns
+        assert sorted((tuple(r)[:2] for r in kept.collect()), key=repr) == sorted(
+            [(3, a), (1, b + " more"), (None, c), (8, ""), (8, None)], key=repr)
 
 
 def test_empty_tables(spark, tmp_path):
