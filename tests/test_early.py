@@ -59,6 +59,22 @@ def test_idle_stays_are_evicted(spark, moves, replay, idle_ms):
         assert rows(cells.roll_up(live, function, keep_idle=True)) == rows(cells.live_cells(moves, GRID, function, idle_ms))
 
 
+def test_stays_by_bucket(spark, moves):
+    """However many objects there are, Python is called per bucket; ids may be NULL, rows repeat."""
+    odd = moves.withColumn("obj_id", F.expr("IF(event_id % 7 = 0, NULL, obj_id)"))
+    odd = odd.unionByName(odd.filter("event_id % 5 = 0"))
+    replay = Replay(spark, odd.schema)
+    for i in range(2):
+        replay.add(odd.filter((F.col("event_id") >= 200 * i) & (F.col("event_id") < 200 * (i + 1))))
+    stream = state.cell_stays(watermark(replay.stream(), 0), GRID, 600_000, buckets=1)
+    got = run.run_to_table(stream, "stays", mode="update")
+    live = got.groupBy("cx", "cy", "obj_id").agg(F.max_by("ended", F.struct("batch", "last_ts")).alias("ended")).filter("not ended")
+    want = cells.stays(odd, GRID, 600_000)
+    columns = ["cx", "cy", "obj_id", "traj_ms", "n_points", F.unix_millis("last_ts").alias("last_ms")]
+    assert rows(got.filter("ended").select(*columns)) == rows(want.filter("ended").select(*columns))
+    assert live.count() == want.filter("not ended").count() > 0
+
+
 def test_stays_of_hot_objects(moves):
     for idle in (300_000, 1_200_000):
         assert rows(cells.stays(moves, GRID, idle, hot_rows=10)) == rows(cells.stays(moves, GRID, idle))
