@@ -1,5 +1,8 @@
 import random
+from collections import Counter
 
+import numpy as np
+import pyarrow as pa
 import pytest
 
 from wayfield.llm import toxicity as X
@@ -115,3 +118,47 @@ def test_edges(spark, fitted):
         m = X.fit(docs, labels)
         assert not m.weights and {r.predicted for r in X.score(df, m).collect()} <= {0, 1}
     assert X.score(empty, model).count() == 0
+
+
+def test_all_labelled_rows_are_learnt_from(spark):
+    """A word that few of many labelled rows have is found: it would be missed in a sample of them."""
+    usable = [i for i in range(21_000) if crc32(str(i).encode()) % 5]
+    rare = set(usable[1000:1028:2])
+    texts = {i: "the garden people" + (" loser" if i % 2 else "") for i in usable}
+    texts.update((i, "the garden scoundrel") for i in rare)
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i in rare or i % 2)) for i in usable], "doc_id long, toxic int")
+    model = X.fit(docs, labels)
+    assert len(rare) == 14 and len(usable) > 16_000
+    assert {"loser", "scoundrel"} <= set(model.weights)
+    assert model.score("you sc0undrel")[0] >= 0.5 > model.score("the garden")[0]
+
+
+def test_counts_in_parts_add_up(monkeypatch):
+    rows = [("Idiot the garden", 1), (None, 0), ("the the river", 0), ("people, were going home", 0)] * 3
+    batch = pa.RecordBatch.from_arrays([pa.array([t for t, _ in rows]), pa.array([y for _, y in rows])], names=["t", "y"])
+
+    def total():
+        out = Counter()
+        for part in X._stats([batch, batch]):
+            for kind, key, zero, one in zip(*(c.to_pylist() for c in part.columns)):
+                out[kind, key, 0] += zero
+                out[kind, key, 1] += one
+        return out
+
+    whole = total()
+    monkeypatch.setattr(X, "STAT_WORDS", 2)
+    assert total() == whole and whole["n", "", 1] == 6 and whole["w", "the", 0] == 6
+
+
+def test_newton_in_partitions(spark):
+    """The weights are those of all rows in one matrix, whatever the partitions."""
+    rng = random.Random(4)
+    rows = [(sorted(rng.sample(range(5), rng.randrange(4))), rng.randrange(2), float(rng.randrange(1, 4))) for _ in range(200)]
+    n = [sum(c for _, y, c in rows if y == k) for k in (0, 1)]
+    df = spark.createDataFrame(rows, "found array<int>, y int, rows double")
+    got = X.logistic(df.repartition(7), 5, *n)
+    x = np.array([[float(i in f) for i in range(5)] + [1.0] for f, _, _ in rows])
+    y, c = np.array([r[1] for r in rows]), np.array([r[2] for r in rows])
+    weight, pen = c * np.where(y > 0, 0.5 / n[1], 0.5 / n[0]), np.array([0.001 / 50] * 5 + [1e-6])
+    assert np.abs(x.T @ (weight * (1 / (1 + np.exp(-(x @ got))) - y)) + pen * got).max() < 1e-9

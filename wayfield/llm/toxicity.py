@@ -6,8 +6,8 @@ characters with white space between them is one word of the lattice whose gaps a
 or deleted. Viterbi decoding under a character language model picks the restored text.
 
 Score. A logistic regression over the presence of restored words. Its words, its weights and the
-language model are fitted on a sample of labelled rows that never exceeds ``max_fit_rows``
-(chosen by a hash of the id, half per label), never on the held-out rows.
+language model are fitted on all labelled rows that are not held out: words and n-grams are counted
+by Spark, and every Newton step of the regression is a sum over the rows, partition by partition.
 
 Scoring skips lattices from which no path can spell a word of the model: both sides are mapped to
 a skeleton (one letter per class of confusables, runs collapsed), and a word whose skeletons are
@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import append_columns, hash_sample, prefixed, remainder, written
+from .common import append_columns, prefixed, remainder, written
 
 # What a character may stand for besides itself.
 CONFUSABLE = {
@@ -311,56 +311,61 @@ def _pieces(run: str, size: int = 96, step: int = 48):
 
 
 # -- fitting -----------------------------------------------------------------------------------
-def sample_rows(docs: DataFrame, labels: DataFrame, label: str, max_fit_rows: int,
-                id_col: str, text_col: str) -> DataFrame:
-    """At most ``max_fit_rows`` labelled rows that are not held out, half of each label."""
+def labelled_rows(docs: DataFrame, labels: DataFrame, label: str, id_col: str, text_col: str) -> DataFrame:
+    """(__text, __y) of all labelled rows that are not held out; of several labels of an id the larger."""
     usable = (labels.select(F.col(id_col).alias("__id"), F.col(label).cast("int").alias("__y"))
-              .filter(F.col("__y").isin(0, 1) & (remainder("__id", 5) != 0)))
-    sizes = {r["__y"]: r["count"] for r in usable.groupBy("__y").count().collect()}
-    zero, one = (hash_sample(usable.filter(F.col("__y") == y), "__id", max_fit_rows // 2,
-                             sizes.get(y, 0)) for y in (0, 1))
-    picked = zero.unionByName(one)
-    # at most max_fit_rows ids: a size that is fixed by the parameter
-    return (docs.select(F.col(id_col).alias("__id"), F.col(text_col).alias("__text"))
-            .join(F.broadcast(picked.groupBy("__id").agg(F.max("__y").alias("__y"))), "__id")
-            .limit(2 * max_fit_rows))
+              .filter(F.col("__y").isin(0, 1) & (remainder("__id", 5) != 0))
+              .groupBy("__id").agg(F.max("__y").alias("__y")))
+    texts = docs.select(F.col(id_col).alias("__id"), F.col(text_col).alias("__text")).filter(remainder("__id", 5) != 0)
+    # labels grow with the documents: the same plan at every size, not a broadcast at small ones
+    return texts.hint("merge").join(usable, "__id").select("__text", "__y")
+
+
+STAT_WORDS = 200_000  # distinct words whose counts a task holds at a time
+FIT_PARTS, FIT_ROWS = 16, 4096  # partitions of the rows of the regression, and rows of a dense block
 
 
 def _stats(batches):
-    """Per batch: documents with and without the label for each word, and n-gram counts."""
+    """Documents with and without the label for each word, and n-gram counts, in parts that add up."""
     import pyarrow as pa
+
+    def told():
+        gram_counts: dict[str, int] = {}
+        for w, by_label in words.items():
+            for g in grams(w):
+                gram_counts[g] = gram_counts.get(g, 0) + sum(by_label)
+        kind = ["w"] * len(words) + ["g"] * len(gram_counts) + ["n"]
+        key = list(words) + list(gram_counts) + [""]
+        zero = [v[0] for v in words.values()] + list(gram_counts.values()) + [n[0]]
+        one = [v[1] for v in words.values()] + [0] * len(gram_counts) + [n[1]]
+        return pa.RecordBatch.from_arrays(
+            [pa.array(kind, pa.string()), pa.array(key, pa.string()), pa.array(zero, pa.int64()),
+             pa.array(one, pa.int64())], names=["kind", "key", "zero", "one"])
+
     words: dict[str, list[int]] = {}
-    gram_counts: dict[str, int] = {}
     n = [0, 0]
     for batch in batches:
-        for text, y in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+        for text, y in zip(batch.column(0), batch.column(1).to_pylist()):
             n[y] += 1
-            for w in {x.strip(EDGES) for x in (text or "").lower().split()}:
+            for w in {x.strip(EDGES) for x in (text.as_py() or "").lower().split()}:
                 if not 1 < len(w) <= 40 or not w.isalpha():
                     continue
                 words.setdefault(w, [0, 0])[y] += 1
-    for w, by_label in words.items():
-        for g in grams(w):
-            gram_counts[g] = gram_counts.get(g, 0) + sum(by_label)
-    kind = ["w"] * len(words) + ["g"] * len(gram_counts) + ["n"]
-    key = list(words) + list(gram_counts) + [""]
-    zero = [v[0] for v in words.values()] + list(gram_counts.values()) + [n[0]]
-    one = [v[1] for v in words.values()] + [0] * len(gram_counts) + [n[1]]
-    yield pa.RecordBatch.from_arrays(
-        [pa.array(kind, pa.string()), pa.array(key, pa.string()), pa.array(zero, pa.int64()),
-         pa.array(one, pa.int64())], names=["kind", "key", "zero", "one"])
-
-
-def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", max_fit_rows: int = 8000,
-        max_words: int = 300, max_grams: int = 300_000, id_col: str = "doc_id",
-        text_col: str = "text") -> Model:
-    """Language model, words and weights from a bounded sample of labelled rows.
-
-    Rows with NULL id or label are not used; a sample without both labels gives a model without
+            if len(words) > STAT_WORDS:
+                yield told()
+                words, n = {}, [0, 0]
+    yield told()
+
+
+def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", max_words: int = 300,
+        max_grams: int = 300_000, id_col: str = "doc_id", text_col: str = "text") -> Model:
+    """Language model, words and weights from all labelled rows that are not held out.
+
+    Rows with NULL id or label are not used; rows without both labels give a model without
     words, whose score is the share of positive labels.
     """
-    sample = written(sample_rows(docs, labels, label, max_fit_rows, id_col, text_col), "toxicity-fit")
-    counts = (sample.select("__text", "__y")
+    rows = written(labelled_rows(docs, labels, label, id_col, text_col), "toxicity-fit")
+    counts = (rows.select("__text", "__y")
               .mapInArrow(_stats, "kind string, key string, zero long, one long")
               .groupBy("kind", "key").agg(F.sum("zero").alias("zero"), F.sum("one").alias("one")))
     counts = written(counts, "toxicity-counts")
@@ -385,29 +390,54 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", max_fit_rows:
     def presence(text):
         return [[sorted(index[h] for h in probe.hits(t)) if t else [] for t in text.to_pylist()]]
 
-    found = append_columns(sample, presence, ["__text"], T.StructType(
-        [T.StructField("found", T.ArrayType(T.IntegerType()))])).select("__id", "__y", "found")
-    rows = found.orderBy(F.xxhash64("__id"), "__id").toPandas()
-    x = np.zeros((len(rows), len(words) + 1))
-    x[:, -1] = 1.0
-    for i, hits in enumerate(rows.found):
-        x[i, list(hits)] = 1.0
-    w = logistic(x, rows["__y"].to_numpy(float), n1 / (n0 + n1))
+    found = append_columns(rows, presence, ["__text"], T.StructType(
+        [T.StructField("found", T.ArrayType(T.IntegerType()))]))
+    # documents with the same words and label count together
+    patterns = found.groupBy("found", "__y").agg(F.count(F.lit(1)).cast("double").alias("rows"))
+    patterns = written(patterns.repartition(FIT_PARTS, "found", "__y").sortWithinPartitions("found", "__y"), "toxicity-patterns")
+    w = logistic(patterns, len(words), n0, n1)
     return Model(lm, dict(zip(words, w[:-1].tolist())), float(w[-1]))
 
 
-def logistic(x: np.ndarray, y: np.ndarray, prior: float, ridge: float = 0.001, steps: int = 60):
-    """Ridge logistic regression by Newton's method, both labels of equal weight."""
-    weight = np.where(y > 0, 0.5 / max(y.mean(), 1e-9), 0.5 / max(1 - y.mean(), 1e-9)) / len(y)
-    pen = np.full(x.shape[1], ridge / 50)
+def _slopes(w: np.ndarray, by_label: tuple[float, float]):
+    """Gradient and curvature of the loss at ``w``, summed over a partition: one row."""
+
+    def run(batches):
+        import pyarrow as pa
+        g, h, first = np.zeros(len(w)), np.zeros((len(w), len(w))), None
+        for batch in batches:
+            found, labels, counts = (batch.column(i) for i in range(3))
+            for at in range(0, len(batch), FIT_ROWS):
+                some, y = found.slice(at, FIT_ROWS), labels.slice(at, FIT_ROWS).to_numpy()
+                x = np.zeros((len(some), len(w)))
+                x[:, -1] = 1.0
+                lengths = some.value_lengths().to_numpy()
+                x[np.repeat(np.arange(len(some)), lengths), some.flatten().to_numpy()] = 1.0
+                weight = counts.slice(at, FIT_ROWS).to_numpy() * np.where(y > 0, by_label[1], by_label[0])
+                p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
+                g += x.T @ (weight * (p - y))
+                h += (x * (weight * np.maximum(p * (1 - p), 1e-6))[:, None]).T @ x
+                if first is None:  # tells the partitions apart: sums are added in a fixed order
+                    first = f"{some[0].as_py()} {y[0]}"
+        if first is not None:
+            yield pa.RecordBatch.from_arrays([pa.array([first]), pa.array([g.tobytes()], pa.binary()),
+                                              pa.array([h.tobytes()], pa.binary())], names=["first", "g", "h"])
+    return run
+
+
+def logistic(patterns: DataFrame, words: int, n0: int, n1: int, ridge: float = 0.001, steps: int = 60):
+    """Ridge logistic regression by Newton's method, both labels of equal weight, over rows (found, label,
+    count). What reaches the driver is one gradient and matrix per partition, of the model's size."""
+    by_label = (0.5 / n0, 0.5 / n1)
+    pen = np.full(words + 1, ridge / 50)
     pen[-1] = 1e-6
-    w = np.zeros(x.shape[1])
+    w = np.zeros(words + 1)
     for _ in range(steps):
-        p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        g = x.T @ (weight * (p - y)) + pen * w
-        h = (x * (weight * np.maximum(p * (1 - p), 1e-6))[:, None]).T @ x + np.diag(pen)
+        parts = sorted(patterns.mapInArrow(_slopes(w, by_label), "first string, g binary, h binary").collect())
+        g = sum((np.frombuffer(p["g"]) for p in parts), pen * w)
+        h = sum((np.frombuffer(p["h"]).reshape(len(w), -1) for p in parts), np.diag(pen))
         step = np.linalg.solve(h, g)
-        w -= step
+        w = w - step
         if np.abs(step).max() < 1e-6:
             break
     return w
