@@ -167,3 +167,27 @@ def test_leaves_split_a_cluster_on_one_x(spark):
     df = spark.createDataFrame(rows, "obj_id string, x double, y double")
     a, b = (df.select("obj_id", "x", "y") for _ in "ab")
     assert joins.leaf_join(a, b, 0.5).count() == joins.distance_join(a, b, 0.5).count() > 200
+
+
+@pytest.mark.parametrize("kinds", [("point", "point"), ("line", "polygon"), ("polygon", "point")])
+def test_tasks_follow_pairs(spark, monkeypatch, kinds):
+    """Denser tables get more tasks, not larger ones, and the same pairs."""
+    x = "double(id % 20) / 2"
+    pts = spark.range(300).selectExpr("id", x, f"{x} AS x", "double(id div 20) AS y").select("id", "x", "y")
+    box = "array(struct(x, y), struct(x + 1 AS x, y), struct(x + 1 AS x, y + 1 AS y), struct(x, y))"
+    shapes = {"point": pts, "line": G.with_edges(pts.selectExpr("id", f"array({box}) AS paths"), "paths"),
+              "polygon": G.with_edges(pts.selectExpr("id", f"array({box}) AS rings"), "rings")}
+    a, b = shapes[kinds[0]], shapes[kinds[1]]
+
+    def pairs():
+        out = joins.distance_join(a, b, 1.5, kinds=kinds)
+        return sorted((r.a_id, r.b_id, round(r.dist, 9)) for r in out.select("a_id", "b_id", "dist").collect())
+
+    want = pairs()
+    wide, _ = joins._spread(pts.withColumn("k", F.lit(1)), pts.withColumn("k", F.lit(1)), ["k"])
+    assert wide.rdd.getNumPartitions() == pts.rdd.getNumPartitions()  # few pairs: as they are
+    monkeypatch.setattr(joins, "MAX_BROADCAST_ROWS", 0)
+    monkeypatch.setattr(joins, "PAIRS_PER_TASK", 900)
+    wide, other = joins._spread(pts.withColumn("k", F.lit(1)), pts.withColumn("k", F.lit(1)), ["k"])
+    assert wide.rdd.getNumPartitions() == other.rdd.getNumPartitions() == 101  # 300 x 300 pairs
+    assert pairs() == want and len(want) > 300
