@@ -191,3 +191,44 @@ def test_tasks_follow_pairs(spark, monkeypatch, kinds):
     wide, other = joins._spread(pts.withColumn("k", F.lit(1)), pts.withColumn("k", F.lit(1)), ["k"])
     assert wide.rdd.getNumPartitions() == other.rdd.getNumPartitions() == 101  # 300 x 300 pairs
     assert pairs() == want and len(want) > 300
+
+
+def _points(spark, n, name):
+    return spark.range(n).selectExpr(f"id AS {name}", "id * 7 % 13 / 4D - 1 AS x", "id * 5 % 11 / 4D - 1 AS y").localCheckpoint()
+
+
+def test_spread_point_pairs_are_shuffled_once(spark, monkeypatch):
+    """A join with cells of one size is dealt once, into the tasks that its pairs ask for."""
+    monkeypatch.setattr(joins, "MAX_BROADCAST_ROWS", 10)
+    monkeypatch.setattr(joins, "PAIRS_PER_TASK", 50)
+    a, b = _points(spark, 60, "i"), _points(spark, 50, "j")
+    for options in ({}, {"approx": True, "grid": Grid.by_count(0, 0, 10, 10, 20)}):
+        plan = joins.distance_join(a, b, 0.5, **options)._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange hashpartitioning") == 2 and plan.count("REPARTITION_BY_NUM") == 2
+
+
+def test_candidate_blocks_share_few_keys(spark):
+    """Points of a candidate block meet once, in keys that hold few other pairs; what lies outside the grid too."""
+    grid = Grid.by_count(0, 0, 10, 10, 20)
+    for r in (0.0, 0.5, 0.6, 1.7):
+        k = grid.candidate_layers(r)
+        a, b = _points(spark, 150, "i"), _points(spark, 140, "j")
+        got = sorted((p.a_i, p.b_j) for p in joins.distance_join(a, b, r, approx=True, grid=grid).collect())
+        want = [(p.i, q.j) for p in a.collect() for q in b.collect()
+                if all(abs(u - v) <= k for u, v in zip(grid.of(p.x, p.y), grid.of(q.x, q.y)))]
+        assert got == sorted(want)
+    k = grid.candidate_layers(0.5)
+    sa, sb = (joins._cell_centre(G.shape(G.POINT), grid) for _ in "ab")
+    ka, kb = joins._keyed(a, b, sa, sb, k + 1e-9, 2.0 * k, [0], [0])
+    assert kb.count() == 4 * 140 and ka.count() == 150
+
+
+def test_rounding_by_arithmetic_is_rounding(spark):
+    from wayfield.plans.registry import r6, r6_double
+    fixed = [None, float("nan"), float("inf"), -float("inf"), 0.0, -0.0, 1e-9, -1e-9, 5e-7, -5e-7, 1.0000005, 2.5000015, 1e6, 123456.7890125,
+             1e15 + 0.3, -2.9999995, 1e300, 999999.9999995]
+    rows = spark.createDataFrame([(v,) for v in fixed], "v double").unionByName(
+        spark.range(20000).selectExpr("sqrt(id / 7D) * pow(10D, id % 9 - 4) * IF(id % 2 = 0, 1, -1) AS v")).unionByName(
+        spark.range(5000).selectExpr("id / 2e6D AS v"))
+    odd = rows.select("v", r6_double("v").alias("got"), r6("v").alias("want")).filter("NOT (got <=> want) OR string(got) != string(want)")
+    assert odd.collect() == []
