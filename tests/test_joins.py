@@ -232,3 +232,20 @@ def test_rounding_by_arithmetic_is_rounding(spark):
         spark.range(5000).selectExpr("id / 2e6D AS v"))
     odd = rows.select("v", r6_double("v").alias("got"), r6("v").alias("want")).filter("NOT (got <=> want) OR string(got) != string(want)")
     assert odd.collect() == []
+
+
+def test_leaf_join_refines_without_loops(spark, monkeypatch):
+    """Edges of the twin's pairs are rows, not loops over arrays; many pairs go to many tasks."""
+    monkeypatch.setattr(joins, "MAX_BROADCAST_ROWS", 10)
+    monkeypatch.setattr(joins, "PAIRS_PER_TASK", 20)
+    from wayfield.functions.windows import WindowSpec
+    ts = "timestamp_seconds(id * 600) AS ts"
+    a = spark.range(60).selectExpr("id", ts, "id * 7 % 13 / 4D AS x", "id * 5 % 11 / 4D AS y").localCheckpoint()
+    corners = ", ".join(f"named_struct('x', id % 9 / 2D + {dx}D, 'y', id % 5 / 2D + {dy}D)" for dx, dy in ((0, 0), (1, 0), (0, 1), (0, 0)))
+    b = G.with_edges(spark.range(50).selectExpr("id", ts, f"array(array({corners})) AS rings"), "rings").localCheckpoint()
+    options = {"kinds": (G.POINT, G.POLYGON), "window": WindowSpec("2 hours")}
+    got = joins.leaf_join(a, b, 0.4, **options)
+    text = got._jdf.queryExecution().executedPlan().toString()
+    assert "lambda" not in text and "REPARTITION_BY_NUM" in text
+    key = lambda df: sorted((r.window.start, r.a_id, r.b_id, r.dist) for r in df.collect())
+    assert key(got) == key(joins.distance_join(a, b, 0.4, **options)) and got.count() > 20
