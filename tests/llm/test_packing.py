@@ -29,6 +29,23 @@ def test_encoder_equals_tokenizer():
         assert np.frombuffer(enc.encode(text), enc.dtype).tolist() == direct(text)[:-1]
 
 
+def test_plain_words_need_only_the_model(monkeypatch):
+    enc, asked = P.Encoder(PATH), []
+    raw = enc.raw
+    monkeypatch.setattr(enc, "raw", lambda words: asked.extend(words) or raw(words))
+    for text in ("the naïve Straße THE!! éeux, ª µº", "the%%% don't naïve??! x_ _x 'the", "the ÉEUX"):
+        assert np.frombuffer(enc.encode(text), enc.dtype).tolist() == direct(text)[:-1]
+    assert sorted(asked) == sorted(["!!", ",", "%%%", "don't", "??!", "_", "_x", "'the"])
+
+
+def test_full_cache_starts_again(monkeypatch):
+    monkeypatch.setattr(P, "MAX_WORDS", 5)
+    enc = P.Encoder(PATH)
+    for text in ("a b c", "C d! e a", "one two three four five six", "a b"):
+        assert np.frombuffer(enc.encode(text), enc.dtype).tolist() == direct(text)[:-1]
+    assert set(enc.words) == {"a", "b"}
+
+
 @pytest.mark.parametrize("totals,rates", [
     ([100, 3000, 7, 5000], None), ([4096], None), ([1, 1, 1], None), ([900, 0, 5000], [5, 1, 2]), ([2047 * 9, 13], None)])
 def test_schedule_is_a_permutation(totals, rates):
