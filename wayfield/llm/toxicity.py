@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import append_columns, prefixed, remainder, written
+from .common import append_columns, held, prefixed, remainder, trimmed, written
 
 # What a character may stand for besides itself.
 CONFUSABLE = {
@@ -366,7 +366,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", max_words: int
     """
     rows = written(labelled_rows(docs, labels, label, id_col, text_col), "toxicity-fit")
     counts = (rows.select("__text", "__y")
-              .mapInArrow(_stats, "kind string, key string, zero long, one long")
+              .mapInArrow(trimmed(_stats), "kind string, key string, zero long, one long")
               .groupBy("kind", "key").agg(F.sum("zero").alias("zero"), F.sum("one").alias("one")))
     counts = written(counts, "toxicity-counts")
     sizes = counts.filter("kind = 'n'").agg(F.sum("zero"), F.sum("one")).first()
@@ -468,7 +468,7 @@ def score(docs: DataFrame, model: Model, text_col: str = "text", prefix: str = "
             words.append(sorted(found))
         return scores, [int(s >= 0.5) for s in scores], words
 
-    return append_columns(docs, run, [text_col], prefixed(SCORED, prefix))
+    return append_columns(docs, run, [text_col], prefixed(SCORED, prefix), OWNER)
 
 
 def restore(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
@@ -489,15 +489,17 @@ def restore(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
         return [[None if t is None else whole(m, t) for t in text.to_pylist()]]
 
     return append_columns(docs, run, [text_col],
-                          T.StructType([T.StructField("restored", T.StringType())]))
+                          T.StructType([T.StructField("restored", T.StringType())]), OWNER)
 
 
-_LAST: list = [None, None]
+OWNER = "toxicity"
 
 
 def _loaded(shared) -> Model:
     """The model of a broadcast, built once per Python worker."""
-    if _LAST[0] is not shared:
+
+    def build():
         counts, weights, bias = shared.value
-        _LAST[:] = [shared, Model(LanguageModel(counts), weights, bias)]
-    return _LAST[1]
+        return Model(LanguageModel(counts), weights, bias)
+
+    return held(OWNER, shared, build)
