@@ -3,9 +3,13 @@ import random
 import re
 from collections import Counter
 
+import numpy as np
+import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from wayfield.llm import word_scoring as W
+from wayfield.llm.common import written
 from wayfield.llm.queries import QUERIES
 
 
@@ -77,3 +81,34 @@ def test_without_target_and_empty(spark):
     none = spark.createDataFrame([], "doc_id long")
     assert [r.score for r in W.score(df, none).collect()] == [0.0] * 3
     assert W.score(df.limit(0), none).count() == 0
+
+
+def test_words_do_not_depend_on_memory_behind_them():
+    """Texts that fill their buffer to the end, among buffers of bytes that no text begins with."""
+    def tokens(*texts):
+        sink = pa.BufferOutputStream()
+        with pa.ipc.new_stream(sink, pa.schema([("text", pa.string())])) as out:
+            out.write_batch(pa.RecordBatch.from_arrays([pa.array(texts)], ["text"]))
+        return W.read(sink.getvalue().to_pybytes())[0].tolist()
+
+    last, kept = tokens("b.")[1:], []
+    for _ in range(40):
+        full = [pa.allocate_buffer(64) for _ in range(200)]
+        for buffer in full:
+            np.frombuffer(buffer, np.uint8)[:] = 0xFF
+        kept.append(full[::2])  # the others are free again
+        del full, buffer
+        for size in range(50, 70):  # spaces around the sign come to it
+            assert tokens("a" * size + " b.")[2:] == last
+
+
+def test_blocks_are_files(spark, monkeypatch):
+    """Parquet is read thousands of rows of a file at a time, so a file holds one block."""
+    monkeypatch.setattr(W, "BLOCK", 500)
+    found = []
+    monkeypatch.setattr(W, "written", lambda *a, **k: found.append(written(*a, **k)) or found[-1])
+    rows = [(i, f"word{i} " * 20) for i in range(60)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").coalesce(2)
+    assert W.score(df, df.select("doc_id").limit(5)).count() == 60
+    blocks = found[0].groupBy(F.input_file_name()).count().collect()
+    assert len(blocks) > 10 and {r["count"] for r in blocks} == {1}

@@ -103,8 +103,9 @@ def read(texts: bytes):
     with pa.ipc.open_stream(pa.py_buffer(texts)) as stream:
         text = stream.read_next_batch().column(0)
     n = len(text)
-    words = pc.utf8_split_whitespace(pc.replace_substring_regex(
-        pc.utf8_lower(pc.fill_null(text, "")), pattern=SPLIT, replacement=r" \1 "))
+    # behind a last text that ends in white space, splitting looks at the byte that follows in memory
+    words = pc.utf8_split_whitespace(pc.utf8_rtrim_whitespace(pc.replace_substring_regex(
+        pc.utf8_lower(pc.fill_null(text, "")), pattern=SPLIT, replacement=r" \1 ")))
     row = pc.list_parent_indices(words).to_numpy().astype(np.int64)
     coded = words.flatten().dictionary_encode()
     code = coded.indices.to_numpy()
@@ -262,7 +263,7 @@ def score(docs: DataFrame, target_ids: DataFrame, id_col: str = "doc_id", text_c
     target, repeated rows count each time. The end of a text counts as a token. A text without
     words has 0 tokens and NULL losses, and scores 0; without target rows all scores are 0.
     """
-    blocks = written(cut(docs, id_col, text_col), "lm-blocks")
+    blocks = written(cut(docs, id_col, text_col), "lm-blocks", rows_per_file=1)
     size = blocks.agg(F.sum("size")).first()[0] or 0
     ranges = LEAST_RANGES
     while ranges * RANGE_BYTES < size:
