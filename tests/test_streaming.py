@@ -10,6 +10,7 @@ from wayfield.functions.grid import Grid
 from wayfield.functions.windows import WindowSpec, watermark, with_window
 from wayfield.operators import apps, cells, joins, knn, ranges
 from wayfield.operators import trajectory as T
+from wayfield.plans import fixtures as fx
 from wayfield.session import work_dir
 from wayfield.streaming import run, state
 
@@ -194,3 +195,46 @@ def test_restart_continues(spark, points):
         replay.add(points.filter(part))
         run.start_to_table(state.running_stats(replay.stream()), path).awaitTermination()
     assert rows(spark.read.parquet(f"{path}/rows")) == rows(T.running_stats(points))
+
+
+@pytest.mark.parametrize("streaming,batch", [
+    (state.running_stats, lambda df: T.running_stats(df).select("obj_id", "ts", "spatial_length", "temporal_length", "speed")),
+    (state.speed, lambda df: T.speed(df).select("event_id", "obj_id", "ts", "speed")),
+    (state.fill_checkins, lambda df: apps.fill_checkins(df)),
+], ids=["running_stats", "speed", "fill_checkins"])
+def test_many_keys_share_few_entries_of_the_state(spark, streaming, batch):
+    """More objects than buckets, one of them NULL, some in every micro-batch and some in one."""
+    rng = random.Random(4)
+    ids = [None, *[f"o{i}" for i in range(600)]]
+    made = []
+    for i in range(2400):
+        who = ids[i % 601] if i < 1202 else rng.choice(ids[:50])
+        made.append((f"e{i:05d}" if streaming is state.fill_checkins else i, who, 60 * i + rng.randint(0, 59), rng.uniform(0, 100),
+                     rng.uniform(0, 100), rng.choice(["room0-in", "room0-out", None]), who))
+    kind = "string" if streaming is state.fill_checkins else "long"
+    points = spark.createDataFrame(made, f"event_id {kind}, obj_id string, s long, x double, y double, device_id string, user_id string")
+    points = points.withColumn("ts", F.timestamp_seconds("s")).drop("s")
+    replay = Replay(spark, points.schema)
+    for begin in range(0, 2400, 600):
+        replay.add(points.filter(F.unix_seconds("ts").between(60 * begin, 60 * (begin + 600) - 1)))
+    query = run.start_to_table(streaming(replay.stream()), path := work_dir(spark, "many"))
+    query.awaitTermination()
+    assert rows(spark.read.parquet(f"{path}/rows").drop("prev")) == rows(batch(points))
+    held = [p["stateOperators"][0]["numRowsTotal"] for p in query.recentProgress if p["stateOperators"]]
+    assert 0 < max(held) <= 256  # buckets
+
+
+def test_replay_of_many_slices(spark, tmp_path, monkeypatch):
+    """Slices follow one another in time and hold every event with a time once."""
+    made = [(i, f"2024-01-01 {i * 7 % 24:02d}:{i % 60:02d}:00" if i % 50 else None) for i in range(1000)]
+    events = spark.createDataFrame(made, "event_id long, t string").selectExpr(
+        "event_id", "cast(t AS timestamp_ntz) AS ts", "1L AS user_id", "'view' AS event_type", "1D AS value", "'{}' AS props")
+    events.coalesce(3).write.parquet(f"{tmp_path}/events.parquet")
+    monkeypatch.setattr(fx, "SLICE_ROWS", 100)
+    path = work_dir(spark, "replayed")
+    query = run.start_to_table(fx.events_stream(spark, str(tmp_path)), path, per_batch=lambda b: b)
+    query.awaitTermination()
+    found = spark.read.parquet(f"{path}/rows")
+    assert rows(found.select("event_id")) == rows(events.filter("ts IS NOT NULL").select("event_id"))
+    spans = [tuple(r) for r in found.groupBy("batch").agg(F.min("ts"), F.max("ts")).orderBy("batch").collect()]
+    assert len(spans) > 5 and all(a[2] < b[1] for a, b in zip(spans, spans[1:]))

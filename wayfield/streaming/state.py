@@ -2,7 +2,8 @@
 
 Each keeps a few values per key in the state store. Rows of a key that arrive in one
 micro-batch are taken in time order; a row not later than the last one of an earlier
-micro-batch is out of order. The arithmetic on a key's rows is vectorised.
+micro-batch is out of order. Where keys are objects or users, of which there are many, they
+are dealt into buckets: Python is called per bucket, whose rows are taken in one go.
 """
 
 from __future__ import annotations
@@ -133,58 +134,125 @@ def cell_stays(stream: DataFrame, grid: Grid, idle_ms: int, *, buckets: int = 25
         "update", "EventTime")
 
 
+# -- last rows of keys, by bucket --------------------------------------------------
+BUCKETS = 256
+NO_TIME = np.iinfo(np.int64).min
+
+
+def _in_buckets(df: DataFrame, key: str, fn, output: str, state: str, buckets: int) -> DataFrame:
+    """``fn`` on the rows of a bucket of keys. Its state is the columns of a table with a row per key,
+    that is, arrays of one length."""
+    rows = df.withColumn("bucket", F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int"))
+    arrays = ", ".join(f"{c.split()[0]} array<{c.split()[1]}>" for c in state.split(", "))
+    return _apply(rows, ["bucket"], fn, output, arrays)
+
+
+def _table(state: GroupState, columns: list[str]) -> pd.DataFrame:
+    return pd.DataFrame(dict(zip(columns, state.get if state.exists else [[]] * len(columns))), columns=columns)
+
+
+def _joined(held: pd.Series, new: pd.Series, kind=None) -> np.ndarray:
+    """Values of the state's rows with those of the new rows behind them."""
+    return np.concatenate([held.to_numpy(kind), new.to_numpy(kind)]) if len(held) else new.to_numpy(kind)
+
+
+def _codes(held: pd.Series, new: pd.Series) -> np.ndarray:
+    """A number per key, NULL among them."""
+    return pd.factorize(np.concatenate([held.to_numpy(object), new.to_numpy(object)]), use_na_sentinel=False)[0]
+
+
+def _edges(code: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Whether a row is the first and whether it is the last of its key, in rows by key."""
+    change = code[1:] != code[:-1]
+    return np.append(True, change), np.append(change, True)
+
+
 # -- trajectory statistics ---------------------------------------------------------
+_STATS = ["obj_id", "spatial_length", "temporal_length", "last_us", "x", "y"]
+
+
 def _stats(key, frames, state: GroupState) -> Iterator[pd.DataFrame]:
-    rows = _sorted(frames, ["us", "x", "y"]).drop_duplicates("us")
-    length, ms, last, x0, y0 = state.get if state.exists else (0.0, 0, None, None, None)
-    if last is not None:
-        rows = rows[rows["us"] > last]
-    if rows.empty:
+    rows = pd.concat(list(frames), ignore_index=True).dropna(subset="us")
+    held = _table(state, _STATS)
+    code = _codes(held["obj_id"], rows["obj_id"])
+    us = _joined(held["last_us"], rows["us"], "int64")
+    x, y = (_joined(held[c], rows[c], "float64") for c in "xy")
+    old = np.arange(len(us)) < len(held)
+    last = np.full(len(us), NO_TIME)  # by code
+    last[code[old]] = us[old]
+    at = np.lexsort((y, x, us, code))
+    at = at[old[at] | (us[at] > last[code[at]])]
+    if len(at) <= len(held):
         return
-    us, x, y = (rows[c].to_numpy() for c in ("us", "x", "y"))
-    if last is not None:
-        us, x, y = np.append(last, us), np.append(x0, x), np.append(y0, y)
-    lengths = length + np.cumsum(np.hypot(np.diff(x), np.diff(y)))
-    spans = ms + np.cumsum(np.diff(us // 1000))
-    state.update((float(lengths[-1]) if len(lengths) else length,
-                  int(spans[-1]) if len(spans) else ms, int(us[-1]), float(x[-1]), float(y[-1])))
-    if len(lengths):
-        yield pd.DataFrame({"obj_id": key[0], "ts": pd.to_datetime(us[1:], unit="us", utc=True),
-                            "spatial_length": lengths, "temporal_length": spans})
-
-
-def running_stats(stream: DataFrame) -> DataFrame:
-    """Streaming twin of ``trajectory.running_stats``."""
+    at = at[np.append(True, (code[at[1:]] != code[at[:-1]]) | (us[at[1:]] != us[at[:-1]]))]
+    first, end = _edges(code[at])
+    begins = np.flatnonzero(first)
+    sizes = np.diff(np.append(begins, len(at)))
+    us, x, y, old = us[at], x[at], y[at], old[at]
+    # what a key has from before is added to the sum of its new steps
+    spans = np.append(0, np.diff(us // 1000))
+    spans[first] = 0
+    spans = np.cumsum(spans)
+    spans -= np.repeat(spans[first], sizes)
+    lengths = np.append(0.0, np.hypot(np.diff(x), np.diff(y)))
+    lengths[first] = 0.0
+    for begin, size in zip(begins[sizes > 2].tolist(), sizes[sizes > 2].tolist()):
+        np.cumsum(lengths[begin:begin + size], out=lengths[begin:begin + size])
+    from_state = at[begins][old[begins]]  # rows of the state come before all others
+    length, ms = np.zeros(len(begins)), np.zeros(len(begins), np.int64)
+    length[old[begins]] = held["spatial_length"].to_numpy("float64")[from_state]
+    ms[old[begins]] = held["temporal_length"].to_numpy("int64")[from_state]
+    lengths, spans = np.repeat(length, sizes) + lengths, np.repeat(ms, sizes) + spans
+    ids = _joined(held["obj_id"], rows["obj_id"], object)[at]
+    state.update(tuple(v[end].tolist() for v in (ids, lengths, spans, us, x, y)))
+    more = ~first
+    if more.any():
+        yield pd.DataFrame({"obj_id": ids[more], "ts": pd.to_datetime(us[more], unit="us", utc=True),
+                            "spatial_length": lengths[more], "temporal_length": spans[more]})
+
+
+def running_stats(stream: DataFrame, *, buckets: int = BUCKETS) -> DataFrame:
+    """Streaming twin of ``trajectory.running_stats``; the state has a row per object."""
     rows = stream.select("obj_id", F.unix_micros("ts").alias("us"), "x", "y")
-    out = _apply(rows, ["obj_id"], _stats,
-                 "obj_id string, ts timestamp, spatial_length double, temporal_length bigint",
-                 "spatial_length double, temporal_length bigint, last_us bigint, x double, y double")
+    out = _in_buckets(rows, "obj_id", _stats,
+                      "obj_id string, ts timestamp, spatial_length double, temporal_length bigint",
+                      "obj_id string, spatial_length double, temporal_length bigint, last_us bigint, x double, y double",
+                      buckets)
     return out.withColumn("speed", F.try_divide("spatial_length", "temporal_length"))
 
 
+_SPEED = ["obj_id", "last_us", "x", "y"]
+
+
 def _speed(key, frames, state: GroupState) -> Iterator[pd.DataFrame]:
-    rows = _sorted(frames, ["us", "event_id"])
-    us, x, y = (rows[c].to_numpy() for c in ("us", "x", "y"))
-    ids = rows["event_id"].to_numpy()
-    if state.exists:
-        last, x0, y0 = state.get
-        us, x, y, ids = np.append(last, us), np.append(x0, x), np.append(y0, y), np.append(-1, ids)
-    # the last point is replaced even by an older one
-    state.update((int(us[-1]), float(x[-1]), float(y[-1])))
-    seconds = np.diff(us // 1000) / 1000.0
-    ok = seconds > 0
+    rows = pd.concat(list(frames), ignore_index=True).dropna(subset="us")
+    if rows.empty:
+        return
+    held = _table(state, _SPEED)
+    code = _codes(held["obj_id"], rows["obj_id"])
+    us = _joined(held["last_us"], rows["us"], "int64")
+    new = np.arange(len(us)) >= len(held)
+    event = np.append(np.full(len(held), -1), rows["event_id"].to_numpy())
+    # the last point is the one before even if it is not the older one
+    at = np.lexsort((event, us, new, code))
+    first, end = _edges(code[at])
+    us, x, y = us[at], *(_joined(held[c], rows[c], "float64")[at] for c in "xy")
+    ids = _joined(held["obj_id"], rows["obj_id"], object)[at]
+    state.update(tuple(v[end].tolist() for v in (ids, us, x, y)))
+    seconds = np.append(0, np.diff(us // 1000)) / 1000.0
+    ok = (seconds > 0) & ~first
     if ok.any():
+        step = np.append(0.0, np.hypot(np.diff(x), np.diff(y)))
         yield pd.DataFrame({
-            "event_id": ids[1:][ok], "obj_id": key[0],
-            "ts": pd.to_datetime(us[1:][ok], unit="us", utc=True),
-            "speed": np.hypot(np.diff(x), np.diff(y))[ok] / seconds[ok]})
+            "event_id": event[at][ok], "obj_id": ids[ok],
+            "ts": pd.to_datetime(us[ok], unit="us", utc=True), "speed": step[ok] / seconds[ok]})
 
 
-def speed(stream: DataFrame) -> DataFrame:
-    """Streaming twin of ``trajectory.speed``."""
+def speed(stream: DataFrame, *, buckets: int = BUCKETS) -> DataFrame:
+    """Streaming twin of ``trajectory.speed``; the state has a row per object."""
     rows = stream.select("event_id", "obj_id", F.unix_micros("ts").alias("us"), "x", "y")
-    return _apply(rows, ["obj_id"], _speed, "event_id bigint, obj_id string, ts timestamp, speed double",
-                  "last_us bigint, x double, y double")
+    return _in_buckets(rows, "obj_id", _speed, "event_id bigint, obj_id string, ts timestamp, speed double",
+                       "obj_id string, last_us bigint, x double, y double", buckets)
 
 
 # -- count windows -----------------------------------------------------------------
@@ -231,23 +299,36 @@ def count_window_spans(stream: DataFrame, grid: Grid, size: int, slide: int) ->
 
 
 # -- check-in ----------------------------------------------------------------------
-def _with_previous(key, frames, state: GroupState) -> Iterator[pd.DataFrame]:
-    rows = _sorted(frames, ["us", "event_id"])
-    device, us = state.get if state.exists else (None, None)
-    rows["prev_device"] = rows["device_id"].shift(fill_value=device)
-    rows["prev_us"] = rows["us"].shift().astype("Int64")
-    if us is not None:
-        rows.loc[0, "prev_us"] = us
-    state.update((rows["device_id"].iloc[-1], int(rows["us"].iloc[-1])))
-    yield rows[["event_id", "device_id", "user_id", "us", "x", "y", "prev_device", "prev_us"]]
+_LAST = ["user_id", "device_id", "last_us"]
 
 
-def fill_checkins(stream: DataFrame) -> DataFrame:
+def _with_previous(key, frames, state: GroupState) -> Iterator[pd.DataFrame]:
+    rows = pd.concat(list(frames), ignore_index=True)
+    held = _table(state, _LAST)
+    code = _codes(held["user_id"], rows["user_id"])
+    us = _joined(held["last_us"].astype("Int64").fillna(NO_TIME), rows["us"].astype("Int64").fillna(NO_TIME), "int64")
+    new = np.arange(len(us)) >= len(held)
+    event = pd.factorize(rows["event_id"], sort=True)[0]
+    event = np.append(np.zeros(len(held), int), np.where(event < 0, len(event), event))
+    at = np.lexsort((event, us, new, code))
+    first, end = _edges(code[at])
+    us, new = us[at], new[at]
+    users = _joined(held["user_id"], rows["user_id"], object)[at]
+    device = _joined(held["device_id"], rows["device_id"], object)[at]
+    times = np.where(us == NO_TIME, None, us.astype(object))
+    state.update(tuple(v[end].tolist() for v in (users, device, times)))
+    before, prev = np.append(None, device[:-1]), np.append(None, times[:-1])
+    before[first], prev[first] = None, None
+    out = rows.iloc[at[new] - len(held)][["event_id", "device_id", "user_id", "us", "x", "y"]]
+    yield out.assign(prev_device=before[new], prev_us=pd.array(prev[new], dtype="Int64"))
+
+
+def fill_checkins(stream: DataFrame, *, buckets: int = BUCKETS) -> DataFrame:
     """Streaming twin of ``apps.fill_checkins``; the state is each user's last event."""
     rows = stream.select("event_id", "device_id", "user_id", F.unix_micros("ts").alias("us"), "x", "y")
-    out = _apply(rows, ["user_id"], _with_previous,
-                 "event_id string, device_id string, user_id string, us bigint, x double, y double, "
-                 "prev_device string, prev_us bigint", "device_id string, last_us bigint")
+    out = _in_buckets(rows, "user_id", _with_previous,
+                      "event_id string, device_id string, user_id string, us bigint, x double, y double, "
+                      "prev_device string, prev_us bigint", "user_id string, device_id string, last_us bigint", buckets)
     return apps.insert_opposites(out.withColumns({
         "ts": F.timestamp_micros("us"),
         "prev": F.struct(F.col("prev_device").alias("device_id"),
